@@ -33,6 +33,7 @@ GRID_DIMS = 3          # columns per level of the neighbour search
 GRID_LEVELS = 3
 SLOT_ROWS = 10_000     # rows of one cell that may meet in one task's group
 PAIR_ROWS = 4_096      # row pairs of two cells compared directly
+FEW_LOOKS = 10_000_000  # row pairs not worth a components run to save
 SPLIT = 4              # a cell is cut into this many parts per column
 
 
@@ -158,19 +159,23 @@ def dbscan_labels(
 
 def _labels(rows: DataFrame, plane: _Plane, min_samples: int) -> DataFrame:
     placed = rows.select("id", *plane.cols, _cell(plane, plane.side).alias("cell"))
-    placed = cut(placed)
     grid = [F.floor(F.min(c) / plane.side).cast("long").alias(f"k_{i}") for i, c in enumerate(plane.cols)]
     cells = cut(placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *plane.box(), *grid))
-    pairs = cut(_near_cells(cells, plane))
+    shape = cells.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[(F.max(f"k_{i}") - F.min(f"k_{i}")).alias(f"s{i}") for i in range(plane.dims)],
+    ).first()
+    n_cells = shape["n"]
+    pairs = cut(_near_cells(cells, plane, [shape[f"s{i}"] or 0 for i in range(plane.dims)]))
 
     # rows of every cell that lies wholly within eps of the whole cell
-    sure = pairs.groupBy(F.col("a").alias("cell")).agg(
+    near = pairs.groupBy(F.col("a").alias("cell")).agg(
         F.sum(F.when(F.col("whole"), F.col("b_n")).otherwise(0)).alias("_near")
     )
-    status = cut(
-        cells.select("cell", "n").join(sure, "cell").select("cell", "n", (F.col("_near") >= min_samples).alias("sure"))
+    status = cells.select("cell", "n").join(near, "cell").select(
+        "cell", "n", (F.col("_near") >= min_samples).alias("sure")
     )
-    placed = cut(attach(placed, status, ["cell"], "n"))
+    placed = cut(attach(placed, status, ["cell"], "n", small_rows=n_cells))
     open_rows = placed.filter(~F.col("sure"))
     degrees = _degrees(open_rows, placed, pairs, plane)
     judged = cut(
@@ -183,21 +188,24 @@ def _labels(rows: DataFrame, plane: _Plane, min_samples: int) -> DataFrame:
         )
     )
     comps = cut(_components(core, core_cells, pairs, plane))
+    found = attach(
+        core.select("id", "cell"), comps.select("cell", "comp", "core_n"), ["cell"], "core_n", small_rows=n_cells
+    ).select("id", "comp")
+    others = judged.filter(~F.col("core")).drop("core")
+    border = _border(others, core, comps, pairs, plane)
+    return _numbered(found.unionByName(others.select("id").join(border, "id", "left")), n_cells)
 
-    by_cell = attach(core.select("id", "cell"), comps.select("cell", "comp", "core_n"), ["cell"], "core_n")
-    found = by_cell.select("id", "comp")
-    border = _border(judged.filter(~F.col("core")).drop("core"), core, comps, pairs, plane)
-    labelled = _numbered(found.unionByName(border))
-    noise = judged.filter(~F.col("core")).select("id").join(border.select("id"), "id", "left_anti")
-    return labelled.unionByName(noise.select("id", F.lit(NOISE).alias(LABEL)))
 
+def _numbered(comps: DataFrame, bound: int | None = None) -> DataFrame:
+    """Turn ``id, comp`` into ``id, cluster_label`` by the order of ``comp``.
 
-def _numbered(comps: DataFrame) -> DataFrame:
-    """Turn ``id, comp`` into ``id, cluster_label`` by the order of ``comp``."""
+    Rows without a component are noise; ``bound`` limits the component count.
+    """
     comps = cut(comps)
-    sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("_n"))
-    names = cut(number_rows(sizes, [F.col("comp")], LABEL))
-    return attach(comps, names, ["comp"], "_n").select("id", F.col(LABEL).cast("int").alias(LABEL))
+    sizes = comps.filter("comp IS NOT NULL").groupBy("comp").agg(F.count(F.lit(1)).alias("_n"))
+    names = number_rows(sizes, [F.col("comp")], LABEL)
+    label = F.coalesce(F.col(LABEL), F.lit(NOISE)).cast("int")
+    return attach(comps, names, ["comp"], "_n", "left", bound).select("id", label.alias(LABEL))
 
 
 def _cell(plane: _Plane, side: float):
@@ -205,15 +213,14 @@ def _cell(plane: _Plane, side: float):
     return F.concat_ws(",", *[F.floor(F.col(c) / F.lit(side)).cast("string") for c in plane.cols])
 
 
-def _near_cells(cells: DataFrame, plane: _Plane) -> DataFrame:
+def _near_cells(cells: DataFrame, plane: _Plane, spans: list[int]) -> DataFrame:
     """Cell pairs ``a, b, b_n, whole`` with boxes at most eps apart, each way.
 
     Cells meet through a coarser grid whose squares are at least eps wide, on
     three columns at a time: pairs of neighbouring squares are found first and
     refined by the next columns, so no square is ever compared with all.
     """
-    spans = cells.agg(*[(F.max(f"k_{i}") - F.min(f"k_{i}")).alias(f"s{i}") for i in range(plane.dims)]).first()
-    dims = sorted(range(plane.dims), key=lambda i: -(spans[f"s{i}"] or 0))[: GRID_DIMS * GRID_LEVELS]
+    dims = sorted(range(plane.dims), key=lambda i: -spans[i])[: GRID_DIMS * GRID_LEVELS]
     levels = [dims[i:i + GRID_DIMS] for i in range(0, len(dims), GRID_DIMS)]
     near = plane.gap() <= plane.eps
 
@@ -292,28 +299,27 @@ def _components(core: DataFrame, core_cells: DataFrame, pairs: DataFrame, plane:
     )
     sure = met.filter("linked").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     maybe = met.filter(~F.col("linked"))
-    if not maybe.isEmpty():
-        first = cut(connected_components(sure))
-        # a pair already joined through other cells needs no look at its rows
-        for s in "ab":
-            maybe = maybe.join(
-                first.select(F.col("node").alias(f"{s}_node"), F.col("comp").alias(f"{s}_comp")), f"{s}_node", "left"
-            )
-        open_pairs = cut(
-            maybe.filter(
-                F.coalesce("a_comp", "a_node") != F.coalesce("b_comp", "b_node")
-            ).select("a", "b", "a_node", "b_node", "a_core_n", "b_core_n")
-        )
-        found = _touching(core, open_pairs, plane)
+    looks = maybe.agg(F.sum(F.col("a_core_n") * F.col("b_core_n")), F.max(F.col("a_core_n") * F.col("b_core_n"))).first()
+    if looks[0]:
+        if looks[0] > FEW_LOOKS:
+            # a pair already joined through other cells needs no look at its rows
+            first = cut(connected_components(sure))
+            for s in "ab":
+                maybe = maybe.join(
+                    first.select(F.col("node").alias(f"{s}_node"), F.col("comp").alias(f"{s}_comp")),
+                    f"{s}_node", "left",
+                )
+            maybe = cut(maybe.filter(F.coalesce("a_comp", "a_node") != F.coalesce("b_comp", "b_node")))
+        found = _touching(core, maybe, plane, looks[1])
         sure = sure.unionByName(
-            open_pairs.join(found, ["a", "b"]).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+            maybe.join(found, ["a", "b"]).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
         )
     comps = connected_components(sure).select(F.col("node"), F.col("comp"))
     joined = core_cells.join(comps, "node", "left")
     return joined.withColumn("comp", F.coalesce("comp", "node"))
 
 
-def _touching(core: DataFrame, open_pairs: DataFrame, plane: _Plane) -> DataFrame:
+def _touching(core: DataFrame, open_pairs: DataFrame, plane: _Plane, largest: int) -> DataFrame:
     """Those cell pairs ``a, b`` with two core rows within eps."""
     few = open_pairs.filter(F.col("a_core_n") * F.col("b_core_n") <= PAIR_ROWS).select("a", "b")
     many = open_pairs.filter(F.col("a_core_n") * F.col("b_core_n") > PAIR_ROWS).select("a", "b")
@@ -323,6 +329,8 @@ def _touching(core: DataFrame, open_pairs: DataFrame, plane: _Plane) -> DataFram
 
     direct = few.join(side("a"), "a").join(side("b"), "b").filter(plane.between("a_", "b_") <= plane.eps)
     direct = direct.select("a", "b").distinct()
+    if largest <= PAIR_ROWS:
+        return direct
     many = cut(many)
     if many.isEmpty():
         return direct
@@ -383,7 +391,7 @@ def _border(rows: DataFrame, core: DataFrame, comps: DataFrame, pairs: DataFrame
     targets = _slotted(core).select("cell", "slot", *[F.col(c).alias(f"t_{c}") for c in plane.cols])
     met = part.join(targets, ["cell", "slot"]).filter(plane.between("p_", "t_") <= plane.eps)
     both = inside.unionByName(met.select("id", "comp"))
-    return cut(both.groupBy("id").agg(F.min("comp").alias("comp")))
+    return both.groupBy("id").agg(F.min("comp").alias("comp"))
 
 
 def dbscan_pairs(ids: DataFrame, pairs: DataFrame, eps: float, min_samples: int) -> DataFrame:
@@ -410,5 +418,5 @@ def dbscan_pairs(ids: DataFrame, pairs: DataFrame, eps: float, min_samples: int)
     reached = flagged.filter("NOT a_core AND b_core").select(F.col("a").alias("id"), F.col("b"))
     heads = core.select(F.col("id").alias("b"), "comp", "n")
     border = attach(reached, heads, ["b"], "n").groupBy("id").agg(F.min("comp").alias("comp"))
-    labelled = _numbered(core.select("id", "comp").unionByName(border))
-    return nodes.select("id").join(labelled, "id", "left").select("id", F.coalesce(LABEL, F.lit(NOISE)).alias(LABEL))
+    rest = nodes.filter(~F.col("core")).select("id").join(border, "id", "left")
+    return _numbered(core.select("id", "comp").unionByName(rest))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cut import cut
-from .skew import attach
+from .skew import BROADCAST_ROWS, attach
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -22,29 +22,48 @@ def connected_components(edges: DataFrame) -> DataFrame:
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
-    while not _is_star(e):
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = cut(
-            both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("_n"))
-        )
-        large = (
-            attach(both.filter("v > u"), low, ["u"], "_n")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .distinct()
-        )
-        large = cut(large)
-        low = cut(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n")))
-        linked = attach(large, low, ["u"], "_n")
-        small = linked.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+    n, settled = _state(e)
+    while not settled:
+        e = cut(_round(e, 2 * n))
+        n, settled = _state(e)
     leaves = e.select(F.col("u").alias("node"), F.col("v").alias("comp"))
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()
     return leaves.unionByName(roots)
 
 
-def _is_star(e: DataFrame) -> bool:
-    """Every node has one parent and no parent is a child."""
-    if not e.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
-        return False
-    parents = e.select(F.col("v").alias("u")).distinct()
-    return parents.join(e, "u", "left_semi").isEmpty()
+def _round(e: DataFrame, bound: int) -> DataFrame:
+    """One large-star and one small-star step; ``bound`` limits the node count."""
+    both = _pairs(e, ("u", "v"), ("v", "u"))
+    low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("_n"))
+    large = (
+        attach(both.filter("v > u"), low, ["u"], "_n", small_rows=bound)
+        .select(F.col("v").alias("u"), F.col("m").alias("v"))
+        .distinct()
+    )
+    if bound > BROADCAST_ROWS:
+        large = cut(large)
+    low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
+    linked = attach(large, low, ["u"], "_n", small_rows=bound)
+    return _pairs(linked, ("v", "m"), ("u", "m")).filter("u <> v").distinct()
+
+
+def _pairs(df: DataFrame, *picks: tuple[str, str]) -> DataFrame:
+    """Several column pairs of each row as rows ``u, v``, reading ``df`` once."""
+    rows = F.array(*[F.struct(F.col(a).alias("u"), F.col(b).alias("v")) for a, b in picks])
+    return df.select(F.explode(rows).alias("_p")).select("_p.u", "_p.v")
+
+
+def _state(e: DataFrame) -> tuple[int, bool]:
+    """Number of edges, and whether every node has one parent that is no child."""
+    ends = F.explode(
+        F.array(
+            F.struct(F.col("u").alias("x"), F.lit(1).alias("c"), F.lit(0).alias("p")),
+            F.struct(F.col("v").alias("x"), F.lit(0).alias("c"), F.lit(1).alias("p")),
+        )
+    )
+    row = (
+        e.select(ends.alias("_e")).select("_e.*").groupBy("x").agg(F.sum("c").alias("c"), F.max("p").alias("p"))
+        .agg(F.sum("c").alias("n"), F.count_if(F.expr("c > 1 OR (c = 1 AND p = 1)")).alias("bad"))
+        .first()
+    )
+    return row["n"] or 0, not row["bad"]
