@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
@@ -61,7 +61,7 @@ class ClusterResult:
     centres: list[list[float]] | None = None
     inertia: float | None = None
     n_iter: int | None = None
-    merges: DataFrame | None = field(default=None)
+    tree: object | None = None
 
     @property
     def id_col(self) -> str:

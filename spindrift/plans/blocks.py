@@ -84,12 +84,7 @@ def spatial_blocks(
     Blocks are cut from one global order (space-filling curve, then id), so
     even many equal rows are spread over several blocks.
     """
-    key, n = morton_key(df, cols)
-    rows = rows or block_rows(n, at_least)
-    keyed = df.select(id_col, *cols, *extras, key.alias("_key"))
-    placed = number_rows(keyed, [F.col("_key"), F.col(id_col)], "_pos").withColumn(
-        "block", F.floor(F.col("_pos") / F.lit(rows)).cast("long")
-    )
+    placed, n, n_blocks = place_rows(df, id_col, cols, extras, rows, at_least)
     data = cut(pack(placed, "block", id_col, cols, extras))
     boxes = cut(
         placed.groupBy("block").agg(
@@ -98,7 +93,26 @@ def spatial_blocks(
             *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(cols)],
         )
     )
-    return Blocks(data, boxes, n, -(-n // rows), len(cols))
+    return Blocks(data, boxes, n, n_blocks, len(cols))
+
+
+def place_rows(
+    df: DataFrame,
+    id_col: str,
+    cols: list[str],
+    extras: list[str] = (),
+    rows: int | None = None,
+    at_least: int = 0,
+) -> tuple[DataFrame, int, int]:
+    """Rows with their ``block``, the row count and the block count."""
+    key, n = morton_key(df, cols)
+    rows = rows or block_rows(n, at_least)
+    kept = df.select(id_col, *cols, *extras)
+    if n <= rows:
+        return kept.withColumn("block", F.lit(0).cast("long")), n, 1
+    placed = number_rows(kept.withColumn("_key", key), [F.col("_key"), F.col(id_col)], "_pos")
+    block = F.floor(F.col("_pos") / F.lit(rows)).cast("long")
+    return placed.withColumn("block", block).drop("_key", "_pos"), n, -(-n // rows)
 
 
 def pack(df: DataFrame, key, id_col: str, cols: list[str], extras: list[str] = ()) -> DataFrame:
