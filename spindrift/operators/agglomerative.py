@@ -26,14 +26,19 @@ from pyspark.sql import functions as F
 from ..functions.distance import check_metric, distance, distance_matrix, total, unit_length
 from ..plans.blocks import join_blocks, matrix, near_pairs, pack, spatial_blocks
 from ..plans.components import connected_components
-from ..plans.cut import cut
+from ..plans.cut import cut, table
 from ..plans.numbering import number_rows
 from ..plans.skew import attach
 from .features import FeatureSpec, fit_features
 from .result import LABEL, ClusterResult
 
 LINKAGES = ("ward", "complete", "average", "single")
-MEMBER_ROWS = 256
+MEMBER_ROWS = 256      # rows of one cluster in one block
+BLOCK_ROWS = 512       # clusters in one block
+LAST_CLUSTERS = 128    # so few are merged to the end by one task
+MERGE_ROW = (
+    "winner long, loser long, left_key long, right_key long, height double, size long, round int, seq long"
+)
 SLACK = 1e-9  # room for rounding in bounds, relative
 
 
@@ -222,6 +227,39 @@ def merged_rows(pairs: DataFrame, state: DataFrame, round_no: int) -> DataFrame:
     )
 
 
+def _merge_matrix(ids, d, n, h, key, linkage, round_no) -> pd.DataFrame:
+    """Merge a small distance matrix to one cluster (Lance-Williams updates)."""
+    ids, n, h, key, out = list(ids), list(n), list(h), list(key), []
+    d = np.array(d, dtype=float)
+    np.fill_diagonal(d, np.inf)
+    live = np.ones(len(ids), dtype=bool)
+    for step in range(len(ids) - 1):
+        i, j = np.unravel_index(d.argmin(), d.shape)
+        if ids[i] > ids[j]:
+            i, j = j, i
+        gap, a, b = d[i, j], d[i], d[j]
+        if linkage == "complete":
+            new = np.maximum(a, b)
+        elif linkage == "average":
+            new = (n[i] * a + n[j] * b) / (n[i] + n[j])
+        else:
+            m = np.asarray(n)
+            square = (n[i] + m) * a * a + (n[j] + m) * b * b - m * gap * gap
+            new = np.sqrt(np.maximum(square / (n[i] + n[j] + m), 0.0))
+        height = max(gap, h[i], h[j])
+        n[i] += n[j]
+        left, right = (None if key[k] < 0 else key[k] for k in (i, j))
+        out.append((ids[i], ids[j], left, right, height, n[i], round_no, step))
+        h[i], key[i] = height, ids[j]
+        live[j] = False
+        new[~live] = np.inf
+        new[i] = np.inf
+        d[i] = d[:, i] = new
+        d[j] = d[:, j] = np.inf
+    frame = pd.DataFrame(out, columns=[c.split()[0] for c in MERGE_ROW.split(", ")])
+    return frame.astype({"left_key": "Int64", "right_key": "Int64", "size": "int64"})
+
+
 class _Rounds:
     """Ward, complete and average linkage from cluster centres."""
 
@@ -241,33 +279,71 @@ class _Rounds:
 
     def run(self) -> DataFrame | None:
         done, round_no, left = None, 0, self.state.count()
-        while left > 1:
+        while left > LAST_CLUSTERS:
             round_no += 1
-            merges = cut(merged_rows(mutual_pairs(cut(self.nearest())), self.state, round_no))
+            nearest = cut(self.nearest(left))
+            merges = cut(merged_rows(mutual_pairs(nearest), self.state, round_no))
             done = merges if done is None else done.unionByName(merges)
             left -= merges.count()
             self.absorb(merges, left)
+        if left > 1:
+            last = self.last_merges(round_no + 1)
+            done = last if done is None else done.unionByName(last)
         if done is None:
             return None
         return cut(done.withColumn("height", F.col("height") ** 2 / 2) if self.halve else done)
 
+    def last_merges(self, round_no: int) -> DataFrame:
+        """All merges among the at most ``LAST_CLUSTERS`` clusters that remain.
+
+        Their distances are one small matrix, measured on the rows by Spark
+        where the centres do not give them. One task then merges to the end,
+        which saves a round of Spark jobs for nearly every single merge.
+        """
+        dims, linkage, exact = len(self.x), self.linkage, self.exact
+        bounds = self.bounds()
+        state = self.state.withColumn("key", F.coalesce("key", F.lit(-1))).withColumn("block", F.lit(0))
+        packed = pack(state, "block", "cid", self.x, ["n", "r", "h", "key"])
+        if not exact:
+            loose = self.state.filter("r > 0").select("cid")
+            every = self.state.select(F.col("cid").alias("b"))
+            asked = loose.select(F.col("cid").alias("a")).join(F.broadcast(every), F.col("a") != F.col("b"))
+            found = self.measured(asked.withColumn("d", F.lit(0.0)).withColumn("known", F.lit(False))).filter("a < b")
+            pairs = found.groupBy(F.lit(0).alias("block")).agg(F.collect_list(F.struct("a", "b", "d")).alias("p"))
+            packed = packed.join(
+                pairs.select("block", *[F.col(f"p.{c}").alias(f"p_{c}") for c in "abd"]), "block", "left"
+            )
+
+        def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for f in frames:
+                for row in f.itertuples(index=False):
+                    ids, x = np.asarray(row.ids), matrix(row.x, dims)
+                    d, _ = bounds(x, np.asarray(row.n, float), row.r, x, np.asarray(row.n, float), row.r)
+                    if not exact and row.p_a is not None:
+                        at = {c: i for i, c in enumerate(ids)}
+                        i, j = [at[c] for c in row.p_a], [at[c] for c in row.p_b]
+                        d[i, j] = d[j, i] = row.p_d
+                    yield _merge_matrix(ids, d, np.asarray(row.n, float), row.h, row.key, linkage, round_no)
+
+        return cut(packed.mapInPandas(finish, MERGE_ROW))
+
     # -- nearest partner ---------------------------------------------------
 
-    def nearest(self) -> DataFrame:
+    def nearest(self, left: int) -> DataFrame:
         """``a, b, d`` with the nearest partner of every cluster."""
-        met = self.candidates()
+        met = self.candidates(left)
         if not self.exact:
             met = self.measured(cut(met))
         best = met.groupBy("a").agg(F.min(F.struct("d", tie_break(F.col("a"), F.col("b")).alias("t"), "b")).alias("m"))
         return best.select("a", F.col("m.b").alias("b"), F.col("m.d").alias("d"))
 
-    def candidates(self) -> DataFrame:
-        """``a, b, d, known``: per cluster the partners that can be its nearest.
+    def bounds(self):
+        """Kernel: the distance of centres and the upper bound it implies.
 
-        ``d`` is the distance where it follows from the centres (``known``).
+        Ward, and average over cosine, are given by the centres: both values
+        are then the cluster distance itself.
         """
-        dims, linkage, plane, exact = len(self.x), self.linkage, self.plane, self.exact
-        blocks = spatial_blocks(self.state, "cid", self.x, ["n", "r"])
+        linkage, plane, exact = self.linkage, self.plane, self.exact
 
         def bounds(xa, na, ra, xb, nb, rb):
             d = distance_matrix(xa, xb, plane)
@@ -279,6 +355,21 @@ class _Rounds:
                 d = (d * d + inner) / 2
             return d, d if exact else (d + np.add.outer(ra, rb)) * (1 + SLACK)
 
+        return bounds
+
+    def candidates(self, left: int) -> DataFrame:
+        """``a, b, d, known``: per cluster the partners that can be its nearest.
+
+        ``d`` is the distance where it follows from the centres (``known``).
+        """
+        dims, linkage, exact, bounds = len(self.x), self.linkage, self.exact, self.bounds()
+        one_block = left <= BLOCK_ROWS
+        if one_block:
+            data = pack(self.state.withColumn("block", F.lit(0).cast("long")), "block", "cid", self.x, ["n", "r"])
+        else:
+            blocks = spatial_blocks(self.state, "cid", self.x, ["n", "r"], rows=BLOCK_ROWS)
+            data = blocks.data
+
         def own(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for f in frames:
                 caps, reaches = [], []
@@ -322,8 +413,8 @@ class _Rounds:
                     yield pd.DataFrame({"a": a[i], "b": b[j], "d": d[i, j], "high": high[i, j], "known": known})
 
         kept = "block long, ids array<long>, x array<double>, n array<long>, r array<double>, cap array<double>"
-        first = blocks.data.mapInPandas(own, kept + ", reach double")
-        if blocks.n_blocks == 1:
+        first = data.mapInPandas(own, kept + ", reach double")
+        if one_block:
             pairs = first.select(F.col("block").alias("a"), F.col("block").alias("b"))
             both = first.select(*[F.col(c).alias(f"{c}_a") for c in first.columns if c != "block"],
                                 *[F.col(c).alias(f"{c}_b") for c in ("ids", "x", "n", "r")])
@@ -333,7 +424,7 @@ class _Rounds:
             pairs = near_pairs(reach, blocks.n_blocks, dims, "bound", self.plane)
             both = join_blocks(pairs, first.drop("reach"), first.drop("cap", "reach"))
         found = both.mapInPandas(pick, "a long, b long, d double, high double, known boolean")
-        if exact or blocks.n_blocks == 1:
+        if exact or one_block:
             return found.select("a", "b", "d", "known")
         found = cut(found)
         caps = found.groupBy("a").agg(F.min("high").alias("cap"))
@@ -402,7 +493,7 @@ class _Rounds:
         else:
             r = (own * F.col("n") + other * F.col("_n")) / n
         r = F.lit(0.0) if self.exact else r
-        self.state = cut(
+        self.state = table(
             alive.select(
                 "cid", F.when(both, n).otherwise(F.col("n")).alias("n"),
                 F.when(both, F.col("loser")).otherwise(F.col("key")).alias("key"),
@@ -413,7 +504,7 @@ class _Rounds:
         )
         if self.members is not None and left > 1:
             moved = merges.select(F.col("loser").alias("cid"), F.col("winner").alias("_to"), F.col("size").alias("_s"))
-            self.members = cut(
+            self.members = table(
                 attach(self.members, moved, ["cid"], "_s", "left", small_rows=left + 1)
                 .select("num", "w", F.coalesce("_to", "cid").alias("cid"), *self.x)
             )

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.distance import box_gap, box_reach, check_metric, distance, total, unit_length
 from ..plans.components import connected_components
-from ..plans.cut import cut
+from ..plans.cut import cut, table
 from ..plans.numbering import number_rows
 from ..plans.skew import attach
 from .features import FeatureSpec, fit_features
@@ -368,7 +368,7 @@ def _refine(core: DataFrame, pairs: DataFrame, plane: _Plane) -> DataFrame:
         )
         new = cut(met.filter("hit").select("a", "b").distinct())
         hits = new if hits is None else hits.unionByName(new)
-        front = cut(met.drop("hit").join(new, ["a", "b"], "left_anti"))
+        front = table(met.drop("hit").join(new, ["a", "b"], "left_anti"))
         if front.isEmpty():
             return hits
         side = finer

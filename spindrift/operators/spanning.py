@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.distance import distance_matrix
 from ..plans.blocks import join_blocks, matrix, near_pairs, pack, place_rows
 from ..plans.components import connected_components
-from ..plans.cut import cut
+from ..plans.cut import cut, table
 from ..plans.numbering import number_rows
 from ..plans.skew import attach
 from .agglomerative import _tie_matrix
@@ -112,7 +112,7 @@ class SpanningTree:
             "r", "height", F.coalesce("t_u", "u").alias("u"), F.coalesce("tw_u", "w_u").alias("w_u"),
             F.coalesce("t_v", "v").alias("v"), F.coalesce("tw_v", "w_v").alias("w_v"),
         )
-        return cut(low.drop("ku", "kv").unionByName(high))
+        return table(low.drop("ku", "kv").unionByName(high))
 
 
 def _edges(points: DataFrame, x_cols: list[str], metric: str) -> DataFrame:
@@ -141,7 +141,7 @@ def _edges(points: DataFrame, x_cols: list[str], metric: str) -> DataFrame:
             linked = connected_components(best.select(F.col("comp").alias("a"), F.col("to").alias("b")))
             sizes = placed.groupBy("comp").agg(F.count(F.lit(1)).alias("_n"))
             moved = linked.select(F.col("node").alias("comp"), F.col("comp").alias("new")).join(sizes, "comp")
-            placed = cut(attach(placed, moved, ["comp"], "_n").drop("comp", "_n").withColumnRenamed("new", "comp"))
+            placed = table(attach(placed, moved, ["comp"], "_n").drop("comp", "_n").withColumnRenamed("new", "comp"))
     return cut(edges)
 
 

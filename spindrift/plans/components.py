@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cut import cut
+from .cut import cut, table
 from .skew import BROADCAST_ROWS, attach
 
 
@@ -24,7 +24,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     )
     n, settled = _state(e)
     while not settled:
-        e = cut(_round(e, 2 * n))
+        e = table(_round(e, 2 * n))
         n, settled = _state(e)
     leaves = e.select(F.col("u").alias("node"), F.col("v").alias("comp"))
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()

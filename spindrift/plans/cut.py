@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +28,17 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` on reliable storage and start a fresh plan from it."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def table(df: DataFrame) -> DataFrame:
+    """Like ``cut``, as a written table: for what one round hands to the next.
+
+    A checkpointed frame keeps the size the optimizer estimated for it, and a
+    join multiplies estimates, so over many rounds the estimate itself becomes
+    too long a number to handle. A table has the size it has on disk.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
