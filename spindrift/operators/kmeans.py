@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
@@ -54,6 +55,8 @@ def _fit_once(vecs: DataFrame, k: int, seed: int, mode: str):
 def best_fit(vecs: DataFrame, k: int, random_state: int, init: str, n_init):
     """The cheapest of several seeded fits on the same cached vectors."""
     mode = _mode(init)
+    if random_state is None:
+        random_state = random.randrange(2**31)
     seeds = [random_state + i for i in range(_starts(init, n_init))]
     with ThreadPoolExecutor(min(PARALLEL_FITS, len(seeds))) as pool:
         fits = list(pool.map(lambda s: _fit_once(vecs, k, s, mode), seeds))
@@ -100,7 +103,7 @@ def kmeans(
     id_col: str,
     cols: list[str] | None = None,
     n_clusters: int = 3,
-    random_state: int = 42,
+    random_state: int | None = 42,
     init="k-means++",
     n_init="auto",
     scaler: str | None = "standard",
@@ -150,7 +153,7 @@ def elbow(
     id_col: str,
     cols: list[str] | None = None,
     k_range=range(2, 11),
-    random_state: int = 42,
+    random_state: int | None = 42,
     n_init="auto",
     init: str = "k-means++",
     scaler: str | None = "standard",

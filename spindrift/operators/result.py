@@ -116,3 +116,9 @@ class ClusterResult:
         rows = [(i, *map(float, c)) for i, c in enumerate(self.centres)]
         schema = "cluster_label int, " + ", ".join(f"{f} double" for f in self.f_cols)
         return self.source.sparkSession.createDataFrame(rows, schema)
+
+
+def given_labels(df: DataFrame, spec: FeatureSpec, labels: DataFrame, model: str = "given") -> ClusterResult:
+    """Describe and score labels that come from elsewhere: ``id, cluster_label``."""
+    table = labels.select(spec.id_col, F.col(LABEL).cast("int").alias(LABEL))
+    return ClusterResult(model, {}, spec, df, label_table=table)
