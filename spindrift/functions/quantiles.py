@@ -77,7 +77,7 @@ def _order_statistics(df, ranks, counts, direct_rows, accuracy):
                 values, at = F.when(F.col(c).between(lo, hi), F.col(c)), r - below
             ps = [min(1.0, max(0.0, at / n + s * 2.0 / accuracy)) for s in (-1, 1)]
             aggs.append(
-                F.percentile_approx(values, [F.lit(q) for q in ps], accuracy).alias(f"b{i}")
+                F.percentile_approx(values, ps, accuracy).alias(f"b{i}")
             )
         row = df.agg(*aggs).first()
         edges = {k: row[f"b{i}"] for i, k in enumerate(keys)}
