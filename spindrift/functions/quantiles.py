@@ -63,42 +63,49 @@ def _ranks(p: float, n: int) -> tuple[int, int]:
 
 
 def _order_statistics(df, ranks, counts, direct_rows, accuracy):
+    """Values at given 0-based ranks, by ever narrower open intervals."""
     todo = {(c, r): None for c, rs in ranks.items() for r in rs}
     found: dict[tuple[str, int], float] = {}
     while todo:
         keys = list(todo)
         aggs = []
         for i, (c, r) in enumerate(keys):
-            bracket = todo[c, r]
-            if bracket is None:
+            if todo[c, r] is None:
                 values, at, n = F.col(c), r, counts[c]
             else:
-                lo, hi, below, n = bracket
-                values, at = F.when(F.col(c).between(lo, hi), F.col(c)), r - below
+                lo, hi, below, n = todo[c, r]
+                values, at = F.when((F.col(c) > lo) & (F.col(c) < hi), F.col(c)), r - below
             ps = [min(1.0, max(0.0, at / n + s * 2.0 / accuracy)) for s in (-1, 1)]
-            aggs.append(
-                F.percentile_approx(values, ps, accuracy).alias(f"b{i}")
-            )
+            aggs.append(F.percentile_approx(values, ps, accuracy).alias(f"b{i}"))
         row = df.agg(*aggs).first()
         edges = {k: row[f"b{i}"] for i, k in enumerate(keys)}
         aggs = []
-        for i, (c, _) in enumerate(keys):
-            lo, hi = edges[keys[i]]
-            aggs.append(F.count_if(F.col(c) < lo).alias(f"u{i}"))
-            aggs.append(F.count_if(F.col(c).between(lo, hi)).alias(f"m{i}"))
+        for i, (c, r) in enumerate(keys):
+            lo, hi = edges[c, r]
+            aggs += [
+                F.count_if(F.col(c) < lo).alias(f"u{i}"),
+                F.count_if(F.col(c) <= lo).alias(f"v{i}"),
+                F.count_if(F.col(c) < hi).alias(f"w{i}"),
+                F.count_if(F.col(c) <= hi).alias(f"x{i}"),
+            ]
         row = df.agg(*aggs).first()
         final = []
         for i, (c, r) in enumerate(keys):
             lo, hi = edges[c, r]
-            below, inside = row[f"u{i}"], row[f"m{i}"]
-            if not below <= r < below + inside:
+            below_lo, to_lo, below_hi, to_hi = (row[f"{k}{i}"] for k in "uvwx")
+            if not below_lo <= r < to_hi:
                 raise RuntimeError(f"quantile sketch of {c!r} broke its error bound")
-            if lo == hi:
+            inside = below_hi - to_lo
+            if r < to_lo:
                 found[c, r] = float(lo)
+            elif r >= below_hi:
+                found[c, r] = float(hi)
             elif inside <= direct_rows:
-                final.append((c, r, lo, hi, (r - below + 0.5) / inside))
+                final.append((c, r, lo, hi, (r - to_lo + 0.5) / inside))
             else:
-                todo[c, r] = (lo, hi, below, inside)
+                # both ends are known not to be the answer, so each turn
+                # leaves fewer distinct values
+                todo[c, r] = (lo, hi, to_lo, inside)
                 continue
             del todo[c, r]
         if final:
@@ -106,11 +113,11 @@ def _order_statistics(df, ranks, counts, direct_rows, accuracy):
                 *[
                     F.expr(
                         f"percentile_disc({p!r}D) WITHIN GROUP (ORDER BY "
-                        f"CASE WHEN `{c}` BETWEEN {lo!r}D AND {hi!r}D THEN `{c}` END)"
+                        f"CASE WHEN `{c}` > {lo!r}D AND `{c}` < {hi!r}D THEN `{c}` END)"
                     ).alias(f"x{i}")
                     for i, (c, _, lo, hi, p) in enumerate(final)
                 ]
             ).first()
-            for i, (c, r, *_ ) in enumerate(final):
+            for i, (c, r, *_) in enumerate(final):
                 found[c, r] = float(row[f"x{i}"])
     return found

@@ -17,8 +17,8 @@ from ..plans.cut import cut
 from ..plans.skew import attach
 from .result import LABEL, NOISE, ClusterResult
 
-# centre tables up to this many numbers travel inside the plan
-CENTRE_VALUES = 1_000_000
+CENTRE_VALUES = 1_000_000  # numbers in one chunk of the centre table
+CHUNK_SALTS = 64
 
 
 def noise_summary(labels: DataFrame) -> DataFrame:
@@ -79,10 +79,7 @@ def silhouette_samples(
     packed = cut(pack(placed, [LABEL, "slot"], id_col, f_cols))
     dims = len(f_cols)
     data = packed.select(F.struct(LABEL, "slot").alias("block"), "ids", "x")
-    if k * dims <= CENTRE_VALUES:
-        wanted = _wanted_labels(packed, stats, dims)
-    else:
-        wanted = packed.select(LABEL, "slot").join(sizes.select(F.col(LABEL).alias("to")))
+    wanted = _wanted_labels(packed, stats, dims, k)
     targets = slots.select(F.col(LABEL).alias("to"), "slots")
     wanted = wanted.join(F.broadcast(targets) if k <= 50_000 else targets, "to")
     pairs = wanted.select(
@@ -117,24 +114,50 @@ def silhouette_samples(
     return per_row.select(F.col("id").alias(id_col), LABEL, "a", "b", s.alias("s"))
 
 
-def _wanted_labels(packed: DataFrame, stats: DataFrame, dims: int) -> DataFrame:
-    """For each block the labels that can matter to at least one of its rows."""
-    table = stats.orderBy(LABEL).collect()
-    names = np.array([r[LABEL] for r in table], dtype="int32")
-    centres = np.array([[r[f"c_{i}"] for i in range(dims)] for r in table])
-    spread = np.array([r["spread"] for r in table])
+def _wanted_labels(packed: DataFrame, stats: DataFrame, dims: int, k: int) -> DataFrame:
+    """For each block the labels that can matter to at least one of its rows.
+
+    The centres are cut into chunks of bounded size; every block meets every
+    chunk, on a salted key, and the tightest bound a block gets from any chunk
+    thins out the labels kept from the others.
+    """
+    chunks = max(1, -(-k * dims // CENTRE_VALUES))
+    table = pack(
+        stats.withColumn("chunk", F.pmod(F.xxhash64(LABEL), F.lit(chunks))),
+        "chunk", LABEL, [f"c_{i}" for i in range(dims)], ["spread"],
+    ).select("chunk", F.col("ids").alias("names"), F.col("x").alias("centres"), F.col("spread").alias("spreads"))
+    blocks = packed.select(LABEL, "slot", "x")
+    if chunks == 1:
+        met = blocks.crossJoin(F.broadcast(table))  # one row on the right side
+    else:
+        salts = F.sequence(F.lit(0), F.lit(CHUNK_SALTS - 1))
+        met = blocks.withColumn("salt", F.pmod(F.hash(LABEL, "slot"), F.lit(CHUNK_SALTS))).withColumn(
+            "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long")))
+        )
+        met = met.join(table.withColumn("salt", F.explode(salts)), ["chunk", "salt"])
 
     def pick(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for own, slot, x in zip(frame[LABEL], frame["slot"], frame["x"]):
-                low = distance_matrix(matrix(x, dims), centres, "euclidean")
+            for row in frame.itertuples(index=False):
+                names, spread = np.asarray(row.names), np.asarray(row.spreads)
+                low = distance_matrix(matrix(row.x, dims), matrix(row.centres, dims), "euclidean")
                 high = np.sqrt(low * low + spread)
-                other = names != own
-                cap = np.where(other, high, np.inf).min(axis=1)
-                keep = ~other | (low * (1 - 1e-9) <= cap[:, None]).any(axis=0)
-                yield pd.DataFrame({LABEL: own, "slot": slot, "to": names[keep]})
-
-    return packed.select(LABEL, "slot", "x").mapInPandas(pick, f"{LABEL} int, slot long, to int")
+                other = names != row.cluster_label
+                high[:, ~other] = np.inf
+                keep = ~other | (low * (1 - 1e-9) <= high.min(axis=1)[:, None]).any(axis=0)
+                yield pd.DataFrame(
+                    {LABEL: row.cluster_label, "slot": row.slot, "to": names[keep],
+                     "low": np.where(other, low.min(axis=0), 0.0)[keep], "cap": high.max(axis=0).min()}
+                )
+
+    found = met.select(LABEL, "slot", "x", "names", "centres", "spreads").mapInPandas(
+        pick, f"{LABEL} int, slot long, to int, low double, cap double"
+    )
+    if chunks == 1:
+        return found.select(LABEL, "slot", "to")
+    found = cut(found)
+    caps = found.groupBy(LABEL, "slot").agg(F.min("cap").alias("_cap"))
+    return found.join(caps, [LABEL, "slot"]).filter(F.col("low") * (1 - 1e-9) <= F.col("_cap")).select(LABEL, "slot", "to")
 
 
 def silhouette_score(rows: DataFrame, id_col: str, f_cols: list[str], stats=None) -> DataFrame:

@@ -307,9 +307,8 @@ def list_saved_models(spark, sf):
        "FROM lab JOIN customer USING (c_custkey) GROUP BY 1")
 def profile_csv(spark, sf):
     path = store.write_profile(tab.cluster_profile(fixed_kmeans(spark, sf)), scratch(spark))
-    return rounded(load_table(spark, path, "csv", schema="cluster_label int, c_acctbal double, c_nationkey double")
-                   if False else spark.read.option("header", True).schema(
-                       "cluster_label int, c_acctbal double, c_nationkey double").csv(path), 4)
+    schema = "cluster_label int, c_acctbal double, c_nationkey double"
+    return rounded(load_table(spark, path, "csv", schema=schema), 4)
 
 
 @query()
@@ -390,11 +389,13 @@ def dbscan_profile(spark, sf):
 def dbscan_precomputed(spark, sf):
     s = read(spark, sf, "supplier").select("s_suppkey", "s_acctbal", "s_nationkey")
     f = feat.fit_features(s, "s_suppkey").transform(s)
-    a = f.select(F.col("s_suppkey").alias("a"), F.col("f_0").alias("a0"), F.col("f_1").alias("a1"))
-    b = f.select(F.col("s_suppkey").alias("b"), F.col("f_0").alias("b0"), F.col("f_1").alias("b1"))
-    pairs = a.join(b, F.col("a") < F.col("b")).select(
-        "a", "b", F.sqrt((F.col("a0") - F.col("b0")) ** 2 + (F.col("a1") - F.col("b1")) ** 2).alias("distance")
-    )
+    # near pairs through strips of the first feature
+    strip = F.floor(F.col("f_0") / 0.3)
+    a = f.select(F.col("s_suppkey").alias("a"), F.col("f_0").alias("a0"), F.col("f_1").alias("a1"),
+                 F.explode(F.array(strip - 1, strip, strip + 1)).alias("strip"))
+    b = f.select(F.col("s_suppkey").alias("b"), F.col("f_0").alias("b0"), F.col("f_1").alias("b1"), strip.alias("strip"))
+    gap = F.sqrt((F.col("a0") - F.col("b0")) ** 2 + (F.col("a1") - F.col("b1")) ** 2)
+    pairs = a.join(b, "strip").filter(F.col("a") < F.col("b")).select("a", "b", gap.alias("distance")).filter("distance <= 0.3")
     return db.dbscan_pairs(s.select(F.col("s_suppkey").alias("id")), pairs, 0.3, 4).withColumnRenamed("id", "s_suppkey")
 
 

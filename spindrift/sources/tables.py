@@ -11,12 +11,14 @@ NUMERIC, CATEGORICAL, VECTOR, UNUSABLE = "numeric", "categorical", "vector", "un
 
 
 def load_table(spark: SparkSession, path, format: str = "parquet", **options) -> DataFrame:
-    """Open a table; ``options`` go to the Spark reader unchanged."""
+    """Open a table; ``schema`` and other options go to the Spark reader unchanged."""
     if format not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {format!r}")
     if format == "csv":
         options.setdefault("header", True)
-    return spark.read.format(format).options(**options).load(path)
+    schema = options.pop("schema", None)
+    reader = spark.read.format(format).options(**options)
+    return (reader if schema is None else reader.schema(schema)).load(path)
 
 
 def require_table(df) -> DataFrame:

@@ -73,12 +73,13 @@ def test_silhouette_matches_plain(spark, monkeypatch, clusters):
     assert np.allclose(got, silhouette(distances(x), lab))
 
 
-def test_wanted_labels_without_centre_table(spark, monkeypatch):
+def test_wanted_labels_in_chunks(spark, monkeypatch):
     x = blobs(20)
     lab = np.repeat([0, 1, 2], 20).astype("int32")
     df = frame(spark, x).join(spark.createDataFrame(pd.DataFrame({"id": np.arange(60), "cluster_label": lab})), "id")
     want = by_id(ev.silhouette_samples(df, "id", f_cols(x)), "s")
-    monkeypatch.setattr(ev, "CENTRE_VALUES", 0)
+    monkeypatch.setattr(ev, "CENTRE_VALUES", 2)
+    monkeypatch.setattr(ev, "CHUNK_SALTS", 3)
     assert np.allclose(by_id(ev.silhouette_samples(df, "id", f_cols(x)), "s"), want)
 
 
