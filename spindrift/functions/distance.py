@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,54 +15,65 @@ def check_metric(metric: str) -> str:
     return metric
 
 
-def total(terms: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, terms)
+# Wide expressions are written as SQL text: building them from column objects
+# costs one call into the JVM per operator.
+
+
+def num(v: float) -> str:
+    """A double as an SQL literal."""
+    return f"({float(v)!r}D)"
+
 
+def plus(terms: list[str]) -> str:
+    return " + ".join(terms)
 
-def distance(left: list[Column], right: list[Column], metric: str = "euclidean") -> Column:
-    """Distance of two rows given as equally long lists of double columns.
+
+def distance(left: list[str], right: list[str], metric: str = "euclidean") -> Column:
+    """Distance of two rows given as equally long lists of double column names.
 
     For cosine both sides must already have unit length (see ``unit_length``);
     half the squared chord equals 1 - cos and is exactly 0 for equal rows.
     """
     if metric == "manhattan":
-        return total([F.abs(a - b) for a, b in zip(left, right)])
-    squares = total([(a - b) * (a - b) for a, b in zip(left, right)])
-    return squares * 0.5 if metric == "cosine" else F.sqrt(squares)
+        return F.expr(plus([f"abs({a} - {b})" for a, b in zip(left, right)]))
+    squares = plus([f"({a} - {b}) * ({a} - {b})" for a, b in zip(left, right)])
+    return F.expr(f"({squares}) * 0.5D" if metric == "cosine" else f"sqrt({squares})")
 
 
-def norm(cols: list[Column]) -> Column:
-    return F.sqrt(total([c * c for c in cols]))
+def all_zero(names: list[str]) -> Column:
+    return F.expr(" AND ".join(f"{c} = 0" for c in names))
 
 
 def unit_length(df, names: list[str]):
     """Scale each row to length 1; an all-zero row stays all zero."""
     kept = [c for c in df.columns if c not in names]
-    scaled = df.withColumn("_norm", norm([F.col(c) for c in names]))
-    safe = F.when(F.col("_norm") == 0.0, 1.0).otherwise(F.col("_norm"))
-    return scaled.select(*kept, *[(F.col(c) / safe).alias(c) for c in names])
+    length = f"sqrt({plus([f'{c} * {c}' for c in names])})"
+    scaled = df.withColumn("_norm", F.expr(f"CASE WHEN {length} = 0 THEN 1D ELSE {length} END"))
+    return scaled.select(*kept, *[F.expr(f"{c} / _norm AS {c}") for c in names])
 
 
 def box_gap(lo_a, hi_a, lo_b, hi_b, metric: str) -> Column:
     """Smallest possible distance between rows of two axis-parallel boxes."""
     gaps = [
-        F.greatest(la - hb, lb - ha, F.lit(0.0))
+        f"greatest({la} - {hb}, {lb} - {ha}, 0D)"
         for la, ha, lb, hb in zip(lo_a, hi_a, lo_b, hi_b)
     ]
-    if metric == "manhattan":
-        return total(gaps)
-    return F.sqrt(total([g * g for g in gaps]))
+    return _length(gaps, metric)
 
 
 def box_reach(lo_a, hi_a, lo_b, hi_b, metric: str) -> Column:
     """Largest possible distance between rows of two axis-parallel boxes."""
     spans = [
-        F.greatest(ha - lb, hb - la)
+        f"greatest({ha} - {lb}, {hb} - {la})"
         for la, ha, lb, hb in zip(lo_a, hi_a, lo_b, hi_b)
     ]
+    return _length(spans, metric)
+
+
+def _length(parts: list[str], metric: str) -> Column:
     if metric == "manhattan":
-        return total(spans)
-    return F.sqrt(total([s * s for s in spans]))
+        return F.expr(plus(parts))
+    return F.expr(f"sqrt({plus([f'{x} * {x}' for x in parts])})")
 
 
 def distance_matrix(x: np.ndarray, y: np.ndarray, metric: str) -> np.ndarray:

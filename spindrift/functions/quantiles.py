@@ -36,9 +36,9 @@ def exact_quantiles(
     out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
     direct = [c for c in cols if 0 < counts[c] <= direct_rows]
     if direct:
-        arr = F.array(*[F.lit(float(p)) for p in probs])
+        arr = ", ".join(f"{float(p)!r}D" for p in probs)
         row = df.agg(
-            *[F.percentile(c, arr).alias(f"q{i}") for i, c in enumerate(direct)]
+            *[F.expr(f"percentile(`{c}`, array({arr})) AS q{i}") for i, c in enumerate(direct)]
         ).first()
         for i, c in enumerate(direct):
             out[c] = list(row[f"q{i}"])

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.distance import check_metric, distance, distance_matrix, total, unit_length
+from ..functions.distance import all_zero, check_metric, distance, distance_matrix, unit_length
 from ..plans.blocks import join_blocks, matrix, near_pairs, pack, spatial_blocks
 from ..plans.components import connected_components
 from ..plans.cut import cut, table
@@ -134,7 +134,7 @@ def merge_tree(df: DataFrame, id_col: str, f_cols: list[str], linkage: str, metr
     if n < 2:
         raise ValueError("at least 2 rows are needed")
     if metric == "cosine":
-        if not rows.filter(total([F.abs(F.col(x)) for x in x_cols]) == 0.0).isEmpty():
+        if not rows.filter(all_zero(x_cols)).isEmpty():
             raise ValueError("cosine linkage cannot place an all-zero row")
         rows = cut(unit_length(rows, x_cols))
     firsts, zero = _equal_rows(rows, x_cols)
@@ -483,11 +483,10 @@ class _Rounds:
         lost = m.join(lost, "loser").withColumnRenamed("winner", "cid")
         alive = self.state.join(m.select(F.col("loser").alias("cid")), "cid", "left_anti").join(lost, "cid", "left")
         both, n = F.col("size").isNotNull(), F.col("size")
-        mean = [(F.col(c) * F.col("n") + F.col(f"_{c}") * F.col("_n")) / n for c in self.x]
-        alive = alive.select("*", *[v.alias(f"m_{c}") for v, c in zip(mean, self.x)])
-        centre = [F.col(f"m_{c}") for c in self.x]
-        own = distance([F.col(c) for c in self.x], centre, self.plane) + F.col("r")
-        other = distance([F.col(f"_{c}") for c in self.x], centre, self.plane) + F.col("_r")
+        alive = alive.select("*", *[F.expr(f"({c} * n + _{c} * _n) / size AS m_{c}") for c in self.x])
+        centre = [f"m_{c}" for c in self.x]
+        own = distance(self.x, centre, self.plane) + F.col("r")
+        other = distance([f"_{c}" for c in self.x], centre, self.plane) + F.col("_r")
         if self.linkage == "complete":
             r = F.greatest(own, other)
         else:
@@ -499,7 +498,7 @@ class _Rounds:
                 F.when(both, F.col("loser")).otherwise(F.col("key")).alias("key"),
                 F.when(both, F.col("height")).otherwise(F.col("h")).alias("h"),
                 F.when(both, r).otherwise(F.col("r")).alias("r"),
-                *[F.when(both, F.col(f"m_{c}")).otherwise(F.col(c)).alias(c) for c in self.x],
+                *[F.expr(f"coalesce(m_{c}, {c}) AS {c}") for c in self.x],
             )
         )
         if self.members is not None and left > 1:

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.distance import box_gap, box_reach, check_metric, distance, total, unit_length
+from ..functions.distance import all_zero, box_gap, box_reach, check_metric, distance, num, unit_length
 from ..plans.components import connected_components
 from ..plans.cut import cut, table
 from ..plans.numbering import number_rows
@@ -60,8 +60,8 @@ class _Plane:
         return math.ceil(self.eps / self.side)
 
     def box(self):
-        return [F.min(c).alias(f"lo_{i}") for i, c in enumerate(self.cols)] + [
-            F.max(c).alias(f"hi_{i}") for i, c in enumerate(self.cols)
+        return [F.expr(f"min({c}) AS lo_{i}") for i, c in enumerate(self.cols)] + [
+            F.expr(f"max({c}) AS hi_{i}") for i, c in enumerate(self.cols)
         ]
 
     @property
@@ -69,7 +69,7 @@ class _Plane:
         return [f"{s}_{i}" for s in ("lo", "hi") for i in range(self.dims)]
 
     def corners(self, prefix: str):
-        return [[F.col(f"{prefix}{s}_{i}") for i in range(self.dims)] for s in ("lo", "hi")]
+        return [[f"{prefix}{s}_{i}" for i in range(self.dims)] for s in ("lo", "hi")]
 
     def gap(self, a="a_", b="b_"):
         return box_gap(*self.corners(a), *self.corners(b), self.metric)
@@ -78,17 +78,13 @@ class _Plane:
         return box_reach(*self.corners(a), *self.corners(b), self.metric)
 
     def point_gap(self, b="b_"):
-        point = [F.col(c) for c in self.cols]
-        return box_gap(point, point, *self.corners(b), self.metric)
+        return box_gap(self.cols, self.cols, *self.corners(b), self.metric)
 
     def point_reach(self, b="b_"):
-        point = [F.col(c) for c in self.cols]
-        return box_reach(point, point, *self.corners(b), self.metric)
+        return box_reach(self.cols, self.cols, *self.corners(b), self.metric)
 
     def between(self, a: str, b: str):
-        return distance(
-            [F.col(f"{a}{c}") for c in self.cols], [F.col(f"{b}{c}") for c in self.cols], self.metric
-        )
+        return distance([f"{a}{c}" for c in self.cols], [f"{b}{c}" for c in self.cols], self.metric)
 
     def boxed(self, df: DataFrame, side: str, *others: str) -> DataFrame:
         """Rename ``cell``, its box and ``others`` for one side of a join."""
@@ -134,7 +130,7 @@ def dbscan_labels(
         return _labels(rows, plane, min_samples).withColumnRenamed("id", id_col)
     # on unit rows 1 - cos <= eps is a chord of at most sqrt(2 eps)
     rows = cut(unit_length(rows, plane.cols))
-    empty = total([F.abs(F.col(c)) for c in plane.cols]) == 0.0
+    empty = all_zero(plane.cols)
     zeros, others = rows.filter(empty), rows.filter(~empty)
     chord = _Plane(len(f_cols), math.sqrt(2 * eps), "euclidean")
     if zeros.isEmpty():
@@ -210,7 +206,7 @@ def _numbered(comps: DataFrame, bound: int | None = None) -> DataFrame:
 
 def _cell(plane: _Plane, side: float):
     # text, so that it is exact for any number of columns
-    return F.concat_ws(",", *[F.floor(F.col(c) / F.lit(side)).cast("string") for c in plane.cols])
+    return F.expr("concat_ws(',', " + ", ".join(f"CAST(floor({c} / {num(side)}) AS STRING)" for c in plane.cols) + ")")
 
 
 def _near_cells(cells: DataFrame, plane: _Plane, spans: list[int]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.distance import check_metric, distance_matrix, total, unit_length
+from ..functions.distance import check_metric, distance_matrix, num, plus, unit_length
 from ..plans.blocks import join_blocks, matrix, near_pairs, spatial_blocks
 from ..plans.cut import cut
 from ..plans.numbering import number_rows
@@ -60,7 +60,7 @@ def pca_projection(result: ClusterResult, n_components: int = 2, ignore_noise: b
     for j, p in enumerate(pcs):
         w = loadings[:, j]
         w = w if w[np.abs(w).argmax()] > 0 else -w
-        out.append(total([(F.col(f) - F.lit(mean[f])) * F.lit(float(v)) for f, v in zip(f_cols, w)]).alias(p))
+        out.append(F.expr(plus([f"({f} - {num(mean[f])}) * {num(v)}" for f, v in zip(f_cols, w)])).alias(p))
     return rows.select(result.id_col, *out, LABEL)
 
 

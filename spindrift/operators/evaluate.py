@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.distance import distance, distance_matrix, total
+from ..functions.distance import distance, distance_matrix, plus
 from ..plans.blocks import block_rows, join_blocks, matrix, pack
 from ..plans.cut import cut
 from ..plans.skew import attach
@@ -45,14 +45,10 @@ def metric_rows(labelled: DataFrame, ignore_noise: bool = True) -> DataFrame:
 
 def cluster_stats(rows: DataFrame, f_cols: list[str]) -> DataFrame:
     """Per label: n, centre ``c_*`` and mean squared distance to it, one pass."""
-    agg = rows.groupBy(LABEL).agg(
+    return rows.groupBy(LABEL).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.avg(f).alias(f"c_{i}") for i, f in enumerate(f_cols)],
-        *[F.var_pop(f).alias(f"v_{i}") for i, f in enumerate(f_cols)],
-    )
-    return agg.select(
-        LABEL, "n", *[f"c_{i}" for i in range(len(f_cols))],
-        total([F.col(f"v_{i}") for i in range(len(f_cols))]).alias("spread"),
+        *[F.expr(f"avg({f}) AS c_{i}") for i, f in enumerate(f_cols)],
+        F.expr(plus([f"var_pop({f})" for f in f_cols])).alias("spread"),
     )
 
 
@@ -173,13 +169,12 @@ def silhouette_sq(rows: DataFrame, f_cols: list[str]) -> float:
 def calinski_harabasz(stats: DataFrame, dims: int) -> DataFrame:
     """From per-label statistics alone; null unless 2 <= labels < rows."""
     n = F.sum("n")
-    means = [F.sum(F.col(f"c_{i}") * F.col("n")) / n for i in range(dims)]
     totals = stats.agg(
         n.alias("n"), F.count(F.lit(1)).alias("k"),
         F.sum(F.col("spread") * F.col("n")).alias("within"),
-        *[m.alias(f"m_{i}") for i, m in enumerate(means)],
+        *[F.expr(f"sum(c_{i} * n) / sum(n) AS m_{i}") for i in range(dims)],
     )
-    gap = total([(F.col(f"c_{i}") - F.col(f"m_{i}")) ** 2 for i in range(dims)])
+    gap = F.expr(plus([f"(c_{i} - m_{i}) * (c_{i} - m_{i})" for i in range(dims)]))
     # one row on the right side
     between = stats.crossJoin(F.broadcast(totals.drop("n", "k", "within"))).agg(
         F.sum(gap * F.col("n")).alias("between")
@@ -197,7 +192,7 @@ def davies_bouldin(rows: DataFrame, f_cols: list[str], stats: DataFrame) -> Data
     c_cols = [f"c_{i}" for i in range(dims)]
     k = stats.count()
     near = attach(rows.select(LABEL, *f_cols), stats.select(LABEL, "n", *c_cols), [LABEL], "n", small_rows=k)
-    own = distance([F.col(f) for f in f_cols], [F.col(c) for c in c_cols])
+    own = distance(f_cols, c_cols)
     radius = near.groupBy(LABEL).agg(F.avg(own).alias("r"))
     clusters = stats.select(LABEL, *c_cols).join(radius, LABEL).withColumn(
         "block", F.pmod(F.xxhash64(LABEL), F.lit(max(1, -(-k // 512))))

@@ -15,6 +15,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.distance import num
 from ..functions.quantiles import exact_quantiles
 from ..sources.tables import (
     CATEGORICAL,
@@ -60,10 +61,14 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def number(name: str) -> Column:
-    """A numeric column as double, with NaN turned into null."""
-    x = col(name).cast("double")
-    return F.when(~F.isnan(x), x)
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def number(name: str, at: int | None = None) -> str:
+    """SQL of a numeric column, or of one array element, as double without NaN."""
+    x = quoted(name) if at is None else f"get({quoted(name)}, {at})"
+    return f"nullif(CAST({x} AS DOUBLE), double('NaN'))"
 
 
 def text(name: str) -> Column:
@@ -97,11 +102,9 @@ class FeatureSpec:
 
     def encoded(self) -> list[Column]:
         """Imputed and encoded columns, before scaling."""
-        out = [F.coalesce(number(c), F.lit(self.medians[c])) for c in self.numeric]
+        out = [F.expr(f"coalesce({number(c)}, {num(self.medians[c])})") for c in self.numeric]
         for c, size in self.vectors.items():
-            for k in range(size):
-                x = F.get(col(c), F.lit(k)).cast("double")
-                out.append(F.coalesce(F.when(~F.isnan(x), x), F.lit(self.vector_medians[c][k])))
+            out += [F.expr(f"coalesce({number(c, k)}, {num(self.vector_medians[c][k])})") for k in range(size)]
         for c in self.categorical:
             value = F.coalesce(text(c), F.lit(self.modes[c]))
             if self.encoder == "ohe":
@@ -111,17 +114,20 @@ class FeatureSpec:
                 out.append((F.array_position(known, value) - 1).cast("double"))
         return out
 
-    def scaled(self, cols: list[Column]) -> list[Column]:
-        if self.scaler == "none":
-            return cols
-        return [(c - F.lit(m)) / F.lit(w) for c, m, w in zip(cols, self.centre, self.width)]
+    def processed(self, prefix: str) -> list[Column]:
+        """Imputed, encoded and scaled columns, named ``prefix`` and a number."""
+        cols = self.encoded()
+        if self.scaler != "none":
+            cols = [(c - m) / w for c, m, w in zip(cols, self.centre, self.width)]
+        return [c.alias(f"{prefix}{i}") for i, c in enumerate(cols)]
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Id and ``f_0 ...`` for any table with the fitted columns."""
-        cols = self.scaled(self.encoded())
+        ready = df.select(col(self.id_col), *self.processed("f_"))
         if self.stages is None:
-            return df.select(col(self.id_col), *[c.alias(f"f_{i}") for i, c in enumerate(cols)])
-        ready = df.select(col(self.id_col), array_to_vector(F.array(*cols)).alias("features"))
+            return ready
+        cols = [c for c in ready.columns if c != self.id_col]
+        ready = ready.select(col(self.id_col), array_to_vector(F.array(*cols)).alias("features"))
         arr = vector_to_array(F.col(self.stage_output))
         return self.stages.transform(ready).select(
             col(self.id_col),
@@ -208,17 +214,13 @@ def fit_features(
                 raise ValueError(f"the arrays of {c!r} do not all have one length")
             sizes[c] = row[f"a{i}"]
 
-    def element(c, k):
-        x = F.get(col(c), F.lit(k)).cast("double")
-        return F.when(~F.isnan(x), x)
-
     cells = [number(c) for c in numeric]
-    cells += [element(c, k) for c in vectors for k in range(sizes[c])]
-    flat = df.select(*[x.alias(f"v{i}") for i, x in enumerate(cells)])
+    cells += [number(c, k) for c in vectors for k in range(sizes[c])]
+    flat = df.selectExpr(*[f"{x} AS v{i}" for i, x in enumerate(cells)])
     at = [f"v{i}" for i in range(len(cells))]
     counts = {}
     if at:
-        row = flat.agg(*[F.count(v).alias(v) for v in at]).first()
+        row = flat.agg(*[F.expr(f"count({v}) AS {v}") for v in at]).first()
         counts = {v: row[v] for v in at}
     medians_at = exact_quantiles(flat, at, [0.5], counts)
     medians, dropped = {}, []
@@ -261,15 +263,15 @@ def _scaler_values(df: DataFrame, spec: FeatureSpec) -> tuple[list[float], list[
         width = [qs[c][2] - qs[c][0] for c in cols]
     elif spec.scaler == "standard":
         row = enc.agg(
-            *[F.avg(c).alias(f"a{i}") for i, c in enumerate(cols)],
-            *[F.stddev_pop(c).alias(f"b{i}") for i, c in enumerate(cols)],
+            *[F.expr(f"avg({c}) AS a{i}") for i, c in enumerate(cols)],
+            *[F.expr(f"stddev_pop({c}) AS b{i}") for i, c in enumerate(cols)],
         ).first()
         centre = [row[f"a{i}"] for i in range(len(cols))]
         width = [row[f"b{i}"] for i in range(len(cols))]
     else:
         row = enc.agg(
-            *[F.min(c).alias(f"a{i}") for i, c in enumerate(cols)],
-            *[F.max(c).alias(f"b{i}") for i, c in enumerate(cols)],
+            *[F.expr(f"min({c}) AS a{i}") for i, c in enumerate(cols)],
+            *[F.expr(f"max({c}) AS b{i}") for i, c in enumerate(cols)],
         ).first()
         centre = [row[f"a{i}"] for i in range(len(cols))]
         width = [row[f"b{i}"] - row[f"a{i}"] for i in range(len(cols))]
@@ -278,7 +280,8 @@ def _scaler_values(df: DataFrame, spec: FeatureSpec) -> tuple[list[float], list[
 
 def _with_stages(df: DataFrame, spec: FeatureSpec, stages: list) -> FeatureSpec:
     """Fit pyspark.ml stages that go from the ``features`` column onwards."""
-    ready = df.select(array_to_vector(F.array(*spec.scaled(spec.encoded()))).alias("features"))
+    cols = spec.f_cols
+    ready = df.select(*spec.processed("f_")).select(array_to_vector(F.array(*cols)).alias("features"))
     model = Pipeline(stages=stages).fit(ready)
     output = model.stages[-1].getOutputCol()
     size = model.transform(ready).select(F.size(vector_to_array(F.col(output)))).first()[0]
@@ -295,12 +298,12 @@ def _with_stages(df: DataFrame, spec: FeatureSpec, stages: list) -> FeatureSpec:
 
 def impute_median(df: DataFrame, cols: list[str]) -> DataFrame:
     """Fill missing numbers with the exact median; all-missing columns go."""
-    flat = df.select(*[number(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    flat = df.selectExpr(*[f"{number(c)} AS v{i}" for i, c in enumerate(cols)])
     found = exact_quantiles(flat, [f"v{i}" for i in range(len(cols))], [0.5])
     med = {c: found[f"v{i}"][0] for i, c in enumerate(cols)}
     return df.select(
         *[
-            F.coalesce(number(c), F.lit(med[c])).alias(c) if c in med else col(c)
+            F.expr(f"coalesce({number(c)}, {num(med[c])})").alias(c) if c in med else col(c)
             for c in df.columns
             if c not in med or med[c] is not None
         ]

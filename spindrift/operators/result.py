@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.distance import distance_matrix, total
+from ..functions.distance import distance_matrix, num, plus
 from .features import FeatureSpec
 
 LABEL = "cluster_label"
@@ -22,14 +22,11 @@ EXPRESSION_TERMS = 2_000
 def nearest_centre(cols: list[str], centres: list[list[float]]):
     """Struct column ``(d2, c)``: squared distance and number of the nearest centre."""
     if len(centres) * len(cols) <= EXPRESSION_TERMS:
-        options = [
-            F.struct(
-                total([(F.col(x) - F.lit(v)) * (F.col(x) - F.lit(v)) for x, v in zip(cols, c)]).alias("d2"),
-                F.lit(i).alias("c"),
-            )
-            for i, c in enumerate(centres)
-        ]
-        return F.array_min(F.array(*options)) if len(options) > 1 else options[0]
+        options = []
+        for i, c in enumerate(centres):
+            squares = plus([f"({x} - {num(v)}) * ({x} - {num(v)})" for x, v in zip(cols, c)])
+            options.append(f"named_struct('d2', {squares}, 'c', {i})")
+        return F.expr(f"array_min(array({', '.join(options)}))")
     table = np.asarray(centres, dtype=float)
 
     @F.pandas_udf("d2 double, c int")
@@ -105,8 +102,7 @@ class ClusterResult:
         names = [c for c in raw.columns if c != LABEL]
         if self.label_table is not None or self.spec.stages is not None:
             return raw.select(*names).join(self.labels, self.id_col)
-        cols = self.spec.scaled(self.spec.encoded())
-        ready = raw.select(*raw.columns, *[c.alias(f"_{f}") for c, f in zip(cols, self.f_cols)])
+        ready = raw.select("*", *self.spec.processed("_f_"))
         hidden = [f"_{f}" for f in self.f_cols]
         return ready.select(*names, nearest_centre(hidden, self.centres)["c"].alias(LABEL))
 

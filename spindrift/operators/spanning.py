@@ -126,8 +126,8 @@ def _edges(points: DataFrame, x_cols: list[str], metric: str) -> DataFrame:
     placed = cut(placed.select("cid", "block", *x_cols, F.col("cid").alias("comp")))
     boxes = cut(
         placed.groupBy("block").agg(
-            *[F.min(c).alias(f"lo_{i}") for i, c in enumerate(x_cols)],
-            *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(x_cols)],
+            *[F.expr(f"min({c}) AS lo_{i}") for i, c in enumerate(x_cols)],
+            *[F.expr(f"max({c}) AS hi_{i}") for i, c in enumerate(x_cols)],
         )
     )
     edges, left = points.sparkSession.createDataFrame([], EDGE), n

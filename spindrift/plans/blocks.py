@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.distance import box_gap
+from ..functions.distance import box_gap, num
 from .cut import cut
 from .numbering import number_rows
 
@@ -38,8 +38,8 @@ def morton_key(df: DataFrame, cols: list[str]) -> tuple[Column, int]:
     """
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.min(c).alias(f"a{i}") for i, c in enumerate(cols)],
-        *[F.max(c).alias(f"b{i}") for i, c in enumerate(cols)],
+        *[F.expr(f"min({c}) AS a{i}") for i, c in enumerate(cols)],
+        *[F.expr(f"max({c}) AS b{i}") for i, c in enumerate(cols)],
     ).first()
     spans = [(row[f"b{i}"] - row[f"a{i}"], i) for i in range(len(cols))] if row["n"] else []
     used = [i for span, i in sorted(spans, reverse=True)[:MORTON_DIMS] if span > 0]
@@ -50,14 +50,9 @@ def morton_key(df: DataFrame, cols: list[str]) -> tuple[Column, int]:
     terms = []
     for j, i in enumerate(used):
         lo, span = row[f"a{i}"], row[f"b{i}"] - row[f"a{i}"]
-        step = F.floor((F.col(cols[i]) - F.lit(lo)) / F.lit(span) * F.lit(float(top))).cast("long")
-        for b in range(bits):
-            bit = F.shiftright(step, b).bitwiseAND(F.lit(1).cast("long"))
-            terms.append(F.shiftleft(bit, b * len(used) + j))
-    key = terms[0]
-    for t in terms[1:]:
-        key = key + t
-    return key, row["n"]
+        step = f"CAST(floor(({cols[i]} - {num(lo)}) / {num(span)} * {num(top)}) AS BIGINT)"
+        terms += [f"shiftleft(shiftright({step}, {b}) & 1L, {b * len(used) + j})" for b in range(bits)]
+    return F.expr(" | ".join(terms)), row["n"]
 
 
 @dataclass(frozen=True)
@@ -89,8 +84,8 @@ def spatial_blocks(
     boxes = cut(
         placed.groupBy("block").agg(
             F.count(F.lit(1)).alias("n"),
-            *[F.min(c).alias(f"lo_{i}") for i, c in enumerate(cols)],
-            *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(cols)],
+            *[F.expr(f"min({c}) AS lo_{i}") for i, c in enumerate(cols)],
+            *[F.expr(f"max({c}) AS hi_{i}") for i, c in enumerate(cols)],
         )
     )
     return Blocks(data, boxes, n, n_blocks, len(cols))
@@ -145,7 +140,7 @@ def near_pairs(boxes: DataFrame, n_blocks: int, dims: int, bound: str, metric: s
 
     def nodes(source, level, side, with_bound):
         shift = FAN_OUT_BITS * level
-        aggs = [F.min(c).alias(f"{side}_{c}") for c in lo] + [F.max(c).alias(f"{side}_{c}") for c in hi]
+        aggs = [F.expr(f"min({c}) AS {side}_{c}") for c in lo] + [F.expr(f"max({c}) AS {side}_{c}") for c in hi]
         if with_bound:
             aggs.append(F.max(bound).alias("_bound"))
         return (
@@ -163,7 +158,7 @@ def near_pairs(boxes: DataFrame, n_blocks: int, dims: int, bound: str, metric: s
             up = pairs.select(F.col("a").alias("a_up"), F.col("b").alias("b_up"))
             joined = up.join(left, "a_up").join(right, "b_up")
         gap = box_gap(
-            *[[F.col(f"{s}_{c}") for c in side] for s in "ab" for side in (lo, hi)], metric
+            *[[f"{s}_{c}" for c in side] for s in "ab" for side in (lo, hi)], metric
         )
         pairs = joined.filter(gap <= F.col("_bound")).select("a", "b")
     return pairs
