@@ -157,7 +157,8 @@ def kth_neighbour(df: DataFrame, id_col: str, f_cols: list[str], k: int, metric:
 
         def flush():
             closer_than = best[:, 0] < cap
-            return pd.DataFrame({"id": np.asarray(ids)[closer_than], "near": list(best[closer_than])})
+            near = pd.Series(list(best[closer_than]), dtype=object)
+            return pd.DataFrame({"id": np.asarray(ids)[closer_than], "near": near})
 
         for f in frames:
             for a, ids_a, x_a, near_a, x_b in zip(f["a"], f["ids_a"], f["x_a"], f["near_a"], f["x_b"]):

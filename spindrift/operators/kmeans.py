@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -46,6 +47,10 @@ def vectors(features: DataFrame, f_cols: list[str]) -> DataFrame:
 
 
 def _fit_once(vecs: DataFrame, k: int, seed: int, mode: str):
+    """Cost, centres and rounds of one fit; Spark's trainer starts at two clusters."""
+    if k == 1:
+        mean = vecs.select(Summarizer.mean(F.col("features"))).first()[0]
+        return 0.0, [list(map(float, mean))], 1
     model = KMeans(
         featuresCol="features", k=k, seed=seed, initMode=mode, initSteps=5, maxIter=MAX_ITER, tol=TOL
     ).fit(vecs)
