@@ -23,8 +23,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
         .distinct()
     )
     n, settled = _state(e)
+    rounds = 0
     while not settled:
-        e = table(_round(e, 2 * n))
+        rounds += 1
+        # size estimates multiply from round to round; a table resets them
+        e = (cut if rounds % 3 else table)(_round(e, 2 * n))
         n, settled = _state(e)
     leaves = e.select(F.col("u").alias("node"), F.col("v").alias("comp"))
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()
