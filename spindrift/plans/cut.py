@@ -16,7 +16,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         sc.setCheckpointDir(named)
-    elif sc.master.startswith("local"):
+    elif sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spindrift-"))
     else:
         raise RuntimeError(
