@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, sharding
+from . import language, mixing, packing, secrets, sharding
 
 QUERIES, ORACLES = {}, {}
 
@@ -76,3 +77,19 @@ def raking_sql() -> str:
 @query(raking_sql())
 def op3_raked_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).withColumn("probability", F.round("probability", 6))
+
+
+@query()
+def op6_random_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    count = lambda k: F.size(F.filter(spans, lambda s: s.kind == k)).cast("long")
+    base = F.filter(spans, lambda s: s.kind < secrets.KINDS.index("random"))
+    return secrets.find_secrets(documents(spark, sf_dir)).select(
+        "doc_id", *[count(k).alias(f"n_{secrets.KINDS[k]}") for k in range(3)],
+        F.sha2(secrets.written(base), 256).alias("base_sha256"), secrets.written(spans).alias("spans"),
+    )
+
+
+@query()
+def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
