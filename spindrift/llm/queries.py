@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, packing, secrets, sharding
+from . import fingerprints, language, mixing, packing, secrets, sharding
 
 QUERIES, ORACLES = {}, {}
 
@@ -93,3 +93,8 @@ def op6_random_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op2_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edited(documents(spark, sf_dir))
