@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, mixing, packing, secrets, sharding
+from . import fingerprints, language, linededup, mixing, packing, secrets, sharding
 
 QUERIES, ORACLES = {}, {}
 
@@ -98,3 +98,9 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(documents(spark, sf_dir))
+
+
+@query()
+def op1_aligned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.dedup_lines(documents(spark, sf_dir))
+    return found.select("doc_id", "text", F.col("_removed_lines").alias("removed_lines"))
