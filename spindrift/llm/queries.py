@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, linededup, mixing, packing, secrets, sharding
+from . import fingerprints, language, linededup, mixing, neardup, packing, secrets, sharding
 
 QUERIES, ORACLES = {}, {}
 
@@ -104,3 +104,8 @@ def op2_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_aligned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.dedup_lines(documents(spark, sf_dir))
     return found.select("doc_id", "text", F.col("_removed_lines").alias("removed_lines"))
+
+
+@query()
+def op4_probminhash_neardups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir))
