@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, linededup, mixing, neardup, packing, secrets, sharding
+from . import fingerprints, language, linededup, mixing, neardup, packing, pages, secrets, sharding
 
 QUERIES, ORACLES = {}, {}
 
@@ -109,3 +109,8 @@ def op1_aligned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_probminhash_neardups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir))
+
+
+@query()
+def op7_consensus_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
