@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, linededup, mixing, neardup, packing, pages, secrets, sharding
+from . import fingerprints, language, linededup, mixing, mtree, neardup, packing, pages, secrets, sharding
 
 QUERIES, ORACLES = {}, {}
 
@@ -114,3 +114,18 @@ def op4_probminhash_neardups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_consensus_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("""
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+    s AS (
+        SELECT q.vec_id AS query_id, e.vec_id, list_dot_product(q.x, e.x)::BIGINT AS score
+        FROM v q JOIN v e ON q.vec_id % 50 = 0 AND q.vec_id <> e.vec_id)
+    SELECT * FROM (
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s)
+    WHERE rank <= 5
+""")
+def op5_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, k=5)
