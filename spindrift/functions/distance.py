@@ -86,6 +86,7 @@ def distance_matrix(x: np.ndarray, y: np.ndarray, metric: str) -> np.ndarray:
     for k in range(x.shape[1]):
         gap = x[:, k, None] - y[None, :, k]
         out += np.abs(gap) if metric == "manhattan" else gap * gap
+    # "squared" leaves the squares as they are
     if metric == "euclidean":
         np.sqrt(out, out=out)
     elif metric == "cosine":

@@ -229,33 +229,40 @@ def merged_rows(pairs: DataFrame, state: DataFrame, round_no: int) -> DataFrame:
 
 def _merge_matrix(ids, d, n, h, key, linkage, round_no) -> pd.DataFrame:
     """Merge a small distance matrix to one cluster (Lance-Williams updates)."""
-    ids, n, h, key, out = list(ids), list(n), list(h), list(key), []
+    ids = np.asarray(ids, dtype=np.int64)
+    n, h, key, out = list(n), list(h), list(key), []
     d = np.array(d, dtype=float)
     np.fill_diagonal(d, np.inf)
-    live = np.ones(len(ids), dtype=bool)
-    for step in range(len(ids) - 1):
-        i, j = np.unravel_index(d.argmin(), d.shape)
-        if ids[i] > ids[j]:
-            i, j = j, i
-        gap, a, b = d[i, j], d[i], d[j]
-        if linkage == "complete":
-            new = np.maximum(a, b)
-        elif linkage == "average":
-            new = (n[i] * a + n[j] * b) / (n[i] + n[j])
-        else:
-            m = np.asarray(n)
-            square = (n[i] + m) * a * a + (n[j] + m) * b * b - m * gap * gap
-            new = np.sqrt(np.maximum(square / (n[i] + n[j] + m), 0.0))
-        height = max(gap, h[i], h[j])
-        n[i] += n[j]
-        left, right = (None if key[k] < 0 else key[k] for k in (i, j))
-        out.append((ids[i], ids[j], left, right, height, n[i], round_no, step))
-        h[i], key[i] = height, ids[j]
-        live[j] = False
-        new[~live] = np.inf
-        new[i] = np.inf
-        d[i] = d[:, i] = new
-        d[j] = d[:, j] = np.inf
+    live = np.argsort(ids)
+    while len(live) > 1:
+        # the same rule as between tables: all mutual nearest merge, ties by the mixed ids
+        near = d[np.ix_(live, live)]
+        first = near == near.min(axis=1)[:, None]
+        to = np.where(first, _tie_matrix(ids[live], ids[live]), np.iinfo("int64").max).argmin(axis=1)
+        pairs = [(live[p], live[q]) for p, q in enumerate(to) if p < q and to[q] == p]
+        if not pairs:
+            raise RuntimeError("no two clusters are each other's nearest")
+        for i, j in pairs:
+            gap, a, b = d[i, j], d[i].copy(), d[j].copy()
+            if linkage == "complete":
+                new = np.maximum(a, b)
+            elif linkage == "average":
+                new = (n[i] * a + n[j] * b) / (n[i] + n[j])
+            else:
+                m = np.asarray(n)
+                square = (n[i] + m) * a * a + (n[j] + m) * b * b - m * gap * gap
+                new = np.sqrt(np.maximum(square / (n[i] + n[j] + m), 0.0))
+            height = max(gap, h[i], h[j])
+            n[i] += n[j]
+            left, right = (None if key[k] < 0 else key[k] for k in (i, j))
+            out.append((ids[i], ids[j], left, right, height, n[i], round_no, ids[i]))
+            h[i], key[i] = height, ids[j]
+            new[i] = np.inf
+            d[i] = d[:, i] = new
+            d[j] = d[:, j] = np.inf
+        gone = {j for _, j in pairs}
+        live = np.array([k for k in live if k not in gone])
+        round_no += 1
     frame = pd.DataFrame(out, columns=[c.split()[0] for c in MERGE_ROW.split(", ")])
     return frame.astype({"left_key": "Int64", "right_key": "Int64", "size": "int64"})
 
@@ -284,7 +291,10 @@ class _Rounds:
             nearest = cut(self.nearest(left))
             merges = cut(merged_rows(mutual_pairs(nearest), self.state, round_no))
             done = merges if done is None else done.unionByName(merges)
-            left -= merges.count()
+            found = merges.count()
+            if not found:
+                raise RuntimeError("no two clusters are each other's nearest")
+            left -= found
             self.absorb(merges, left)
         if left > 1:
             last = self.last_merges(round_no + 1)
@@ -351,7 +361,8 @@ class _Rounds:
                 d *= np.sqrt(2.0 * np.multiply.outer(na, nb) / np.add.outer(na, nb))
             elif exact:
                 # mean of 1 - cos over both clusters
-                inner = 2.0 - (xa * xa).sum(1)[:, None] - (xb * xb).sum(1)[None, :]
+                # one sum first, so that both directions round alike
+                inner = 2.0 - ((xa * xa).sum(1)[:, None] + (xb * xb).sum(1)[None, :])
                 d = (d * d + inner) / 2
             return d, d if exact else (d + np.add.outer(ra, rb)) * (1 + SLACK)
 

@@ -295,7 +295,8 @@ def _components(core: DataFrame, core_cells: DataFrame, pairs: DataFrame, plane:
     )
     sure = met.filter("linked").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     maybe = met.filter(~F.col("linked"))
-    looks = maybe.agg(F.sum(F.col("a_core_n") * F.col("b_core_n")), F.max(F.col("a_core_n") * F.col("b_core_n"))).first()
+    product = F.col("a_core_n").cast("double") * F.col("b_core_n")
+    looks = maybe.agg(F.sum(product), F.max(product)).first()
     if looks[0]:
         if looks[0] > FEW_LOOKS:
             # a pair already joined through other cells needs no look at its rows
@@ -315,10 +316,11 @@ def _components(core: DataFrame, core_cells: DataFrame, pairs: DataFrame, plane:
     return joined.withColumn("comp", F.coalesce("comp", "node"))
 
 
-def _touching(core: DataFrame, open_pairs: DataFrame, plane: _Plane, largest: int) -> DataFrame:
+def _touching(core: DataFrame, open_pairs: DataFrame, plane: _Plane, largest: float) -> DataFrame:
     """Those cell pairs ``a, b`` with two core rows within eps."""
-    few = open_pairs.filter(F.col("a_core_n") * F.col("b_core_n") <= PAIR_ROWS).select("a", "b")
-    many = open_pairs.filter(F.col("a_core_n") * F.col("b_core_n") > PAIR_ROWS).select("a", "b")
+    product = F.col("a_core_n").cast("double") * F.col("b_core_n")
+    few = open_pairs.filter(product <= PAIR_ROWS).select("a", "b")
+    many = open_pairs.filter(product > PAIR_ROWS).select("a", "b")
 
     def side(s):
         return core.select(F.col("cell").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in plane.cols])

@@ -8,13 +8,14 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distance import check_metric, distance_matrix, num, plus, unit_length
 from ..plans.blocks import join_blocks, matrix, near_pairs, spatial_blocks
 from ..plans.cut import cut
 from ..plans.numbering import number_rows
+from ..plans.skew import attach
 from .evaluate import metric_rows, silhouette_samples
 from .result import LABEL, ClusterResult
 
@@ -75,12 +76,11 @@ def silhouette_plot_data(result: ClusterResult, ignore_noise: bool = True) -> Da
     sizes = samples.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n"))
     if sizes.limit(2).count() < 2:
         raise ValueError("a silhouette chart needs at least two clusters")
-    # one row per label; rows themselves are numbered without a window
-    place = sizes.select(LABEL, F.row_number().over(Window.orderBy(LABEL)).alias("_at"))
+    place = number_rows(sizes, [F.col(LABEL)], "_at", start=1)
     mean = samples.agg(F.avg("s").alias("mean_s"))
     ranked = number_rows(samples.select(LABEL, "s", result.id_col), [F.col(LABEL), F.col("s"), F.col(result.id_col)])
     return (
-        ranked.join(place, LABEL)
+        attach(ranked, place, [LABEL], "n")
         .crossJoin(F.broadcast(mean))
         .select(LABEL, (F.col("pos") + F.col("_at") * 10).cast("long").alias("y"), "s", "mean_s")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distance import distance_matrix, num, plus
-from .features import FeatureSpec
+from .features import FeatureSpec, col
 
 LABEL = "cluster_label"
 NOISE = -1
@@ -34,9 +34,10 @@ def nearest_centre(cols: list[str], centres: list[list[float]]):
         x = np.column_stack([p.to_numpy(dtype=float) for p in parts])
         d2, c = np.empty(len(x)), np.empty(len(x), dtype="int32")
         for at in range(0, len(x), 512):
-            d = distance_matrix(x[at:at + 512], table, "euclidean")
+            # squares are compared, as in the expression: roots would make ties of their own
+            d = distance_matrix(x[at:at + 512], table, "squared")
             c[at:at + 512] = d.argmin(axis=1)
-            d2[at:at + 512] = d.min(axis=1) ** 2
+            d2[at:at + 512] = d.min(axis=1)
         return pd.DataFrame({"d2": d2, "c": c})
 
     return nearest(*cols)
@@ -68,6 +69,12 @@ class ClusterResult:
     def f_cols(self) -> list[str]:
         return self.spec.f_cols
 
+    @property
+    def selected(self) -> list[str]:
+        """The raw columns the features come from, empty ones included, in the order of the table."""
+        used = {*self.spec.numeric, *self.spec.categorical, *self.spec.vectors, *self.spec.dropped}
+        return [c for c in self.source.columns if c in used]
+
     @cached_property
     def features(self) -> DataFrame:
         return self.spec.transform(self.source)
@@ -97,14 +104,14 @@ class ClusterResult:
         return self.assign_features(self.spec.transform(df)).select(self.id_col, LABEL)
 
     def labelled_source(self, df: DataFrame | None = None) -> DataFrame:
-        """Raw columns and ``cluster_label`` (an old column of that name goes)."""
+        """Id, selected raw columns and ``cluster_label``."""
         raw = self.source if df is None else df
-        names = [c for c in raw.columns if c != LABEL]
+        names = [self.id_col, *self.selected]
         if self.label_table is not None or self.spec.stages is not None:
-            return raw.select(*names).join(self.labels, self.id_col)
+            return raw.select(*[col(c) for c in names]).join(self.labels, self.id_col)
         ready = raw.select("*", *self.spec.processed("_f_"))
         hidden = [f"_{f}" for f in self.f_cols]
-        return ready.select(*names, nearest_centre(hidden, self.centres)["c"].alias(LABEL))
+        return ready.select(*[col(c) for c in names], nearest_centre(hidden, self.centres)["c"].alias(LABEL))
 
     def centre_table(self) -> DataFrame | None:
         if self.centres is None:
@@ -114,7 +121,15 @@ class ClusterResult:
         return self.source.sparkSession.createDataFrame(rows, schema)
 
 
+def labels_of(df: DataFrame, id_col: str, labels: DataFrame) -> DataFrame:
+    """The ``labels`` of the rows of ``df``; raises if a row has none."""
+    ids = df.select(id_col).distinct()
+    if not ids.join(labels, id_col, "left_anti").isEmpty():
+        raise ValueError("the table has rows without a label; this model can't label new rows")
+    return labels.join(ids, id_col, "left_semi")
+
+
 def given_labels(df: DataFrame, spec: FeatureSpec, labels: DataFrame, model: str = "given") -> ClusterResult:
-    """Describe and score labels that come from elsewhere: ``id, cluster_label``."""
-    table = labels.select(spec.id_col, F.col(LABEL).cast("int").alias(LABEL))
+    """Describe and score labels that come from elsewhere: ``id, cluster_label``, one for each row."""
+    table = labels_of(df, spec.id_col, labels.select(spec.id_col, F.col(LABEL).cast("int").alias(LABEL)))
     return ClusterResult(model, {}, spec, df, label_table=table)

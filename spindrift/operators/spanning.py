@@ -136,7 +136,10 @@ def _edges(points: DataFrame, x_cols: list[str], metric: str) -> DataFrame:
         best = cut(_lowest_edges(packed, boxes, n_blocks, dims, metric))
         new = cut(best.select("d", "t", "lo", "hi").distinct())
         edges = edges.unionByName(new)
-        left -= new.count()
+        found = new.count()
+        if not found:
+            raise RuntimeError("no edge leaves any component")
+        left -= found
         if left > 1:
             linked = connected_components(best.select(F.col("comp").alias("a"), F.col("to").alias("b")))
             sizes = placed.groupBy("comp").agg(F.count(F.lit(1)).alias("_n"))

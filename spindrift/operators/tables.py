@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import NUMERIC, role_of
@@ -11,7 +11,7 @@ from .result import LABEL, NOISE, ClusterResult
 
 
 def labelled_data(result: ClusterResult) -> DataFrame:
-    """Raw rows with their label."""
+    """Id and selected raw columns of the rows, with their label."""
     return result.labelled_source()
 
 
@@ -36,37 +36,30 @@ def label_preview(result: ClusterResult, n: int = 10) -> DataFrame:
 def cluster_sizes(result: ClusterResult) -> DataFrame:
     """``cluster_label, count, ratio`` by label, noise included."""
     sizes = result.labels.groupBy(LABEL).agg(F.count(F.lit(1)).alias("count"))
-    # one row per label enters this window
-    share = F.col("count") / F.sum("count").over(Window.partitionBy())
-    return sizes.select(LABEL, "count", share.alias("ratio")).orderBy(LABEL)
+    total = result.labels.agg(F.count(F.lit(1)).alias("_all"))
+    share = F.col("count") / F.col("_all")
+    return sizes.crossJoin(F.broadcast(total)).select(LABEL, "count", share.alias("ratio")).orderBy(LABEL)
 
 
 def profile_columns(result: ClusterResult) -> list[str]:
-    fields = result.source.schema.fields
-    return [
-        f.name for f in fields
-        if f.name not in (result.id_col, LABEL) and role_of(f.dataType) == NUMERIC
-    ]
+    schema = result.source.schema
+    return [c for c in result.selected if role_of(schema[c].dataType) == NUMERIC]
 
 
 def cluster_profile(
     result: ClusterResult, numeric_only: bool = True, ignore_noise: bool = False
 ) -> DataFrame:
-    """Mean of every raw numeric column per cluster, missing values skipped.
+    """Mean of every selected numeric column per cluster, missing values skipped.
 
-    Only numbers have a mean, so ``numeric_only=False`` raises when the table
-    has other columns.
+    Only numbers have a mean, so ``numeric_only=False`` gives the same columns.
     """
     names = profile_columns(result)
-    others = [c for c in result.source.columns if c not in (result.id_col, LABEL) and c not in names]
-    if not numeric_only and others:
-        raise ValueError(f"no mean for columns {others}")
     if not names:
         raise ValueError("no numeric column to profile")
     rows = result.labelled_source()
     if ignore_noise:
         rows = rows.filter(F.col(LABEL) != NOISE)
-    if result.model == "DBSCAN" and ignore_noise and rows.isEmpty():
+    if ignore_noise and rows.isEmpty():
         raise ValueError("no rows left to profile")
 
     def mean(c):

@@ -116,7 +116,8 @@ def pack(df: DataFrame, key, id_col: str, cols: list[str], extras: list[str] = (
     member = F.struct(F.col(id_col).alias("id"), F.array(*cols).alias("x"), *extras)
     return (
         df.groupBy(*keys)
-        .agg(F.collect_list(member).alias("_m"))
+        # in the order of the ids, whatever way the rows came
+        .agg(F.array_sort(F.collect_list(member)).alias("_m"))
         .select(
             *keys,
             F.col("_m.id").alias("ids"),

@@ -257,7 +257,7 @@ def profile_heatmap(spark, sf):
     return rounded(tab.profile_heatmap_data(fixed_kmeans(spark, sf)), 4)
 
 
-@query(f"{FIXED} SELECT c_custkey, c_acctbal, c_nationkey, c_mktsegment, cluster_label FROM lab JOIN customer USING (c_custkey)")
+@query(f"{FIXED} SELECT c_custkey, c_acctbal, c_nationkey, cluster_label FROM lab JOIN customer USING (c_custkey)")
 def labelled_data(spark, sf):
     return tab.labelled_data(fixed_kmeans(spark, sf))
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.features import FeatureSpec
-from ..operators.result import LABEL, ClusterResult
+from ..operators.result import LABEL, ClusterResult, labels_of
 
 REGISTRY = "model_type string, path string, created_at timestamp"
 
@@ -48,7 +48,9 @@ def list_models(spark: SparkSession, root: str, model_type: str | None = None) -
     """Saved models, newest first; no rows if there are none."""
     try:
         found = spark.read.schema(REGISTRY).parquet(f"{root}/registry")
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         found = spark.createDataFrame([], REGISTRY)
     if model_type is not None:
         found = found.filter(F.col("model_type") == model_type)
@@ -59,14 +61,16 @@ def load_model(spark: SparkSession, path: str, df: DataFrame) -> ClusterResult:
     """The model on ``df``, which must have the id and feature columns.
 
     Models with centres label any rows; the others keep the labels of the rows
-    they were fitted on, matched by id. Every table is computed when asked for.
+    they were fitted on, matched by id, and a row without one raises.
     """
     body = spark.read.text(f"{path}/spec").first()["value"]
     saved = json.loads(body)
     has_stages = saved["spec"]["has_stages"]
     stages = PipelineModel.load(f"{path}/stages") if has_stages else None
     spec = FeatureSpec.from_dict(saved["spec"], stages)
-    labels = None if saved["centres"] is not None else spark.read.parquet(f"{path}/labels")
+    labels = None
+    if saved["centres"] is None:
+        labels = labels_of(df, spec.id_col, spark.read.parquet(f"{path}/labels"))
     return ClusterResult(
         saved["model"], saved["params"], spec, df, label_table=labels,
         centres=saved["centres"], inertia=saved["inertia"], n_iter=saved["n_iter"],
