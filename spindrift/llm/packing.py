@@ -13,6 +13,8 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ from .common import ids_and_texts
 MAX_TOKENS = 2_048
 END_ID = 0
 FIT_STEPS = 300
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000  # of a generation
 
 # fixed values: the white space that the tokenizer drops
 _SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -34,10 +36,12 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")  # str.split takes these for white space
 
 
 class _Words:
-    """Token ids of words as little-endian bytes.
+    """Token ids of words as little-endian bytes, each worked out once as long as it is held.
 
-    The tokenizer never joins what white space parts, so words are encoded one by one, each once
-    as long as the cache holds it.
+    The tokenizer never joins what white space parts, so words are encoded one by one. It also
+    splits a run of letters from what follows, so commas and stops behind a plain word are looked up on
+    their own, and plain words new to a text are encoded in one call. Words wait in one of
+    two generations: when the younger is full, the older one goes.
     """
 
     def __init__(self, path: str):
@@ -45,24 +49,64 @@ class _Words:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def split(self, text: str) -> list[str]:
-        if _SEPARATORS.search(text):
-            return [w for w in _SPACE.split(text) if w]
-        return text.split()
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _encode(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _encode_plain(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words of lower-case letters, each of which is one piece to the tokenizer."""
+        if not words:
+            return {}
+        e = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        piece = np.array(e.word_ids)
+        ends = [*(4 * (np.flatnonzero(piece[1:] != piece[:-1]) + 1)).tolist(), 4 * len(piece)]
+        if len(ends) != len(words):
+            return {w: self._encode(w) for w in words}
+        data = array("I", e.ids).tobytes()
+        return {w: data[i:j] for w, i, j in zip(words, [0, *ends], ends)}
+
+    def _learn(self, words: set[str]) -> None:
+        young, old = self.young, self.old
+        parts, new = {}, {}
+        for w in words:
+            if w in old:
+                young[w] = old[w]
+                continue
+            stem = w.rstrip(".,")
+            # letters up to this one have lower case as the tokenizer's
+            if stem.isalpha() and max(stem) <= "\xff":
+                low, tail = stem.lower(), w[len(stem) :]
+                parts[w] = low, tail
+                if tail and tail not in young:
+                    young[tail] = self._encode(tail)
+                if low not in young:
+                    if low in old:
+                        young[low] = old[low]
+                    else:
+                        new[low] = None
+            else:
+                young[w] = self._encode(w)
+        young.update(self._encode_plain(list(new)))
+        for w, (low, tail) in parts.items():
+            young[w] = young[low] + young[tail] if tail else young[low]
 
     def ids(self, text: str) -> bytes:
-        words = self.split(text)
-        new = list(set(words).difference(self.known))
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known = {}
-            new = list(set(words))
-        for start in range(0, len(new), 10_000):
-            part = new[start : start + 10_000]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, words))
+        words = [w for w in _SPACE.split(text) if w] if _SEPARATORS.search(text) else text.split()
+        found = list(map(self.young.get, words))
+        if None in found:
+            if len(self.young) > CACHED_WORDS:
+                self.young, self.old = {}, self.young
+            self._learn({w for w, f in zip(words, found) if f is None} if self.young else set(words))
+            found = map(self.young.__getitem__, words)
+        return b"".join(found)
+
+
+@lru_cache(maxsize=1)
+def _words_of(path: str) -> _Words:
+    """One for all tasks that a worker runs."""
+    return _Words(path)
 
 
 def cut_pieces(
@@ -81,7 +125,7 @@ def cut_pieces(
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches):
-        words = _Words(tokenizer)
+        words = _words_of(tokenizer)
         for batch in batches:
             at, pieces, starts, lengths, crcs, ids = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1)):
