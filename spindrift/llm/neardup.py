@@ -24,10 +24,12 @@ from .common import hash_order, ids_and_texts
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5  # a pair at 0.8 is missed with probability (1 - 0.8^5)^32, 3 in a million
-STARS = 6  # rounds at most in which a bucket's texts are compared with one of them
+AGREE = 0.66  # share of agreeing registers below which a pair isn't verified: over 4 standard deviations under 0.8
+STARS = 4  # rounds at most in which a bucket's texts are compared with one of them
 FEW = 20  # comparisons a text in a bucket from which all the rest are made at once
 WORDS_AT_ONCE = 200_000
 CACHED_WORDS = 300_000
+CACHED_SETS = 1_000
 
 _WORD = re.compile(r"\w+")
 _ODD = np.frombuffer(hashlib.shake_256(b"shingle").digest(8 * 64), "<u8") | np.uint64(1)
@@ -95,26 +97,27 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     """Sum over common items d of 1 / sum over all items e of max(a_e / a_d, b_e / b_d); 1 for two empty sets."""
     if not len(a[0]) and not len(b[0]):
         return 1.0
-    items, place = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
-    wa = np.zeros(len(items))
-    wb = np.zeros(len(items))
-    wa[place[: len(a[0])]] = a[1]
-    wb[place[len(a[0]) :]] = b[1]
+    common, ia, ib = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    if not len(common):
+        return 0.0
+    if len(a[0]) == a[1].sum() and len(b[0]) == b[1].sum():
+        return len(common) / (len(a[0]) + len(b[0]) - len(common))
     # items with equal weights on both sides count alike
-    kinds, counts = np.unique(np.column_stack([wa, wb]), axis=0, return_counts=True)
-    total = 0.0
-    for (x, y), n in zip(kinds, counts):
-        if x and y:
-            total += n / (np.maximum(kinds[:, 0] / x, kinds[:, 1] / y) * counts).sum()
-    return total
+    wa = np.concatenate([a[1][ia], np.delete(a[1], ia), np.zeros(len(b[0]) - len(common), np.int64)])
+    wb = np.concatenate([b[1][ib], np.zeros(len(a[0]) - len(common), np.int64), np.delete(b[1], ib)])
+    width = int(wb.max()) + 1
+    kinds, counts = np.unique(wa * width + wb, return_counts=True)
+    xs, ys = kinds // width, kinds % width
+    both = (xs > 0) & (ys > 0)
+    return float(sum(n / (np.maximum(xs / x, ys / y) * counts).sum() for x, y, n in zip(xs[both], ys[both], counts[both])))
 
 
 def _sketch(df: DataFrame) -> DataFrame:
-    """doc_id, content (digest of the shingles and counts), bands of each row of (doc_id, text)."""
+    """doc_id, content (digest of the shingles and counts), bands, marks (a byte of each register) of each row of (doc_id, text)."""
     registers = BANDS * ROWS
 
-    def bands_of(sets):
-        rows = signatures(sets, registers).reshape(-1, BANDS, ROWS)
+    def bands_of(found):
+        rows = found.reshape(-1, BANDS, ROWS)
         out = np.zeros(rows.shape[:2], np.uint64)
         for r in range(ROWS):
             out = _mix(out + rows[:, :, r] * _ODD[r])
@@ -124,12 +127,13 @@ def _sketch(df: DataFrame) -> DataFrame:
         shingle = Shingler()
         for batch in batches:
             texts, n = batch.column(1), batch.num_rows
-            content, bands, waiting, size = [None] * n, [None] * n, [], 0
+            content, bands, marks, waiting, size = [None] * n, [None] * n, [None] * n, [], 0
 
             def flush(waiting):
                 if waiting:
-                    for (i, _), b in zip(waiting, bands_of([s for _, s in waiting])):
-                        bands[i] = b
+                    found = signatures([s for _, s in waiting], registers)
+                    for (i, _), b, m in zip(waiting, bands_of(found), found.astype(np.uint8)):
+                        bands[i], marks[i] = b, m.tobytes()
 
             for i in range(n):
                 text = texts[i].as_py()
@@ -144,15 +148,35 @@ def _sketch(df: DataFrame) -> DataFrame:
                         waiting, size = [], 0
             flush(waiting)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(content, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "content", "bands"],
+                [batch.column(0), pa.array(content, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
+                names=["doc_id", "content", "bands", "marks"],
             )
 
-    return df.mapInArrow(run, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, content binary, bands array<bigint>")
+    kind = df.schema["doc_id"].dataType.simpleString()
+    return df.mapInArrow(run, f"doc_id {kind}, content binary, bands array<bigint>, marks binary")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose texts are similar enough. A text travels once for each of its pairs."""
+def _agreeing(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs (a, b) of which so many registers agree that they may be similar enough."""
+    both = (
+        pairs.join(marks.select(F.col("doc_id").alias("a"), F.col("marks").alias("ma")), "a")
+        .join(marks.select(F.col("doc_id").alias("b"), F.col("marks").alias("mb")), "b").select("a", "b", "ma", "mb")
+    )
+
+    def run(batches):
+        for batch in batches:
+            ma, mb = (
+                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, BANDS * ROWS) for i in (2, 3)
+            )
+            at = pa.array(np.flatnonzero((ma == mb).sum(axis=1) >= AGREE * BANDS * ROWS))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
+
+    kind = pairs.schema["a"].dataType.simpleString()
+    return both.mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def _similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b, similarity of the pairs, from their texts. A text travels once for each of its pairs."""
     both = (
         pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
         .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
@@ -161,30 +185,36 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
     def run(batches):
         shingle = Shingler()
-        last = (None, None)
+        sets: dict = {}
+
+        def of(text):
+            if len(sets) >= CACHED_SETS:
+                sets.clear()
+            if text not in sets:
+                sets[text] = shingle(text)
+            return sets[text]
+
         for batch in batches:
-            keep = []
-            for i, (ta, tb) in enumerate(zip(batch.column(2), batch.column(3))):
-                ta = ta.as_py()
-                if ta != last[0]:
-                    last = (ta, shingle(ta))
-                if probability_jaccard(last[1], shingle(tb.as_py())) >= least:
-                    keep.append(i)
-            at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
+            found = [probability_jaccard(of(ta.as_py()), of(tb.as_py())) for ta, tb in zip(batch.column(2), batch.column(3))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["a", "b", "similarity"]
+            )
 
     kind = pairs.schema["a"].dataType.simpleString()
-    return both.mapInArrow(run, f"a {kind}, b {kind}")
+    return both.mapInArrow(run, f"a {kind}, b {kind}, similarity double")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
     """doc_id, content_id, class_id of each different id: its class of near duplicates, named by the smallest id.
 
     ``content_id`` is the smallest id with the same shingles; such copies are never compared. The
-    others meet in buckets of equal bands. There each is first compared with one of the bucket,
-    drawn anew each round, until few comparisons are left between classes; those are then
-    all made. Texts with a probability Jaccard of ``least`` or more on shingles of five words
-    are linked, and classes are the connected components.
+    others meet in buckets of equal bands. There all are first compared with the one that meets
+    most others, in later rounds with one drawn anew, until few comparisons between classes
+    are left. Those are then all made, but for two kinds that can't be links: the
+    distance 1 - similarity obeys the triangle inequality, so texts whose distances to the first
+    centre differ by more than 1 - ``least`` are apart; and so are those of which far
+    too few registers agree. Texts with a probability Jaccard of ``least`` or more on shingles
+    of five words are linked, and classes are the connected components.
 
     Null and empty texts, and others without words, are copies where the text is equal, and
     near nothing else. Rows with a null id are left out. Of rows with equal ids but different
@@ -201,48 +231,69 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     members = table(one.join(shared.select("bucket"), "bucket"))
     texts = table(rows.join(members.select("doc_id").distinct(), "doc_id", "left_semi"))
 
-    links = done = None
-    classed = members.withColumn("comp", F.col("doc_id"))
+    marks = table(sketch.join(texts.select("doc_id"), "doc_id", "left_semi").select("doc_id", "marks").dropDuplicates(["doc_id"]))
+    links, labels, far = None, table(members.select("doc_id").distinct().withColumn("comp", F.col("doc_id"))), None
+    pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
     for turn in range(STARS + 1):
+        classed = members.join(labels, "doc_id")
         in_class = classed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("_n"))
         open_ = table(
-            in_class.groupBy("bucket").agg(F.sum("_n").alias("_all"), F.sum(F.col("_n") * F.col("_n").cast("double")).alias("_sq"), F.count(F.lit(1)).alias("_k"))
-            .filter("_k > 1").select("bucket", "_all", ((F.col("_all") * F.col("_all").cast("double") - F.col("_sq")) / 2).alias("_pairs"))
+            in_class.groupBy("bucket").agg(
+                F.sum("_n").cast("double").alias("_all"), F.sum(F.col("_n").cast("double") * F.col("_n")).alias("_sq"), F.count(F.lit(1)).alias("_k")
+            ).filter("_k > 1").select("bucket", "_all", ((F.col("_all") * F.col("_all") - F.col("_sq")) / 2).alias("_pairs"))
         )
         left = open_.agg(F.sum("_pairs").alias("p"), F.sum("_all").alias("m")).first()
         if not left["m"]:
             break
-        rest = classed.join(open_.select("bucket"), "bucket")
-        last = turn == STARS or left["p"] <= FEW * left["m"]
+        rest = classed.join(open_.select("bucket", "_all"), "bucket")
+        last = turn > 0 and (turn == STARS or left["p"] <= FEW * left["m"])
         if last:
-            other = rest.select("bucket", F.col("doc_id").alias("b"), F.col("comp").alias("_cb"))
-            pairs = rest.withColumnRenamed("doc_id", "a").join(other, "bucket").filter("a < b AND comp <> _cb")
-        else:
-            drawn = F.struct(hash_order(F.col("doc_id"), turn).alias("_at"), F.col("doc_id").alias("c"), F.col("comp").alias("_cc"))
-            centre = rest.groupBy("bucket").agg(F.min(drawn).alias("_c")).select("bucket", "_c.c", "_c._cc")
-            pairs = rest.join(centre, "bucket").filter("comp <> _cc").select(F.least("doc_id", "c").alias("a"), F.greatest("doc_id", "c").alias("b"))
-        pairs = pairs.select("a", "b").distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = table(pairs)
-        found = _verified(pairs, texts, least)
-        links = table(found if links is None else links.unionByName(found))
-        if links.isEmpty():
-            comp = None
+            step = 1.0 - least + 1e-9
+            bin_ = F.floor(F.col("_d") / step)
+            one_side = rest.join(far, ["bucket", "doc_id"]).select("bucket", "comp", "doc_id", "_d", bin_.alias("_bin"))
+            other = one_side.select("bucket", F.col("_bin").alias("_at"), F.col("doc_id").alias("b"), F.col("comp").alias("_cb"), F.col("_d").alias("_db"))
+            bins = F.explode(F.array(F.col("_bin") - 1, F.col("_bin"), F.col("_bin") + 1)).alias("_at")
+            pairs = (
+                one_side.select("bucket", "comp", F.col("doc_id").alias("a"), "_d", bins).join(other, ["bucket", "_at"])
+                .filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("_cb")) & (F.abs(F.col("_d") - F.col("_db")) <= step))
+                .select("a", "b")
+            )
         else:
-            comp = table(connected_components(links))
-            classed = members.join(comp, F.col("doc_id") == F.col("node"), "left").select(
-                "bucket", "doc_id", F.coalesce("comp", "doc_id").alias("comp")
+            order = hash_order(F.col("doc_id"), turn)
+            if turn == 0:
+                met = rest.groupBy("doc_id").agg(F.sum("_all").alias("_met"))
+                rest, order = rest.join(met, "doc_id"), -F.col("_met")
+            drawn = F.min(F.struct(order.alias("_at"), F.col("doc_id").alias("c"), F.col("comp").alias("_cc")))
+            centre = table(rest.groupBy("bucket").agg(drawn.alias("_c")).select("bucket", "_c.c", "_c._cc"))
+            beside = rest.join(centre, "bucket")
+            pairs = beside.filter("comp <> _cc").select(*pair("doc_id", "c"))
+        pairs = table(pairs.distinct())
+        found = table(_similarities(_agreeing(pairs, marks) if turn else pairs, texts))
+        if turn == 0:
+            known = found.select("a", "b", (1 - F.col("similarity")).alias("_d"))
+            far = table(
+                beside.select("bucket", "doc_id", "c", *pair("doc_id", "c")).join(known, ["a", "b"], "left")
+                .select("bucket", "doc_id", F.when(F.col("doc_id") == F.col("c"), 0.0).otherwise(F.col("_d")).alias("_d"))
             )
+        found = found.filter(F.col("similarity") >= least).select("a", "b")
+        links = found if links is None else links.unionByName(found)
         if last:
             break
-        done = pairs if done is None else table(done.unionByName(pairs))
-
-    of_content = contents
-    if links is not None and not links.isEmpty():
+        # a cheap step towards classes, enough to see what need not be compared; the exact classes come at the end
+        ends = found.join(labels.select(F.col("doc_id").alias("a"), F.col("comp").alias("la")), "a").join(
+            labels.select(F.col("doc_id").alias("b"), F.col("comp").alias("lb")), "b"
+        )
+        ways = F.explode(F.array(F.struct(F.col("la").alias("u"), F.col("lb").alias("v")), F.struct(F.col("lb").alias("u"), F.col("la").alias("v"))))
+        near = table(ends.filter("la <> lb").select(ways.alias("_w")).select("_w.*").distinct())
+        # all that a class touches goes to the lowest of them
+        least_near = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("_to"))
+        moved = near.join(least_near.withColumnRenamed("u", "v"), "v").groupBy(F.col("u").alias("comp")).agg(F.min("_to").alias("_to"))
+        labels = table(labels.join(moved, "comp", "left").select("doc_id", F.coalesce(F.least("_to", "comp"), "comp").alias("comp")))
+
+    of_content = contents.withColumn("comp", F.col("content_id"))
+    if links is not None:
+        comp = connected_components(links)
         of_content = contents.join(comp, F.col("content_id") == F.col("node"), "left").select("content", "content_id", "comp")
-    else:
-        of_content = contents.withColumn("comp", F.col("content_id"))
     return (
         sketch.select("doc_id", "content").join(of_content, "content")
         .groupBy("doc_id").agg(F.min("content_id").alias("content_id"), F.min(F.coalesce("comp", "content_id")).alias("class_id"))
