@@ -24,7 +24,7 @@ from .common import hash_order
 
 TREE_ROWS = 20_000  # different vectors of a tree, about
 MAX_PIVOTS = 2_000  # beyond, the groups of the pivots are cut by a hash
-PAGE = 64  # entries of a leaf
+PAGE = 128  # entries of a leaf
 FANOUT = 16  # children of an inner page
 QUERIES = 1_024  # of a block
 SLACK = 1e-6  # for rounding of distances
@@ -200,8 +200,12 @@ def top_k(
                 q2 = float(vector @ vector)
 
                 def candidates(near, q=q, vector=vector):
-                    scores = np.rint(whole[near] @ vector).astype(np.int64).tolist()
-                    return [(-s, i) for s, row in zip(scores, near.tolist()) for i in ids_of[row] if i != q]
+                    scores = np.rint(whole[near] @ vector).astype(np.int64)
+                    if len(near) > k + 1:
+                        # a row besides the query's own has an id that counts, so k + 1 rows of a page suffice, ties kept
+                        keep = scores >= np.partition(scores, -k - 1)[-k - 1]
+                        near, scores = near[keep], scores[keep]
+                    return [(-s, i) for s, row in zip(scores.tolist(), near.tolist()) for i in ids_of[row] if i != q]
 
                 hits = tree.search(
                     np.append(vector, 0.0), candidates, k, None if pd.isna(worst) else int(worst),
