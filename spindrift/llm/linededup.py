@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from ..plans.cut import table
 
-RARE_ROWS = 20  # a line on up to so many places is rare
-LINE_WORDS = 5  # a line with fewer words makes no link
-BLOCK_WORDS = 50  # a block without a rare line needs so many words
+LINE_WORDS = 5  # a line with fewer words makes no link, a block with fewer stays
+NOTICE_SHARE = 0.5  # a line in more than so much of the documents is a notice
+NOTICE_WORDS = 8  # a block of notices needs so many words
 
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
@@ -77,10 +77,14 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return chain[::-1]
 
 
+def _enough(lines: list[dict]) -> bool:
+    return sum(x["words"] for x in lines if not x["notice"]) >= LINE_WORDS or sum(x["words"] for x in lines) >= NOTICE_WORDS
+
+
 def common_blocks(first: list[dict], later: list[dict]) -> list[tuple[int, int]]:
-    """Ranges of lines of ``later`` to delete: aligned blocks with a rare line or many words.
+    """Ranges of lines of ``later`` to delete: aligned blocks of enough words.
 
-    An entry has ``n`` (its number among lines that aren't blank), ``pos``, ``hash``, ``words``, ``rare``.
+    An entry has ``n`` (its number among lines that aren't blank), ``pos``, ``hash``, ``words``, ``notice``.
     """
     matched = patience([x["hash"] for x in first], [x["hash"] for x in later])
     blocks: list[list[tuple[int, int]]] = []
@@ -94,8 +98,7 @@ def common_blocks(first: list[dict], later: list[dict]) -> list[tuple[int, int]]
     out = []
     for block in blocks:
         lines = [later[j] for _, j in block]
-        rare = any(x["rare"] and x["words"] >= LINE_WORDS for x in lines)
-        if rare or sum(x["words"] for x in lines) >= BLOCK_WORDS:
+        if _enough(lines):
             out.append((lines[0]["pos"], lines[-1]["pos"]))
     return out
 
@@ -122,16 +125,28 @@ def document_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def notice_lines(lines: DataFrame, documents: int) -> DataFrame:
+    """hash of the lines of few words in more than NOTICE_SHARE of the documents, repeats inside one counted once."""
+    least = NOTICE_SHARE * documents
+    few = lines.filter(F.col("words") < NOTICE_WORDS)
+    # at most 1 / NOTICE_SHARE times the lines of an average document
+    often = table(few.groupBy("hash").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > least).select("hash"))
+    found = few.join(F.broadcast(often), "hash").select("hash", "doc").distinct()
+    return table(found.groupBy("hash").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > least).select("hash"))
+
+
 def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, ranges: the line ranges (array<struct<start, stop>>, both included) each document loses."""
     lines = table(document_lines(df, id_col, text_col))
     shared = (
-        lines.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("_last"), F.count(F.lit(1)).alias("_n"))
-        .filter("first <> _last").select("hash", "first", (F.col("_n") <= RARE_ROWS).alias("rare"))
+        lines.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("_last"))
+        .filter("first <> _last").select("hash", "first")
     )
-    held = table(lines.join(shared, "hash"))
+    notices = F.broadcast(notice_lines(lines, df.count()).withColumn("_notice", F.lit(True)))
+    held = lines.join(shared, "hash").join(notices, "hash", "left").withColumn("notice", F.col("_notice").isNotNull())
+    held = table(held.drop("_notice"))
     links = held.filter((F.col("words") >= LINE_WORDS) & (F.col("doc") != F.col("first"))).select("first", "doc").distinct()
-    entry = F.struct("n", "pos", F.xxhash64("hash").alias("hash"), "words", "rare")
+    entry = F.struct("n", "pos", F.xxhash64("hash").alias("hash"), "words", "notice")
     by_doc = table(held.groupBy("doc").agg(F.array_sort(F.collect_set(entry)).alias("entries")))
     pairs = (
         links.join(by_doc.select(F.col("doc").alias("first"), F.col("entries").alias("a")), "first")

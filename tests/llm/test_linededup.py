@@ -88,3 +88,13 @@ def test_odd_rows(odd_documents, no_documents):
     assert by[3] is None and by[4] == "" and by[5] == " \n\n " and by[2] == ""
     assert [r.text for r in rows if r.doc_id == 1] == [r.text for r in odd_documents.collect() if r.doc_id == 1]
     assert ld.dedup_lines(no_documents).collect() == []
+
+
+def test_short_blocks_go_whatever_the_count(spark):
+    line = "the same nine words stand in all of these"
+    short = "only six words are here now"
+    texts = [(i, "\n".join([f"document {i} starts", line, f"and {i} goes on", *[short] * (i < 25), f"{i} ends"])) for i in range(60)]
+    got = deduped(docs(spark, texts))
+    assert got[0] == texts[0][1]
+    for i in range(1, 60):
+        assert got[i] == f"document {i} starts\nand {i} goes on\n{i} ends"
