@@ -2,7 +2,7 @@
 
 Each page's containers are scored by the text they hold outside links. Pages of a host vote for the
 generalised path (tags and classes, numbers removed) of their containers, and every page
-is extracted anew from the path that wins on its host.
+is extracted anew from the path that wins on its host, with the article around it.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ from ..plans.skew import attach
 VOTES = 1_000  # of a page, dealt to its containers
 CANDIDATES = 5  # containers of a page that get votes
 PATH_STEPS = 10  # a path keeps its last steps
-OWN_SHARE = 0.25  # a page whose winning path holds less of its best container's text stays with its own
+LINK_SHARE = 0.5  # what surrounds a container is taken in unless so much of it is link text
+OWN_SHARE = 0.6  # a page whose winning path holds less of its best container's text stays with its own
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][\w:-]*)((?:\"[^\"<]*\"|'[^'<]*'|[^'\"<>])*+)(?:[^<>]*>)?", re.S
@@ -189,11 +190,46 @@ class _Page:
                 element = self.parents[element]
         return out
 
-    def within(self, elements: set[int]) -> list[str]:
-        """The blocks inside any of the elements, in page order."""
+    def _inside(self, elements: set[int]) -> list[bool]:
         inside = [False] * len(self.parents)
         for i, parent in enumerate(self.parents):  # parents come first
             inside[i] = i in elements or parent >= 0 and inside[parent]
+        return inside
+
+    def around(self, elements: set[int]) -> set[int]:
+        """The elements, or the articles, mains and other containers below the body around them.
+
+        A container around is taken unless what it adds is link text; so is a body's h1 before it.
+        """
+        if not elements:
+            return elements
+        inside = self._inside(elements)
+        outer = [e for e in elements if not inside[self.parents[e]]]
+        # below each element: characters, those in links, and both of what is chosen there
+        size = [[0, 0, 0, 0] for _ in self.parents]
+        for element, text, links in self.blocks:
+            size[element][0] += len(text)
+            size[element][1] += links
+        chosen = set(outer)
+        for i in range(len(self.parents) - 1, 0, -1):
+            if i in chosen:
+                size[i][2:] = size[i][:2]
+            above = size[self.parents[i]]
+            above[:] = [x + y for x, y in zip(above, size[i])]
+        reached = [-1] * len(self.parents)  # the outermost container taken from an element on, itself included
+        for i in range(1, len(self.parents)):
+            total, linked, held, held_linked = size[i]
+            stops = total > held and linked - held_linked >= LINK_SHARE * (total - held)
+            if not stops and self.tags[i] not in ("body", "html"):
+                above = reached[self.parents[i]]
+                reached[i] = above if above >= 0 else i if self.tags[i] in CONTAINERS else -1
+        tops = {reached[self.parents[e]] if reached[self.parents[e]] >= 0 else e for e in outer}
+        last = max(tops)
+        return tops | {e for e, t in enumerate(self.tags) if t == "h1" and e < last and self.tags[self.parents[e]] in ("body", "html")}
+
+    def within(self, elements: set[int]) -> list[str]:
+        """The blocks inside any of the elements, in page order."""
+        inside = self._inside(elements)
         return [text for element, text, _ in self.blocks if inside[element]]
 
     def votes(self) -> dict[str, int]:
@@ -206,8 +242,8 @@ class _Page:
 
     def text(self, path: str | None) -> str:
         scores = self.scores()
-        own = self.within({min(scores, key=lambda e: (-scores[e], e))}) if scores else [t for _, t, _ in self.blocks]
-        voted = self.within({e for e, p in enumerate(self.paths) if e and p == path})
+        own = self.within(self.around({min(scores, key=lambda e: (-scores[e], e))})) if scores else [t for _, t, _ in self.blocks]
+        voted = self.within(self.around({e for e, p in enumerate(self.paths) if e and p == path}))
         size = lambda texts: sum(map(len, texts))
         return "\n\n".join(voted if voted and size(voted) >= OWN_SHARE * size(own) else own)
 
@@ -244,8 +280,9 @@ def extract_pages(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     Blocks are joined by an empty line; within one, references are decoded and white space is one space.
     Menus, headers outside articles, footers, asides, forms, adverts, notices, comments, scripts,
-    styles and hidden parts are left out. A page where the host's path holds too little is
-    extracted from its own best container. Null and empty pages, and those without text, give
+    styles and hidden parts are left out. The containers around the path go with it up to
+    the body, as far as they don't add link text. A page where that holds too little is
+    extracted from its own best container and those around. Null and empty pages, and those without text, give
     ''. Pages without a host share the host ''. Repeated rows are extracted each.
     """
     paths = table(host_paths(df, url_col, html_col))

@@ -54,3 +54,30 @@ def test_a_host_agrees_on_a_path(spark):
     by = {r.page_id: r.text for r in got}
     assert by[5] == ("main words " * 10).strip() and by[6] == "" and by[7] == "" and by[None] == "alone"
     assert pages.extract_pages(df.limit(0)).collect() == []
+
+
+LONG = "a long text of the body with many words " * 30
+SHORT = "a second section with fewer words " * 3
+
+
+@pytest.mark.parametrize("source", [
+    f"<article><h1>Title</h1><p>Lead</p><div class=body><p>{LONG}</div></article>",
+    f"<main><h1>Title</h1><div class=x><p>Lead</div><div class=body><p>{LONG}</div></main>",
+    f"<div class=post><h1>Title</h1><p>Lead</p><div class=body><p>{LONG}</div></div>",
+])
+def test_title_and_lead_beside_a_body(source):
+    page = f"<body><div class=menu>menu</div>{source}<footer>f</footer></body>"
+    for path in (None, max(pages._Page(page).votes().items(), key=lambda x: x[1])[0]):
+        assert pages._Page(page).text(path) == f"Title\n\nLead\n\n{LONG.strip()}"
+
+
+def test_sections_of_an_article_stay_together():
+    page = f"<body><article><section class=a><p>{LONG}</section><section class=b><p>{SHORT}</section></article></body>"
+    assert pages._Page(page).text("body/article/section.a") == f"{LONG.strip()}\n\n{SHORT.strip()}"
+    links = "<div class=list><a href=x>one more page</a> <a href=y>and another page</a></div>"
+    assert pages._Page(f"<body><h1>Title</h1><div>{links}<div class=b><p>{LONG}</div></div>").text(None) == f"Title\n\n{LONG.strip()}"
+
+
+def test_a_path_of_a_smaller_part_does_not_replace_the_page():
+    page = f"<body><div class=text><p>{'few words ' * 40}</p></div><div class=other><p>{LONG}</p></div></body>"
+    assert pages._Page(page).text("body/div.text") == LONG.strip()
