@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..plans.cut import table
 
 LINE_WORDS = 5  # a line with fewer words makes no link, a block with fewer stays
+MOVED_WORDS = 15  # a block out of order or repeated needs so many words
 NOTICE_SHARE = 0.5  # a line in more than so much of the documents is a notice
 NOTICE_WORDS = 8  # a block of notices needs so many words
 
@@ -26,7 +27,8 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     """Aligned equal entries (i, j) of two lists, both ascending.
 
     Common ends are matched first, then entries that occur once on either side, as far as they keep
-    their order; the stretches between those are treated alike.
+    their order; the stretches between those are treated alike. Where no entry is unique, each
+    time it occurs counts as an entry of its own.
     """
     out, todo = [], [(0, len(a), 0, len(b))]
     while todo:
@@ -41,6 +43,9 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
             continue
         once_b = _once(b, b0, b1)
         pairs = sorted((i, once_b[x]) for x, i in _once(a, a0, a1).items() if x in once_b)
+        if not pairs:
+            times_b = _times(b, b0, b1)
+            pairs = sorted((i, times_b[x]) for x, i in _times(a, a0, a1).items() if x in times_b)
         for i, j in _rising(pairs):
             todo.append((a0, i, b0, j))
             out.append((i, j))
@@ -57,6 +62,15 @@ def _once(x: list, start: int, end: int) -> dict:
     return {v: i for v, i in seen.items() if i >= 0}
 
 
+def _times(x: list, start: int, end: int) -> dict:
+    counts: dict = {}
+    out = {}
+    for i in range(start, end):
+        k = counts[x[i]] = counts.get(x[i], 0) + 1
+        out[x[i], k] = i
+    return out
+
+
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest chain in which the second number rises as well."""
     tops: list[int] = []
@@ -77,12 +91,69 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return chain[::-1]
 
 
+def _runs(x: list[dict]) -> list[tuple[int, int]]:
+    """Stretches (from, to) of entries whose lines follow one another."""
+    cuts = [0, *[k for k in range(1, len(x)) if x[k]["n"] != x[k - 1]["n"] + 1], len(x)]
+    return list(zip(cuts, cuts[1:]))
+
+
+def moved_blocks(first: list[dict], later: list[dict]) -> list[tuple[int, int]]:
+    """Ranges of entries of ``later`` (both included) in common blocks of MOVED_WORDS, wherever in ``first`` they are.
+
+    A suffix automaton of ``first`` gives for each entry of ``later`` the longest common block that
+    ends there, so all of them are found, in any order and however often, in linear time.
+    """
+    shared = {x["hash"] for x in later}
+    first = [x for x in first if x["hash"] in shared]
+    follow: list[dict] = [{}]
+    link, length, last = [-1], [0], 0
+    for k, (start, end) in enumerate(_runs(first)):
+        for key in [*(x["hash"] for x in first[start:end]), ("gap", k)]:
+            new = len(follow)
+            follow.append({}), link.append(0), length.append(length[last] + 1)
+            at, last = last, new
+            while at >= 0 and key not in follow[at]:
+                follow[at][key] = new
+                at = link[at]
+            if at >= 0:
+                to = follow[at][key]
+                if length[to] == length[at] + 1:
+                    link[new] = to
+                else:
+                    twin = len(follow)
+                    follow.append(dict(follow[to])), link.append(link[to]), length.append(length[at] + 1)
+                    link[to] = link[new] = twin
+                    while at >= 0 and follow[at].get(key) == to:
+                        follow[at][key] = twin
+                        at = link[at]
+    sums = [0]
+    for x in later:
+        sums.append(sums[-1] + x["words"])
+    out: list[tuple[int, int]] = []
+    for start, end in _runs(later):
+        at = size = 0
+        for j in range(start, end):
+            key = later[j]["hash"]
+            while at and key not in follow[at]:
+                at = link[at]
+                size = length[at]
+            if key in follow[at]:
+                at, size = follow[at][key], size + 1
+            begin = j + 1 - size
+            if size and sums[j + 1] - sums[begin] >= MOVED_WORDS:
+                if out and out[-1][0] >= start and begin <= out[-1][1] + 1:
+                    out[-1] = (out[-1][0], j)
+                else:
+                    out.append((begin, j))
+    return out
+
+
 def _enough(lines: list[dict]) -> bool:
     return sum(x["words"] for x in lines if not x["notice"]) >= LINE_WORDS or sum(x["words"] for x in lines) >= NOTICE_WORDS
 
 
 def common_blocks(first: list[dict], later: list[dict]) -> list[tuple[int, int]]:
-    """Ranges of lines of ``later`` to delete: aligned blocks of enough words.
+    """Ranges of lines of ``later`` to delete: aligned blocks of enough words, and moved or repeated ones.
 
     An entry has ``n`` (its number among lines that aren't blank), ``pos``, ``hash``, ``words``, ``notice``.
     """
@@ -95,11 +166,15 @@ def common_blocks(first: list[dict], later: list[dict]) -> list[tuple[int, int]]
                 blocks[-1].append((i, j))
                 continue
         blocks.append([(i, j)])
-    out = []
+    out, gone = [], set()
     for block in blocks:
         lines = [later[j] for _, j in block]
         if _enough(lines):
             out.append((lines[0]["pos"], lines[-1]["pos"]))
+            gone.update(j for _, j in block)
+    left = {x["hash"] for j, x in enumerate(later) if j not in gone}
+    if any(x["hash"] in left for x in first):
+        out += [(later[i]["pos"], later[j]["pos"]) for i, j in moved_blocks(first, later)]
     return out
 
 

@@ -98,3 +98,24 @@ def test_short_blocks_go_whatever_the_count(spark):
     assert got[0] == texts[0][1]
     for i in range(1, 60):
         assert got[i] == f"document {i} starts\nand {i} goes on\n{i} ends"
+
+
+def test_moved_and_repeated_passages_go(spark):
+    p, q = [[f"{name} passage line {i} with a good many words in it" for i in range(8)] for name in ("one", "two")]
+    got = deduped(docs(spark, [
+        (1, "\n".join([*p, "alone in the first document", *q])), (2, "\n".join(["own start of this", *q, "and own middle", *p, "own end"])),
+        (3, "\n".join(["third start of it", *p, "third middle", *p, "third end"])),
+    ]))
+    assert got[2] == "own start of this\nand own middle\nown end"
+    assert got[3] == "third start of it\nthird middle\nthird end"
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=10), st.lists(st.integers(0, 3), max_size=10))
+def test_moved_blocks_are_all_found(a, b):
+    entry = lambda x: [{"n": i + i // 4, "pos": i, "hash": h, "words": 6} for i, h in enumerate(x)]
+    runs = lambda x: [[*range(i, min(i + 4, len(x)))] for i in range(0, len(x), 4)]
+    blocks = lambda x: [r[i : i + 3] for r in runs(x) for i in range(len(r) - 2)]
+    have = {tuple(a[i] for i in r) for r in blocks(a)}
+    want = {i for r in blocks(b) if tuple(b[i] for i in r) in have for i in r}
+    assert {k for i, j in ld.moved_blocks(entry(a), entry(b)) for k in range(i, j + 1)} == want
