@@ -1,8 +1,8 @@
 """Line dedup by pairwise alignment.
 
-Documents overlap where they share lines. Each line of some words leads every document that
-holds it to the first document with it (smallest id), so links grow with the lines and not
-with pairs of holders. Linked documents are aligned by patience diff over the lines they
+Documents overlap where they share lines. Each window, a few consecutive lines that reach some words,
+leads every document that holds it to the first document with it (smallest id), so links grow with
+the lines and not with pairs of holders. Linked documents are aligned by patience diff over the lines they
 share, and aligned common blocks leave the later document. Every deleted line stays in the
 first document that holds it.
 """
@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from ..plans.cut import table
 
-LINE_WORDS = 5  # a line with fewer words makes no link, a block with fewer stays
+LINE_WORDS = 5  # lines with so many words together make a link, a block with fewer stays
+WORD_CHARS = 8  # a line counts as a word for so many characters at least
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"  # two letters count as a word
 MOVED_WORDS = 15  # a block out of order or repeated needs so many words
 NOTICE_SHARE = 0.5  # a line in more than so much of the documents is a notice
 NOTICE_WORDS = 8  # a block of notices needs so many words
@@ -178,6 +180,22 @@ def common_blocks(first: list[dict], later: list[dict]) -> list[tuple[int, int]]
     return out
 
 
+def windows(entries: list[dict]) -> list[int]:
+    """A hash for each entry of the lines from it on that first reach LINE_WORDS, if that many follow one another."""
+    out = []
+    for k, x in enumerate(entries):
+        h, words, n = x["hash"], x["words"], x["n"]
+        while words < LINE_WORDS:
+            k, n = k + 1, n + 1
+            if k == len(entries) or entries[k]["n"] != n:
+                break
+            h = (h * 0x9E3779B97F4A7C15 ^ entries[k]["hash"]) & (1 << 64) - 1
+            words += entries[k]["words"]
+        else:
+            out.append(h - (1 << 64) if h >= 1 << 63 else h)
+    return out
+
+
 def _key(id_col: str, text_col: str) -> Column:
     """Rows of equal id and text are one document; the id comes first in the order."""
     return F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
@@ -196,7 +214,10 @@ def document_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "doc", F.col("_x.pos").alias("pos"), "n",
         # a second hash in the top bits would be no wider; the length tells most collisions apart
         F.struct(F.xxhash64(line).alias("x"), F.length(line).alias("c")).alias("hash"),
-        (F.length(line) - F.length(F.replace(line, F.lit(" "))) + 1).alias("words"),
+        F.greatest(
+            F.length(line) - F.length(F.replace(line, F.lit(" "))) + 1, (F.length(line) / WORD_CHARS).cast("int"),
+            F.when(F.octet_length(line) > F.length(line), (F.regexp_count(line, F.lit(UNSPACED)) / 2).cast("int")),
+        ).alias("words"),
     )
 
 
@@ -220,14 +241,31 @@ def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     notices = F.broadcast(notice_lines(lines, df.count()).withColumn("_notice", F.lit(True)))
     held = lines.join(shared, "hash").join(notices, "hash", "left").withColumn("notice", F.col("_notice").isNotNull())
     held = table(held.drop("_notice"))
-    links = held.filter((F.col("words") >= LINE_WORDS) & (F.col("doc") != F.col("first"))).select("first", "doc").distinct()
     entry = F.struct("n", "pos", F.xxhash64("hash").alias("hash"), "words", "notice")
     by_doc = table(held.groupBy("doc").agg(F.array_sort(F.collect_set(entry)).alias("entries")))
+    kind = by_doc.schema["doc"].dataType.simpleString()
+
+    def window(batches):
+        for batch in batches:
+            at, found = [], []
+            for i, entries in enumerate(batch.column(1)):
+                new = set(windows(entries.as_py()))
+                at += [i] * len(new)
+                found += new
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(at, pa.int64())), pa.array(found, pa.int64())], names=["doc", "window"]
+            )
+
+    held_windows = table(by_doc.select("doc", "entries").mapInArrow(window, f"doc {kind}, window long"))
+    leads = (
+        held_windows.groupBy("window").agg(F.min("doc").alias("first"), F.max("doc").alias("_last"))
+        .filter("first <> _last").select("window", "first")
+    )
+    links = held_windows.join(leads, "window").filter(F.col("doc") != F.col("first")).select("first", "doc").distinct()
     pairs = (
         links.join(by_doc.select(F.col("doc").alias("first"), F.col("entries").alias("a")), "first")
         .join(by_doc.withColumnRenamed("entries", "b"), "doc").select("doc", "a", "b")
     )
-    kind = pairs.schema["doc"].dataType.simpleString()
 
     def align(batches):
         for batch in batches:

@@ -119,3 +119,12 @@ def test_moved_blocks_are_all_found(a, b):
     have = {tuple(a[i] for i in r) for r in blocks(a)}
     want = {i for r in blocks(b) if tuple(b[i] for i in r) in have for i in r}
     assert {k for i, j in ld.moved_blocks(entry(a), entry(b)) for k in range(i, j + 1)} == want
+
+
+def test_passages_of_short_lines_go(spark):
+    verse = [f"{a} {b}" for a in ("red", "blue", "green", "old") for b in ("ship", "sail", "rope")]
+    chinese = "春眠不觉晓处处闻啼鸟夜来风雨声花落知多少"
+    got = deduped(docs(spark, [
+        (1, "\n".join(verse)), (2, "\n".join(["my own", *verse, "the end"])), (3, "\n".join([chinese, "x"])), (4, "\n".join(["y", chinese])),
+    ]))
+    assert got == {1: "\n".join(verse), 2: "my own\nthe end", 3: f"{chinese}\nx", 4: "y"}
