@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, linededup, mixing, mtree, neardup, packing, pages, secrets, sharding
+from . import collocations, conversations, fingerprints, language, linededup, mixing, mtree, neardup, packing, pages, secrets, sharding, suffixdedup
 
 QUERIES, ORACLES = {}, {}
 
@@ -129,3 +129,75 @@ def op7_consensus_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def op5_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, k=5)
+
+
+CRC32_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+@query(f"""
+    WITH turns AS (
+        SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS d
+        FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (SELECT c, {CRC32_SQL} % {conversations.MOST_SHARED + 1} AS h, c - c % {conversations.BLOCK} AS base FROM (SELECT DISTINCT c FROM turns)),
+    parts AS (
+        SELECT convs.c, 0 AS part, d, role, text FROM convs JOIN turns ON turns.c = base AND d <= h
+        UNION ALL SELECT convs.c, 1, d, role, text FROM convs JOIN turns ON turns.c = convs.c AND d > h),
+    rows AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, d) AS depth, role, text FROM parts),
+    whole AS (SELECT convs.c, coalesce(list([role, text] ORDER BY depth) FILTER (depth IS NOT NULL), []) AS path
+        FROM convs LEFT JOIN rows ON rows.c = convs.c GROUP BY convs.c),
+    member AS (SELECT c, len(path) AS length, unnest(range(0, len(path) + 1)) AS depth, path FROM whole),
+    node AS (
+        SELECT depth, path[1:depth] AS path, min(c) AS conv_id, count(*) AS n_convs,
+            sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (length = depth), '')) AS ends_sha256
+        FROM member GROUP BY 1, 2),
+    sized AS (
+        SELECT node.*, up.conv_id AS parent_conv_id, CASE WHEN node.depth = 0 THEN 0 ELSE (node.n_convs - 1) * octet_length(encode(node.path[-1][2])) END AS saved,
+            (SELECT count(*) FROM node k WHERE k.depth = node.depth + 1 AND k.path[1:node.depth] = node.path) AS n_children
+        FROM node LEFT JOIN node up ON up.depth = node.depth - 1 AND up.path = node.path[1:node.depth - 1]),
+    above AS (SELECT unnest(range(0, depth + 1)) AS top, path, saved, n_children FROM sized),
+    held AS (
+        SELECT top AS depth, path[1:top] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM above GROUP BY 1, 2)
+    SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+    FROM sized JOIN held USING (depth, path)
+""")
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query(f"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+            unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS p
+        FROM documents),
+    words AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM pieces),
+    total AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+    grams AS ({" UNION ALL ".join(f"SELECT lang, unnest(list_transform(range(1, len(w) - {k} + 2), lambda i: w[i:i + {k - 1}])) AS g FROM words WHERE len(w) >= {k}" for k in range(1, 5))}),
+    f AS MATERIALIZED (SELECT lang, g, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30),
+    cand AS (SELECT * FROM f WHERE len(g) > 1),
+    cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM cand),
+    scored AS (
+        SELECT cuts.*, x.a AS l, y.a AS r, (2000000::HUGEINT * cuts.a // (x.a + y.a))::BIGINT AS score
+        FROM cuts JOIN f x ON x.lang = cuts.lang AND x.g = cuts.g[1:k] JOIN f y ON y.lang = cuts.lang AND y.g = cuts.g[k + 1:]),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+    starts AS (SELECT lang, g, a, unnest(range(1, len(g) + 1)) AS i FROM cand),
+    inside AS (SELECT lang, g, a, i, unnest(range(i, len(g) + 1)) AS j FROM starts),
+    most AS (SELECT lang, g[i:j] AS g, max(a) AS most FROM inside WHERE j - i + 1 < len(g) GROUP BY ALL)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score
+    FROM (SELECT best.lang, array_to_string(best.g, ' ') AS phrase, a, l, r, n, score
+          FROM best JOIN total USING (lang) LEFT JOIN most ON most.lang = best.lang AND most.g = best.g
+          WHERE most IS NULL OR 100 * most < {collocations.SUBSUMED} * a)
+    QUALIFY rank <= {collocations.TOP}
+""")
+def op11_stripe_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+@query()
+def op12_induced_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda x, s: x + s.stop - s.start)
+    return suffixdedup.remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
