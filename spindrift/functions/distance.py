@@ -76,14 +76,20 @@ def _length(parts: list[str], metric: str) -> Column:
     return F.expr(f"sqrt({plus([f'{x} * {x}' for x in parts])})")
 
 
-def distance_matrix(x: np.ndarray, y: np.ndarray, metric: str) -> np.ndarray:
+def distance_matrix(x: np.ndarray, y: np.ndarray, metric: str, blocks: int = 0) -> np.ndarray:
     """All distances between two small blocks of rows, one feature at a time.
 
     Differences are taken before squaring, so equal rows are exactly 0 apart;
-    a matrix product would not give that.
+    a matrix product would not give that. The last 2 * ``blocks`` columns are sparse one-hot
+    blocks: the number of the category, and what it adds to the block's base values.
     """
     out = np.zeros((len(x), len(y)))
-    for k in range(x.shape[1]):
+    dense = x.shape[1] - 2 * blocks
+    for k in range(dense, x.shape[1], 2):
+        differ = x[:, k, None] != y[None, :, k]
+        a, b = np.abs(x[:, k + 1, None]), np.abs(y[None, :, k + 1])
+        out += np.where(differ, a + b if metric == "manhattan" else a * a + b * b, 0.0)
+    for k in range(dense):
         gap = x[:, k, None] - y[None, :, k]
         out += np.abs(gap) if metric == "manhattan" else gap * gap
     # "squared" leaves the squares as they are

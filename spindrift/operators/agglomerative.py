@@ -11,6 +11,9 @@ the average of cosine distances, the distance follows from the two centres.
 For complete and average linkage the centres bound it from both sides; only
 pairs whose lower bound is under the best upper bound are measured, on blocks
 of their rows. Single linkage goes by a minimum spanning tree.
+
+Up to ``PAIR_ROWS`` different rows a table of all pairs is small, and merging goes by contraction of
+that table (``pairs``), as it does if the features have sparse blocks or distances are given.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ LINKAGES = ("ward", "complete", "average", "single")
 MEMBER_ROWS = 256      # rows of one cluster in one block
 BLOCK_ROWS = 512       # clusters in one block
 LAST_CLUSTERS = 128    # so few are merged to the end by one task
+PAIR_ROWS = 3_000      # different rows up to which all distances are measured once and kept
 MERGE_ROW = (
     "winner long, loser long, left_key long, right_key long, height double, size long, round int, seq long"
 )
@@ -60,7 +64,7 @@ def agglomerative(
     """
     _check(linkage, metric, n_clusters)
     spec = spec or fit_features(df, id_col, cols, scaler, cat_encoder, extra_stages)
-    tree = merge_tree(spec.transform(df), id_col, spec.f_cols, linkage, metric)
+    tree = merge_tree(spec.transform(df), id_col, spec.f_cols, linkage, metric, len(spec.sparse))
     labels = tree.cut_at(n_clusters)
     params = {"n_clusters": n_clusters, "linkage": linkage, "metric": metric}
     return ClusterResult("AgglomerativeClustering", params, spec, df, label_table=labels, tree=tree)
@@ -114,6 +118,9 @@ class MergeTree:
         """Labels after undoing the k - 1 highest merges."""
         if k > self.n:
             raise ValueError("more clusters than rows")
+        apart = self.n - self.links.count()
+        if k < apart:
+            raise ValueError(f"the given pairs leave {apart} clusters that nothing connects")
         kept = self.links.filter(F.col("rank") < self.n - k)
         comps = connected_components(kept.select(F.col("winner").alias("a"), F.col("loser").alias("b")))
         joined = cut(
@@ -126,7 +133,11 @@ class MergeTree:
         return cut(out.select(self.id_col, F.col(LABEL).cast("int").alias(LABEL)))
 
 
-def merge_tree(df: DataFrame, id_col: str, f_cols: list[str], linkage: str, metric: str) -> MergeTree:
+def merge_tree(df: DataFrame, id_col: str, f_cols: list[str], linkage: str, metric: str, blocks: int = 0) -> MergeTree:
+    """The tree of rows with features ``f_cols`` and ``blocks`` sparse blocks (columns ``w_i``, ``v_i``)."""
+    f_cols = [*f_cols, *[f"{c}_{i}" for i in range(blocks) for c in "wv"]]
+    if blocks and metric == "cosine":
+        raise ValueError("one-hot blocks of many values have no cosine distance here; encode them as ordinal")
     x_cols = [f"x_{i}" for i in range(len(f_cols))]
     rows = df.select(F.col(id_col).alias("id"), *[F.col(f).alias(x) for f, x in zip(f_cols, x_cols)])
     rows = cut(number_rows(rows, [F.col("id")], "num"))
@@ -139,6 +150,14 @@ def merge_tree(df: DataFrame, id_col: str, f_cols: list[str], linkage: str, metr
         rows = cut(unit_length(rows, x_cols))
     firsts, zero = _equal_rows(rows, x_cols)
     ids = rows.select("num", "id")
+    different = firsts.count()
+    if blocks or (linkage != "single" and different <= PAIR_ROWS):
+        from .pairs import PairRounds, pair_table
+
+        state = firsts.select("cid", "n", "key", F.lit(0.0).alias("h"))
+        rounds = PairRounds(state, pair_table(firsts.select("cid", *x_cols), x_cols, metric, different, blocks), linkage).run()
+        merges = _ranked(zero if rounds is None else zero.unionByName(rounds), n)
+        return MergeTree(ids, n, merges, lambda: merges, id_col)
     if linkage == "single":
         from .spanning import SpanningTree
 
@@ -237,15 +256,19 @@ def _merge_matrix(ids, d, n, h, key, linkage, round_no) -> pd.DataFrame:
     while len(live) > 1:
         # the same rule as between tables: all mutual nearest merge, ties by the mixed ids
         near = d[np.ix_(live, live)]
+        if not np.isfinite(near).any():
+            break  # what is left is infinitely far apart
         first = near == near.min(axis=1)[:, None]
         to = np.where(first, _tie_matrix(ids[live], ids[live]), np.iinfo("int64").max).argmin(axis=1)
-        pairs = [(live[p], live[q]) for p, q in enumerate(to) if p < q and to[q] == p]
+        pairs = [(live[p], live[q]) for p, q in enumerate(to) if p < q and to[q] == p and np.isfinite(near[p, q])]
         if not pairs:
             raise RuntimeError("no two clusters are each other's nearest")
         for i, j in pairs:
             gap, a, b = d[i, j], d[i].copy(), d[j].copy()
             if linkage == "complete":
                 new = np.maximum(a, b)
+            elif linkage == "single":
+                new = np.minimum(a, b)
             elif linkage == "average":
                 new = (n[i] * a + n[j] * b) / (n[i] + n[j])
             else:

@@ -107,11 +107,44 @@ def dbscan(
     _check(eps, min_samples)
     check_metric(metric)
     spec = spec or fit_features(df, id_col, cols, scaler, cat_encoder, extra_stages)
-    labels = dbscan_labels(spec.transform(df), id_col, spec.f_cols, eps, min_samples, metric)
+    features = spec.transform(df)
+    if spec.sparse:
+        labels = _with_blocks(features, spec, float(eps), min_samples, metric)
+    else:
+        labels = dbscan_labels(features, id_col, spec.f_cols, eps, min_samples, metric)
     params = {"eps": eps, "min_samples": min_samples, "metric": metric}
     return ClusterResult("DBSCAN", params, spec, df, label_table=cut(labels))
 
 
+def _with_blocks(features: DataFrame, spec: FeatureSpec, eps: float, min_samples: int, metric: str) -> DataFrame:
+    """Labels of rows with sparse one-hot blocks.
+
+    Rows of different categories lie at least as far apart as the two categories that add least. If
+    that is beyond ``eps``, as it is after standard scaling with the usual values of ``eps``, the category's number times a step beyond
+    ``eps`` takes the block's place: the same rows are neighbours. Otherwise all pairs are measured.
+    """
+    if metric == "cosine":
+        raise ValueError("one-hot blocks of many values have no cosine distance here; encode them as ordinal")
+    id_col, n = spec.id_col, len(spec.sparse)
+    features, apart = cut(features), True
+    for i in range(n):
+        # one row for each of the two categories
+        low = [r["v"] for r in features.groupBy(f"w_{i}").agg(F.min(f"v_{i}").alias("v")).orderBy("v").limit(2).collect()]
+        if len(low) == 2:
+            apart &= (sum(low) if metric == "manhattan" else math.hypot(*low)) > eps
+    if apart:
+        steps = [(F.col(f"w_{i}") * F.lit(4 * eps)).alias(f"f_{len(spec.f_cols) + i}") for i in range(n)]
+        cols = [f"f_{i}" for i in range(len(spec.f_cols) + n)]
+        return dbscan_labels(features.select(id_col, *spec.f_cols, *steps), id_col, cols, eps, min_samples, metric)
+    from .pairs import pair_table
+
+    rows = cut(number_rows(features, [F.col(id_col)], "cid"))
+    x_cols = [*spec.f_cols, *[f"{c}_{i}" for i in range(n) for c in "wv"]]
+    pairs = pair_table(rows.select("cid", *x_cols), x_cols, metric, rows.count(), n).filter(F.col("d") <= eps)
+    found = dbscan_pairs(rows.select(F.col("cid").alias("id")), pairs.withColumnRenamed("d", "distance"), eps, min_samples)
+    return rows.select("cid", id_col).join(found.withColumnRenamed("id", "cid"), "cid").select(id_col, LABEL)
+
+
 def _check(eps, min_samples):
     if not eps > 0:
         raise ValueError("eps must be above 0")

@@ -15,6 +15,7 @@ from ..functions.distance import distance, distance_matrix, plus
 from ..plans.blocks import block_rows, join_blocks, matrix, pack
 from ..plans.cut import cut
 from ..plans.skew import attach
+from . import wide
 from .result import LABEL, NOISE, ClusterResult
 
 CENTRE_VALUES = 1_000_000  # numbers in one chunk of the centre table
@@ -227,8 +228,8 @@ SILHOUETTES = ("exact", "squared", "none")
 def evaluate(result: ClusterResult, ignore_noise: bool = True, silhouette: str = "exact") -> DataFrame:
     """One row with counts and scores.
 
-    ``silhouette="exact"`` compares every row with every row that can matter.
-    ``"none"`` leaves the score null and ``"squared"`` reports the linear-cost
+    ``silhouette="exact"`` compares every row with every row that can matter; it
+    is null for features with sparse blocks. ``"none"`` leaves the score null and ``"squared"`` reports the linear-cost
     measure in a column of its own, ``silhouette_sq``.
     """
     if silhouette not in SILHOUETTES:
@@ -236,7 +237,9 @@ def evaluate(result: ClusterResult, ignore_noise: bool = True, silhouette: str =
     f_cols, id_col = result.f_cols, result.id_col
     labelled = cut(result.labelled_features)
     rows = metric_rows(labelled, ignore_noise)
-    stats = cut(cluster_stats(rows, f_cols))
+    blocks = len(result.spec.sparse)
+    # one-hot blocks alone leave no dense feature
+    stats = cut(cluster_stats(rows, f_cols or ["0D"]))
     counts = labelled.agg(
         F.count(F.lit(1)).alias("n_samples"),
         F.count_if(F.col(LABEL) == NOISE).alias("noise_count"),
@@ -250,13 +253,16 @@ def evaluate(result: ClusterResult, ignore_noise: bool = True, silhouette: str =
     one = counts.select(
         "n_samples",
         F.lit(result.spec.n_original).cast("long").alias("n_original_features"),
-        F.lit(len(f_cols)).cast("long").alias("n_features_after_transform"),
+        F.lit(result.spec.n_features).cast("long").alias("n_features_after_transform"),
         F.lit(seen["n_clusters_found"]).cast("long").alias("n_clusters_found"),
         "noise_count",
         F.when(F.col("n_samples") == 0, 0.0).otherwise(F.col("noise_count") / F.col("n_samples")).alias("noise_ratio"),
     )
     names = ["silhouette_score", "calinski_harabasz_score", "davies_bouldin_score"]
-    if n_scored >= 2 and k >= 2 and n_scored > k:
+    if blocks:
+        found = wide.scores(rows, f_cols, blocks, LABEL)
+        one = one.select("*", null.alias(names[0]), *[F.lit(v).cast("double").alias(c) for v, c in zip(found, names[1:])])
+    elif n_scored >= 2 and k >= 2 and n_scored > k:
         if silhouette == "exact":
             one = one.crossJoin(F.broadcast(silhouette_score(rows, id_col, f_cols, stats)))
         else:
@@ -272,7 +278,7 @@ def evaluate(result: ClusterResult, ignore_noise: bool = True, silhouette: str =
         "n_samples", "n_original_features", "n_features_after_transform", "n_clusters_found",
         "noise_count", "noise_ratio", *names,
         F.lit(result.inertia).cast("double").alias("inertia"),
-        F.lit(result.centres is not None).alias("has_cluster_centers"),
+        F.lit(result.centres is not None or result.wide_centres is not None).alias("has_cluster_centers"),
         *extra,
     )
 
@@ -284,6 +290,6 @@ def summary(result: ClusterResult, ignore_noise: bool = True, silhouette: str =
         F.lit(result.model).alias("model"),
         F.lit("clustering").alias("task"),
         F.lit(result.spec.scaler).alias("scaler"),
-        F.lit(len(result.spec.names)).cast("long").alias("feature_names_len"),
+        F.lit(result.spec.n_features).cast("long").alias("feature_names_len"),
         "*",
     )

@@ -3,6 +3,10 @@
 A fit costs a fixed number of aggregations whatever the number of columns.
 The result is a ``FeatureSpec`` - plain values - whose ``transform`` is one
 ``select`` of built-in expressions.
+
+Categories of a column with more than ``NARROW`` values are not written into the plan: they
+are numbered in a dictionary table, which rows are joined with. Such a column is one feature if the
+encoding is ordinal, and a sparse block if it is one-hot (``wide``).
 """
 
 from __future__ import annotations
@@ -17,6 +21,9 @@ from pyspark.sql import functions as F
 
 from ..functions.distance import num
 from ..functions.quantiles import exact_quantiles
+from ..plans.cut import cut
+from ..plans.numbering import number_rows
+from ..plans.skew import attach
 from ..sources.tables import (
     CATEGORICAL,
     NUMERIC,
@@ -37,8 +44,8 @@ ENCODERS = {
     "ohe": "ohe", "onehot": "ohe", "one_hot": "ohe",
     "ordinal": "ordinal", "ord": "ordinal", "ord_label": "ordinal",
 }  # fixed values
-# categories are column definitions (one-hot) or plan literals (ordinal)
-MAX_CATEGORIES = 10_000
+# up to so many values a category is a column definition (one-hot) or a literal (ordinal)
+NARROW = 200
 
 
 def scaler_name(scaler: str | None) -> str:
@@ -95,11 +102,82 @@ class FeatureSpec:
     stages: PipelineModel | None = None
     stage_output: str | None = None
     stage_size: int = 0
+    wide: dict[str, int] = field(default_factory=dict)
+    dictionary: DataFrame | None = None
 
     @property
     def f_cols(self) -> list[str]:
         return [f"f_{i}" for i in range(len(self.names))]
 
+    @property
+    def sparse(self) -> list[str]:
+        """Columns that are sparse one-hot blocks; their features follow those of ``names``."""
+        return [c for c in self.categorical if c in self.wide and self.encoder == "ohe"]
+
+    @property
+    def n_features(self) -> int:
+        return len(self.names) + sum(self.wide[c] for c in self.sparse)
+
+    def numbered(self, df: DataFrame) -> DataFrame:
+        """``df`` with the number of each category of the wide columns, -1 for an unknown one."""
+        for i, c in enumerate(self.wide):
+            known = self.dictionary.filter(F.col("column") == c).select(
+                F.col("value").alias("_value"), F.col("code").alias(f"_code_{i}"), F.col("delta").alias(f"_delta_{i}"), F.col("n").alias("_n")
+            )
+            df = df.withColumn("_value", F.coalesce(text(c), F.lit(self.modes[c])))
+            df = attach(df, known, ["_value"], "_n", "left", small_rows=self.wide[c]).drop("_value", "_n")
+            df = df.withColumn(f"_code_{i}", F.coalesce(f"_code_{i}", F.lit(-1).cast("long")))
+        return df
+
+    def blocks(self) -> list[Column]:
+        """``w_i`` and ``v_i`` of each sparse block: number of the category, and what it adds to the block's base values."""
+        at = list(self.wide)
+        return [
+            x for i, c in enumerate(self.sparse) for x in (
+                F.col(f"_code_{at.index(c)}").alias(f"w_{i}"), F.coalesce(f"_delta_{at.index(c)}", F.lit(0.0)).alias(f"v_{i}")
+            )
+        ]
+
+    def base_values(self) -> DataFrame:
+        """``index, name, value``: the features of the sparse blocks in rows of another category."""
+        offset, start = F.lit(None).cast("long"), len(self.names)
+        for c in self.sparse:
+            offset = F.when(F.col("column") == c, F.lit(start).cast("long")).otherwise(offset)
+            start += self.wide[c]
+        return self.dictionary.withColumn("_at", offset).filter("_at IS NOT NULL").select(
+            (F.col("_at") + F.col("code")).alias("index"), F.concat_ws("_", "column", "value").alias("name"), F.col("base").alias("value")
+        )
+
+    def transform_long(self, df: DataFrame) -> DataFrame:
+        """``id, index, value`` of any table: the features of each row, of a sparse block only that of the row's category.
+
+        What is left out has the value ``base_values`` gives, which is 0 unless the scaler shifts. Of an
+        unknown category nothing is left in.
+        """
+        ready = self.transform(df)
+        entry = lambda i, v: F.struct(i.cast("long").alias("index"), v.alias("value"))
+        dense = [entry(F.lit(i), F.col(f)) for i, f in enumerate(self.f_cols)]
+        start, rest = len(self.names), []
+        for i, c in enumerate(self.sparse):
+            rest.append(F.when(F.col(f"w_{i}") >= 0, entry(F.col(f"w_{i}") + start, F.col(f"v_{i}"))))
+            start += self.wide[c]
+        long = ready.select(col(self.id_col), F.explode(F.array_compact(F.array(*dense, *rest))).alias("_e"))
+        long = long.select(col(self.id_col), "_e.index", "_e.value")
+        if self.scaler == "none" or not self.sparse:
+            return long
+        base = self.base_values().join(self._block_counts(), "index").select("index", F.col("value").alias("_base"), "_n")
+        found = attach(long.filter(F.col("index") >= len(self.names)), base, ["index"], "_n")
+        moved = found.select(col(self.id_col), "index", (F.col("value") + F.col("_base")).alias("value"))
+        return long.filter(F.col("index") < len(self.names)).unionByName(moved)
+
+    def _block_counts(self) -> DataFrame:
+        start, parts = len(self.names), None
+        for c in self.sparse:
+            part = self.dictionary.filter(F.col("column") == c).select((F.col("code") + start).alias("index"), F.col("n").alias("_n"))
+            parts = part if parts is None else parts.unionByName(part)
+            start += self.wide[c]
+        return parts
+
     def encoded(self) -> list[Column]:
         """Imputed and encoded columns, before scaling."""
         out = [F.expr(f"coalesce({number(c)}, {num(self.medians[c])})") for c in self.numeric]
@@ -107,7 +185,11 @@ class FeatureSpec:
             out += [F.expr(f"coalesce({number(c, k)}, {num(self.vector_medians[c][k])})") for k in range(size)]
         for c in self.categorical:
             value = F.coalesce(text(c), F.lit(self.modes[c]))
-            if self.encoder == "ohe":
+            if c in self.wide:
+                # a sparse block is no column
+                if self.encoder != "ohe":
+                    out.append(F.col(f"_code_{list(self.wide).index(c)}").cast("double"))
+            elif self.encoder == "ohe":
                 out += [F.when(value == v, 1.0).otherwise(0.0) for v in self.categories[c]]
             else:
                 known = F.array(*[F.lit(v) for v in self.categories[c]])
@@ -122,8 +204,8 @@ class FeatureSpec:
         return [c.alias(f"{prefix}{i}") for i, c in enumerate(cols)]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Id and ``f_0 ...`` for any table with the fitted columns."""
-        ready = df.select(col(self.id_col), *self.processed("f_"))
+        """Id and ``f_0 ...`` for any table with the fitted columns, then ``w_i, v_i`` of sparse blocks."""
+        ready = self.numbered(df).select(col(self.id_col), *self.processed("f_"), *self.blocks())
         if self.stages is None:
             return ready
         cols = [c for c in ready.columns if c != self.id_col]
@@ -135,13 +217,13 @@ class FeatureSpec:
         )
 
     def to_dict(self) -> dict:
-        plain = {k: v for k, v in self.__dict__.items() if k != "stages"}
+        plain = {k: v for k, v in self.__dict__.items() if k not in ("stages", "dictionary")}
         return dict(plain, has_stages=self.stages is not None)
 
     @classmethod
-    def from_dict(cls, d: dict, stages: PipelineModel | None = None) -> "FeatureSpec":
+    def from_dict(cls, d: dict, stages: PipelineModel | None = None, dictionary: DataFrame | None = None) -> "FeatureSpec":
         d = {k: v for k, v in d.items() if k != "has_stages"}
-        return cls(**d, stages=stages)
+        return cls(**d, stages=stages, dictionary=dictionary)
 
 
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -158,13 +240,16 @@ def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     )
 
 
-def _categories(df: DataFrame, cols: list[str]) -> tuple[dict[str, list[str]], dict[str, str]]:
-    """Sorted values and most frequent value (smallest on ties) per column."""
+def _categories(df: DataFrame, cols: list[str], narrow: int):
+    """Per column: sorted values (of narrow columns), most frequent value (smallest on ties), and the number of values of wide ones.
+
+    Also the counted values of all columns as a table.
+    """
     if not cols:
-        return {}, {}
+        return {}, {}, {}, None
+    counts = cut(value_counts(df, cols))
     per_col = (
-        value_counts(df, cols)
-        .groupBy("column")
+        counts.groupBy("column")
         .agg(
             F.min(F.struct(-F.col("n"), F.col("value")))["value"].alias("mode"),
             F.count(F.lit(1)).alias("n_values"),
@@ -172,14 +257,51 @@ def _categories(df: DataFrame, cols: list[str]) -> tuple[dict[str, list[str]], d
         .collect()
     )
     modes = {r["column"]: r["mode"] for r in per_col}
-    wide = [r["column"] for r in per_col if r["n_values"] > MAX_CATEGORIES]
-    if wide:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories in {wide}; leave these out")
-    values: dict[str, list[str]] = {c: [] for c in modes}
-    if modes:
-        for r in value_counts(df, list(modes)).select("column", "value").collect():
+    wide = {c: r["n_values"] for c in cols for r in per_col if r["column"] == c and r["n_values"] > narrow}
+    values: dict[str, list[str]] = {c: [] for c in modes if c not in wide}
+    if values:
+        # at most ``narrow`` rows a column
+        for r in counts.filter(F.col("column").isin(list(values))).collect():
             values[r["column"]].append(r["value"])
-    return {c: sorted(v) for c, v in values.items()}, modes
+    return {c: sorted(v) for c, v in values.items()}, modes, wide, counts
+
+
+def number_values(counts: DataFrame, cols: list[str]) -> DataFrame:
+    """``column, value, n, code``: the values of ``cols`` numbered from 0 in their order, column by column."""
+    placed = cut(number_rows(counts.filter(F.col("column").isin(cols)), [F.col("column"), F.col("value")], "_pos"))
+    # a row for each column
+    first = placed.groupBy("column").agg(F.min("_pos").alias("_first"))
+    return placed.join(F.broadcast(first), "column").select("column", "value", "n", (F.col("_pos") - F.col("_first")).alias("code"))
+
+
+def _dictionary(df: DataFrame, counts: DataFrame, wide: dict, modes: dict, scaler: str) -> DataFrame:
+    """``number_values`` with ``base`` and ``delta`` of each value: its one-hot feature in other rows, and what its own rows add.
+
+    The scaler's values of a 0/1 column follow from its count, gaps filled.
+    """
+    total = df.count()
+    known = counts.filter(F.col("column").isin(list(wide))).groupBy("column").agg(F.sum("n").alias("_known"))
+    mode = F.lit(None).cast("string")
+    for c in wide:
+        mode = F.when(F.col("column") == c, F.lit(modes[c])).otherwise(mode)
+    rows = number_values(counts, list(wide)).join(F.broadcast(known), "column")
+    rows = rows.withColumn("n", F.col("n") + F.when(F.col("value") == mode, F.lit(total) - F.col("_known")).otherwise(0)).drop("_known")
+    p, n0 = F.col("n") / F.lit(float(total)), F.lit(total) - F.col("n")
+    one, zero = F.lit(1.0), F.lit(0.0)
+    if scaler == "standard":
+        centre, width = p, F.sqrt(p * (1 - p))
+    elif scaler == "minmax":
+        centre = F.when(n0 == 0, one).otherwise(zero)
+        width = one - centre
+    elif scaler == "robust":
+        def at(q):
+            """Interpolated quantile of n0 zeros followed by ones."""
+            return F.least(F.greatest(F.lit(q * (total - 1)) - (n0 - 1), zero), one)
+        centre, width = at(0.5), at(0.75) - at(0.25)
+    else:
+        centre, width = zero, one
+    width = F.when(width == 0, one).otherwise(width)
+    return cut(rows.select("column", "value", "n", "code", (-centre / width + 0.0).alias("base"), (1 / width).alias("delta")))
 
 
 def fit_features(
@@ -189,8 +311,12 @@ def fit_features(
     scaler: str | None = "standard",
     cat_encoder: str = "ohe",
     extra_stages: list | None = None,
+    narrow: int = NARROW,
 ) -> FeatureSpec:
-    """Learn how to turn ``cols`` of ``df`` into the processed matrix."""
+    """Learn how to turn ``cols`` of ``df`` into the processed matrix.
+
+    A category column with more than ``narrow`` values is handled through a dictionary table.
+    """
     require_table(df)
     scaler, encoder = scaler_name(scaler), encoder_name(cat_encoder)
     names = check_columns(df, id_col, cols)
@@ -233,7 +359,7 @@ def fit_features(
     for c in vectors:
         vector_medians[c] = [medians_at[f"v{i + k}"][0] or 0.0 for k in range(sizes[c])]
         i += sizes[c]
-    categories, modes = _categories(df, categorical)
+    categories, modes, wide, counted = _categories(df, categorical, narrow)
     dropped += [c for c in categorical if c not in modes]
     numeric = [c for c in numeric if c in medians]
     categorical = [c for c in categorical if c in modes]
@@ -242,10 +368,16 @@ def fit_features(
 
     out_names = list(numeric) + [f"{c}_{k}" for c in vectors for k in range(sizes[c])]
     for c in categorical:
-        out_names += [f"{c}_{v}" for v in categories[c]] if encoder == "ohe" else [c]
+        if encoder != "ohe":
+            out_names.append(c)
+        elif c not in wide:
+            out_names += [f"{c}_{v}" for v in categories[c]]
+    if extra_stages and wide and encoder == "ohe":
+        raise ValueError(f"extra stages need dense features; encode {list(wide)} as ordinal")
+    dictionary = _dictionary(df, counted, wide, modes, scaler) if wide else None
     base = FeatureSpec(
         id_col, numeric, categorical, sizes, dropped, medians, vector_medians, modes,
-        categories, encoder, scaler, out_names, n_original=len(names),
+        categories, encoder, scaler, out_names, n_original=len(names), wide=wide, dictionary=dictionary,
     )
     centre, width = _scaler_values(df, base)
     spec = FeatureSpec(**{**base.__dict__, "centre": centre, "width": width})
@@ -253,10 +385,10 @@ def fit_features(
 
 
 def _scaler_values(df: DataFrame, spec: FeatureSpec) -> tuple[list[float], list[float]]:
-    if spec.scaler == "none":
-        return [], []
     cols = spec.f_cols
-    enc = df.select(*[e.alias(c) for e, c in zip(spec.encoded(), cols)])
+    if spec.scaler == "none" or not cols:
+        return [], []
+    enc = spec.numbered(df).select(*[e.alias(c) for e, c in zip(spec.encoded(), cols)])
     if spec.scaler == "robust":
         qs = exact_quantiles(enc, cols, [0.25, 0.5, 0.75])
         centre = [qs[c][1] for c in cols]
@@ -281,7 +413,7 @@ def _scaler_values(df: DataFrame, spec: FeatureSpec) -> tuple[list[float], list[
 def _with_stages(df: DataFrame, spec: FeatureSpec, stages: list) -> FeatureSpec:
     """Fit pyspark.ml stages that go from the ``features`` column onwards."""
     cols = spec.f_cols
-    ready = df.select(*spec.processed("f_")).select(array_to_vector(F.array(*cols)).alias("features"))
+    ready = spec.numbered(df).select(*spec.processed("f_")).select(array_to_vector(F.array(*cols)).alias("features"))
     model = Pipeline(stages=stages).fit(ready)
     output = model.stages[-1].getOutputCol()
     size = model.transform(ready).select(F.size(vector_to_array(F.col(output)))).first()[0]
@@ -328,14 +460,26 @@ def impute_mode(df: DataFrame, cols: list[str]) -> DataFrame:
     )
 
 
-def encode(df: DataFrame, cols: list[str], encoder: str, fit_on: DataFrame | None = None) -> DataFrame:
-    """Replace ``cols`` by one-hot or ordinal columns learnt from ``fit_on``."""
+def encode(df: DataFrame, cols: list[str], encoder: str, fit_on: DataFrame | None = None, narrow: int = NARROW) -> DataFrame:
+    """Replace ``cols`` by one-hot or ordinal columns learnt from ``fit_on``; an unknown value is all 0, or -1.
+
+    One-hot columns exist for columns of up to ``narrow`` values; use ``onehot_long`` beyond. Ordinal
+    codes of more values come from a joined table.
+    """
     encoder = encoder_name(encoder)
-    values, _ = _categories(df if fit_on is None else fit_on, cols)
+    values, _, wide, counts = _categories(df if fit_on is None else fit_on, cols, narrow)
+    if wide and encoder == "ohe":
+        raise ValueError(f"{list(wide)} would give more than {narrow} columns each; onehot_long returns them as rows")
+    if wide:
+        numbered = cut(number_values(counts, list(wide)))
     out = [col(c) for c in df.columns if c not in cols]
-    for c in cols:
+    for i, c in enumerate(cols):
         known = values.get(c, [])
-        if encoder == "ohe":
+        if c in wide:
+            codes = numbered.filter(F.col("column") == c).select(F.col("value").alias("_value"), F.col("code").alias(f"_code_{i}"), F.col("n").alias("_n"))
+            df = attach(df.withColumn("_value", text(c)), codes, ["_value"], "_n", "left", small_rows=wide[c]).drop("_value", "_n")
+            out.append(F.coalesce(f"_code_{i}", F.lit(-1)).cast("double").alias(c))
+        elif encoder == "ohe":
             out += [F.when(text(c) == v, 1.0).otherwise(0.0).alias(f"{c}_{v}") for v in known]
         else:
             arr = F.array(*[F.lit(v) for v in known])
@@ -343,6 +487,23 @@ def encode(df: DataFrame, cols: list[str], encoder: str, fit_on: DataFrame | Non
     return df.select(*out)
 
 
+def onehot_long(df: DataFrame, id_col: str, cols: list[str], fit_on: DataFrame | None = None) -> DataFrame:
+    """``id, index, value`` of the ones of the one-hot encoded ``cols``, whatever their number of values.
+
+    The values of each column are numbered in order, those of the first column first. Nulls and
+    values that ``fit_on`` lacks have no row.
+    """
+    fit_on = df if fit_on is None else fit_on
+    counts = cut(value_counts(fit_on, cols))
+    # the columns in the order given
+    name = F.coalesce(*[F.when(F.col("column") == c, F.lit(f"{i:06d}")) for i, c in enumerate(cols)])
+    placed = number_rows(counts.withColumn("_at", name), [F.col("_at"), F.col("value")], "index")
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), text(c).alias("value")) for c in cols])
+    long = df.select(col(id_col), F.inline(pairs))
+    found = attach(long, placed.select("column", "value", "index", "n"), ["column", "value"], "n")
+    return found.select(col(id_col), "index", F.lit(1.0).alias("value"))
+
+
 def encode_onehot(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None) -> DataFrame:
     return encode(df, cols, "ohe", fit_on)
 

@@ -6,12 +6,14 @@ import random
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from ..plans.cut import table
+from . import wide
 from .features import FeatureSpec, fit_features
 from .result import ClusterResult, nearest_centre
 
@@ -46,6 +48,12 @@ def vectors(features: DataFrame, f_cols: list[str]) -> DataFrame:
     )
 
 
+def from_vectors(vecs: DataFrame, f_cols: list[str]) -> DataFrame:
+    """The cached vectors as columns again."""
+    parts = vecs.select(vector_to_array("features").alias("_v"))
+    return parts.select(*[F.get("_v", F.lit(i)).alias(f) for i, f in enumerate(f_cols)])
+
+
 def _fit_once(vecs: DataFrame, k: int, seed: int, mode: str):
     """Cost, centres and rounds of one fit; Spark's trainer starts at two clusters."""
     if k == 1:
@@ -121,7 +129,8 @@ def kmeans(
     """Cluster rows around ``n_clusters`` centres.
 
     ``init`` may be a list of centres in the processed space; the rounds are
-    then deterministic and no restart happens.
+    then deterministic and no restart happens. If the features have sparse blocks (one-hot
+    columns of many values), such a list holds the ids of the rows to start from.
     """
     _check_k(n_clusters)
     given = not isinstance(init, str)
@@ -131,6 +140,19 @@ def kmeans(
         _mode(init), _starts(init, n_init)
     spec = spec or fit_features(df, id_col, cols, scaler, cat_encoder, extra_stages)
     features = spec.transform(df)
+    params = {
+        "n_clusters": n_clusters, "random_state": random_state,
+        "init": init if not given or spec.sparse else [list(map(float, c)) for c in init], "n_init": n_init,
+        "max_iter": max_iter, "tol": tol,
+    }
+    if spec.sparse:
+        seed = random.randrange(2**31) if random_state is None else random_state
+        labels, found, inertia, n_iter = wide.fit(
+            features, id_col, spec.f_cols, len(spec.sparse), n_clusters, init, 1 if given else _starts(init, n_init), seed, max_iter, tol
+        )
+        return ClusterResult(
+            "KMeans", params, spec, df, label_table=labels, inertia=inertia, n_iter=n_iter, wide_centres=found
+        )
     if given:
         cached = features.select(*spec.f_cols).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -142,14 +164,9 @@ def kmeans(
         vecs = vectors(features, spec.f_cols)
         try:
             _, centres, n_iter = best_fit(vecs, n_clusters, random_state, init, n_init)
+            inertia = inertia_of(from_vectors(vecs, spec.f_cols), spec.f_cols, centres)
         finally:
             vecs.unpersist()
-        inertia = inertia_of(features, spec.f_cols, centres)
-    params = {
-        "n_clusters": n_clusters, "random_state": random_state,
-        "init": [list(map(float, c)) for c in init] if given else init, "n_init": n_init,
-        "max_iter": max_iter, "tol": tol,
-    }
     return ClusterResult("KMeans", params, spec, df, centres=centres, inertia=inertia, n_iter=n_iter)
 
 
@@ -172,6 +189,13 @@ def elbow(
     for k in ks:
         _check_k(k)
     spec = spec or fit_features(df, id_col, cols, scaler, cat_encoder)
+    if spec.sparse:
+        seed = random.randrange(2**31) if random_state is None else random_state
+        features = table(spec.transform(df))
+        costs = [
+            (k, wide.fit(features, id_col, spec.f_cols, len(spec.sparse), k, init, _starts(init, n_init), seed, MAX_ITER, TOL)[2]) for k in ks
+        ]
+        return df.sparkSession.createDataFrame(costs, "k int, inertia double")
     vecs = vectors(spec.transform(df), spec.f_cols)
     try:
         with ThreadPoolExecutor(min(PARALLEL_FITS, len(ks))) as pool:

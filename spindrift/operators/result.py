@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distance import distance_matrix, num, plus
+from . import wide
 from .features import FeatureSpec, col
 
 LABEL = "cluster_label"
@@ -60,6 +61,7 @@ class ClusterResult:
     inertia: float | None = None
     n_iter: int | None = None
     tree: object | None = None
+    wide_centres: wide.WideCentres | None = None
 
     @property
     def id_col(self) -> str:
@@ -99,6 +101,9 @@ class ClusterResult:
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Labels of new rows; only a model with centres can give them."""
+        if self.wide_centres is not None:
+            near = wide.nearest(self.spec.transform(df), self.f_cols, len(self.spec.sparse), self.wide_centres)
+            return near.select(self.id_col, F.col("_near.c").alias(LABEL))
         if self.centres is None:
             raise ValueError(f"{self.model} has no rule for rows it was not fitted on")
         return self.assign_features(self.spec.transform(df)).select(self.id_col, LABEL)
@@ -109,7 +114,7 @@ class ClusterResult:
         names = [self.id_col, *self.selected]
         if self.label_table is not None or self.spec.stages is not None:
             return raw.select(*[col(c) for c in names]).join(self.labels, self.id_col)
-        ready = raw.select("*", *self.spec.processed("_f_"))
+        ready = self.spec.numbered(raw).select("*", *self.spec.processed("_f_"))
         hidden = [f"_{f}" for f in self.f_cols]
         return ready.select(*[col(c) for c in names], nearest_centre(hidden, self.centres)["c"].alias(LABEL))
 

@@ -13,6 +13,7 @@ from .operators import diagnostics as diag
 from .operators import evaluate as ev
 from .operators import features as feat
 from .operators import kmeans as km
+from .operators import pairs as ap
 from .operators import tables as tab
 from .operators.dendrogram import dendrogram
 from .operators.models import cluster
@@ -197,6 +198,119 @@ def pca_stage(spark, sf):
     return spec.transform(p)
 
 
+# -- categories of many values -----------------------------------------------
+
+
+def keyed_orders(spark, sf):
+    """Orders whose key is a category: as many values as rows."""
+    return read(spark, sf, "orders").selectExpr("o_orderkey", "CAST(o_orderkey AS STRING) AS key_text")
+
+
+@query("""SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey::VARCHAR) - 1 AS index, 1.0::DOUBLE AS value FROM orders""")
+def onehot_many_values(spark, sf):
+    return feat.onehot_long(keyed_orders(spark, sf), "o_orderkey", ["key_text"])
+
+
+@query("""SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey::VARCHAR) - 1)::DOUBLE AS key_text FROM orders""")
+def ordinal_many_values(spark, sf):
+    return feat.encode_ordinal(keyed_orders(spark, sf), ["key_text"])
+
+
+@query("""WITH known AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT o_custkey::VARCHAR AS v FROM orders WHERE o_orderkey % 3 = 0))
+SELECT o_orderkey, coalesce(code, -1)::DOUBLE AS cust FROM orders LEFT JOIN known ON v = o_custkey::VARCHAR""")
+def ordinal_many_unseen(spark, sf):
+    o = read(spark, sf, "orders").selectExpr("o_orderkey", "CAST(o_custkey AS STRING) AS cust")
+    return feat.encode_ordinal(o, ["cust"], fit_on=o.filter("o_orderkey % 3 = 0"))
+
+
+CUSTOMERS = [
+    "o_orderkey AS id", "CAST(o_totalprice AS DOUBLE) AS price",
+    "CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR(20)) END AS cust",
+]
+CUSTOMERS_SQL = f"""o0 AS (SELECT {", ".join(CUSTOMERS)} FROM orders),
+o AS MATERIALIZED (SELECT id, price, coalesce(cust, (SELECT cust FROM o0 WHERE cust IS NOT NULL GROUP BY cust ORDER BY count(*) DESC, cust LIMIT 1)) AS cust FROM o0),
+p AS (SELECT cust, count(*) / (SELECT count(*) FROM o) AS p, row_number() OVER (ORDER BY cust) - 1 AS code FROM o GROUP BY cust),
+f AS MATERIALIZED (SELECT id, (price - a) / s AS x, cust, code, p, 1 / sqrt(p * (1 - p)) AS v
+FROM o JOIN p USING (cust), (SELECT avg(price) AS a, stddev_pop(price) AS s FROM o))"""
+
+
+def customer_orders(spark, sf):
+    return read(spark, sf, "orders").selectExpr(*CUSTOMERS)
+
+
+@query(f"""WITH {CUSTOMERS_SQL} SELECT id, 0::BIGINT AS index, {R("x")} AS value FROM f
+UNION ALL SELECT id, 1 + code, {R("(1 - p) / sqrt(p * (1 - p))")} FROM f""")
+def onehot_many_scaled(spark, sf):
+    o = customer_orders(spark, sf)
+    return rounded(feat.fit_features(o, "id").transform_long(o))
+
+
+@query(f"""WITH {CUSTOMERS_SQL} SELECT id, {R("x")} AS price, {R("(code - (SELECT avg(code) FROM f)) / (SELECT stddev_pop(code) FROM f)")} AS cust FROM f""")
+def ordinal_many_scaled(spark, sf):
+    o = customer_orders(spark, sf)
+    spec = feat.fit_features(o, "id", cat_encoder="ordinal")
+    return rounded(spec.transform(o).select("id", *[F.col(f).alias(n) for f, n in zip(spec.f_cols, spec.names)]))
+
+
+WIDE_ROUNDS = 3
+
+
+def wide_kmeans(spark, sf):
+    o = customer_orders(spark, sf)
+    first = [r["id"] for r in o.orderBy("id").select("id").limit(3).collect()]
+    return km.kmeans(o, "id", n_clusters=3, init=first, max_iter=WIDE_ROUNDS, tol=0.0)
+
+
+def _wide_sql() -> str:
+    ctes = [CUSTOMERS_SQL, "r AS MATERIALIZED (SELECT row_number() OVER (ORDER BY id) - 1 AS c, * FROM f QUALIFY c < 3)",
+            "d0 AS MATERIALIZED (SELECT c, x AS m FROM r)", "v0 AS MATERIALIZED (SELECT c, cust, v AS val FROM r)"]
+    for t in range(WIDE_ROUNDS + 1):
+        ctes += [
+            f"q{t} AS MATERIALIZED (SELECT c, sum(val * val) AS sq FROM v{t} GROUP BY c)",
+            f"g{t} AS (SELECT f.id, f.x, f.cust, f.v, d{t}.c, (f.x - m)**2 + f.v * f.v - 2 * f.v * coalesce(val, 0) + sq AS d2 "
+            f"FROM f CROSS JOIN d{t} JOIN q{t} USING (c) LEFT JOIN v{t} ON v{t}.c = d{t}.c AND v{t}.cust = f.cust)",
+            f"l{t} AS MATERIALIZED (SELECT id, x, cust, v, arg_min(c, d2) AS c, min(d2) AS d2 FROM g{t} GROUP BY id, x, cust, v)",
+            f"n{t} AS (SELECT c, count(*) AS n FROM l{t} GROUP BY c)",
+            f"d{t + 1} AS MATERIALIZED (SELECT c, avg(x) AS m FROM l{t} GROUP BY c)",
+            f"v{t + 1} AS MATERIALIZED (SELECT c, cust, sum(v) / any_value(n) AS val FROM l{t} JOIN n{t} USING (c) GROUP BY c, cust)",
+        ]
+    return "WITH " + ", ".join(ctes)
+
+
+@query(f"{_wide_sql()} SELECT id, c::INTEGER AS cluster_label FROM l{WIDE_ROUNDS}")
+def kmeans_many_values(spark, sf):
+    return wide_kmeans(spark, sf).labels
+
+
+@query(f"{_wide_sql()} SELECT id, c::INTEGER AS cluster_label FROM l{WIDE_ROUNDS}")
+def save_and_load_many_values(spark, sf):
+    fitted = wide_kmeans(spark, sf)
+    return store.load_model(spark, store.save_model(fitted, scratch(spark)), fitted.source).labels
+
+
+@query(f"""{_wide_sql()}, w AS MATERIALIZED (SELECT id, c, x, cust, v, (x - m)**2 + v * v - 2 * v * val + (SELECT sum(val * val) FROM v{WIDE_ROUNDS + 1} z WHERE z.c = l.c) AS d2
+    FROM l{WIDE_ROUNDS} l JOIN d{WIDE_ROUNDS + 1} USING (c) JOIN v{WIDE_ROUNDS + 1} USING (c, cust)),
+cen AS (SELECT c, count(*) AS n, avg(sqrt(greatest(d2, 0))) AS s, sum(d2) AS w FROM w GROUP BY c),
+whole AS (SELECT cust, sum(v) / (SELECT count(*) FROM w) AS val FROM w GROUP BY cust),
+between_ AS (SELECT sum((v - coalesce(val, 0))**2 * n) AS b FROM (SELECT k.c, whole.cust, coalesce(z.val, 0) AS v, whole.val AS val, k.n
+    FROM cen k CROSS JOIN whole LEFT JOIN v{WIDE_ROUNDS + 1} z ON z.c = k.c AND z.cust = whole.cust)),
+dense AS (SELECT sum(n * (m - (SELECT avg(x) FROM w))**2) AS b FROM cen JOIN d{WIDE_ROUNDS + 1} USING (c)),
+gap AS (SELECT a.c AS a, b.c AS b, sqrt((da.m - db.m)**2 + (SELECT sum((coalesce(x.val, 0) - coalesce(y.val, 0))**2) FROM (SELECT * FROM v{WIDE_ROUNDS + 1} WHERE c = a.c) x
+    FULL JOIN (SELECT * FROM v{WIDE_ROUNDS + 1} WHERE c = b.c) y USING (cust))) AS d
+    FROM cen a JOIN cen b ON a.c <> b.c JOIN d{WIDE_ROUNDS + 1} da ON da.c = a.c JOIN d{WIDE_ROUNDS + 1} db ON db.c = b.c),
+worst AS (SELECT gap.a, max((ka.s + kb.s) / d) AS r FROM gap JOIN cen ka ON ka.c = gap.a JOIN cen kb ON kb.c = gap.b GROUP BY gap.a)
+SELECT (SELECT count(*) FROM w) AS n_samples, 2::BIGINT AS n_original_features, (SELECT 1 + count(*) FROM p) AS n_features_after_transform,
+(SELECT count(*) FROM cen) AS n_clusters_found, round((between_.b + dense.b) * ((SELECT count(*) FROM w) - (SELECT count(*) FROM cen)) / ((SELECT sum(w) FROM cen) * ((SELECT count(*) FROM cen) - 1)), 4) AS calinski_harabasz_score,
+(SELECT round(avg(r), 4) FROM worst) AS davies_bouldin_score, (SELECT round(sum(d2), 2) FROM l{WIDE_ROUNDS}) AS inertia FROM between_, dense""")
+def evaluate_many_values(spark, sf):
+    found = ev.evaluate(wide_kmeans(spark, sf))
+    return found.select(
+        "n_samples", "n_original_features", "n_features_after_transform", "n_clusters_found",
+        F.round("calinski_harabasz_score", 4).alias("calinski_harabasz_score"), F.round("davies_bouldin_score", 4).alias("davies_bouldin_score"),
+        F.round("inertia", 2).alias("inertia"),
+    )
+
+
 # -- KMeans and the result tables -------------------------------------------
 
 
@@ -604,7 +718,121 @@ def agglomerative_single(spark, sf):
     return _nation_labels(spark, sf, "single")
 
 
-@query()
+# -- more than a task's worth of clusters, and distances given as a table -----
+
+USERS = "uf AS (SELECT user_id AS id, count(*) * 1.0 AS n_events, avg(value) AS avg_value FROM events GROUP BY user_id)"
+USERS_F = f"{USERS}, " + scaled_sql("uf", "id", ["n_events", "avg_value"])
+
+
+def users(spark, sf):
+    """A row for each user: 150 at sf0.01, more than one task merges."""
+    return read(spark, sf, "events").groupBy(F.col("user_id").alias("id")).agg(
+        (F.count(F.lit(1)) * 1.0).cast("double").alias("n_events"), F.avg("value").alias("avg_value")
+    )
+
+
+def _steps_sql(base: str, linkage: str, metric: str = "euclidean", pairs: str | None = None) -> str:
+    """One merge per step, the nearest pair of that moment, for any number of rows.
+
+    ``l`` holds the cluster of each row after each step. With ``pairs`` only those are given and only
+    clusters with all pairs between them (one, for single linkage) can merge.
+    """
+    if linkage == "ward" and pairs is None:
+        side = "(SELECT cid, count(*) AS n, avg(f_0) AS m0, avg(f_1) AS m1 FROM l JOIN r USING (num) GROUP BY cid)"
+        nearest = (f"SELECT a.cid AS x, b.cid AS y, sqrt(2.0 * a.n * b.n / (a.n + b.n) * ((a.m0 - b.m0)**2 + (a.m1 - b.m1)**2)) AS d, a.n + b.n AS size "
+                   f"FROM {side} a JOIN {side} b ON a.cid < b.cid")
+    else:
+        # ward from distances: the mean squared distance between the clusters less their variances
+        value = {"single": "min(d)", "complete": "max(d)", "average": "sum(d) / count(*)",
+                 "ward": "sqrt(2.0 * na * nb / (na + nb) * greatest(sum(d * d) / count(*) - any_value(va) - any_value(vb), 0))"}[linkage]
+        whole = "" if linkage == "single" else "HAVING count(*) = na * nb"
+        size = "(SELECT cid, count(*) AS n, 0 AS v FROM l GROUP BY cid)" if linkage != "ward" else (
+            "(SELECT sz.cid, sz.n, coalesce(vv.s, 0) / (2.0 * sz.n * sz.n) AS v FROM (SELECT cid, count(*) AS n FROM l GROUP BY cid) sz "
+            "LEFT JOIN (SELECT c1.cid, sum(p.d * p.d) AS s FROM p JOIN l c1 ON c1.num = p.i JOIN l c2 ON c2.num = p.j WHERE c1.cid = c2.cid GROUP BY c1.cid) vv ON vv.cid = sz.cid)")
+        nearest = (f"SELECT x, y, {value} AS d, na + nb AS size FROM (SELECT a.cid AS x, b.cid AS y, p.d, ka.n AS na, kb.n AS nb, ka.v AS va, kb.v AS vb "
+                   f"FROM p JOIN l a ON a.num = p.i JOIN l b ON b.num = p.j JOIN {size} ka ON ka.cid = a.cid JOIN {size} kb ON kb.cid = b.cid WHERE a.cid < b.cid) "
+                   f"GROUP BY x, y, na, nb {whole}")
+    given = pairs or f"SELECT a.num AS i, b.num AS j, {dist('a', 'b', 2, metric)} AS d FROM r a, r b WHERE a.num <> b.num"
+    return f"""WITH RECURSIVE {base},
+r AS MATERIALIZED (SELECT row_number() OVER (ORDER BY id) - 1 AS num, * FROM f),
+p AS MATERIALIZED ({given}),
+l AS (SELECT 0::BIGINT AS step, num, num AS cid, NULL::BIGINT AS x, NULL::BIGINT AS y, NULL::DOUBLE AS d, NULL::BIGINT AS size FROM r
+UNION ALL SELECT step + 1, num, CASE WHEN cid IN (m.x, m.y) THEN (SELECT count(*) FROM r) + step ELSE cid END, m.x, m.y, m.d, m.size
+FROM l, ({nearest} ORDER BY 3, 1, 2 LIMIT 1) m),
+z AS (SELECT DISTINCT step - 1 AS merge_id, x AS left_id, y AS right_id, d AS distance, size FROM l WHERE step > 0)"""
+
+
+def _cut_sql(steps: str, k: int, key: str) -> str:
+    return (f"{steps}, e AS (SELECT num, cid FROM l WHERE step = (SELECT count(*) FROM r) - {k}), "
+            f"names AS (SELECT cid, row_number() OVER (ORDER BY min(num)) - 1 AS c FROM e GROUP BY cid) "
+            f"SELECT r.id AS {key}, c::INTEGER AS cluster_label FROM r JOIN e USING (num) JOIN names USING (cid)")
+
+
+_MERGES = f"SELECT merge_id, left_id, right_id, {R('distance')} AS distance, size FROM z"
+
+
+def _user_tree(spark, sf, linkage, metric="euclidean"):
+    u = users(spark, sf)
+    spec = feat.fit_features(u, "id")
+    return rounded(agg.linkage_table(spec.transform(u), "id", spec.f_cols, linkage, metric))
+
+
+@query(f"{_steps_sql(USERS_F, 'ward')} {_MERGES}")
+def linkage_users_ward(spark, sf):
+    return _user_tree(spark, sf, "ward")
+
+
+@query(f"{_steps_sql(USERS_F, 'complete', 'manhattan')} {_MERGES}")
+def linkage_users_complete(spark, sf):
+    return _user_tree(spark, sf, "complete", "manhattan")
+
+
+@query(f"{_steps_sql(USERS_F, 'average', 'cosine')} {_MERGES}")
+def linkage_users_average(spark, sf):
+    return _user_tree(spark, sf, "average", "cosine")
+
+
+@query(f"{_steps_sql(USERS_F, 'single')} {_MERGES}")
+def linkage_users_single(spark, sf):
+    return _user_tree(spark, sf, "single")
+
+
+def user_pairs(spark, sf, most):
+    """Users, and the pairs of them up to a distance, each once."""
+    u = users(spark, sf)
+    f = feat.fit_features(u, "id").transform(u)
+    step = F.floor(F.col("f_0") / most)
+    a = f.select(F.col("id").alias("a"), F.col("f_0").alias("a0"), F.col("f_1").alias("a1"), F.explode(F.array(step - 1, step, step + 1)).alias("strip"))
+    b = f.select(F.col("id").alias("b"), F.col("f_0").alias("b0"), F.col("f_1").alias("b1"), step.alias("strip"))
+    gap = F.sqrt((F.col("a0") - F.col("b0")) ** 2 + (F.col("a1") - F.col("b1")) ** 2)
+    pairs = a.join(b, "strip").filter(F.col("a") < F.col("b")).select("a", "b", gap.alias("distance")).filter(F.col("distance") <= most)
+    return u.select("id"), pairs
+
+
+def _given(most: float) -> str:
+    return f"SELECT a.num AS i, b.num AS j, {dist('a', 'b', 2)} AS d FROM r a, r b WHERE a.num <> b.num AND {dist('a', 'b', 2)} <= {most}"
+
+
+def _pairs_query(linkage: str, most: float):
+    def run(spark, sf):
+        ids, pairs = user_pairs(spark, sf, most)
+        return rounded(ap.linkage_pairs(ids, pairs, linkage))
+
+    run.__name__ = f"linkage_pairs_{linkage}"
+    return query(f"{_steps_sql(USERS_F, linkage, pairs=_given(most))} {_MERGES}")(run)
+
+
+for _linkage in agg.LINKAGES:
+    # far pairs are missing, so that the tree is a forest for all but single linkage
+    _pairs_query(_linkage, 1.5)
+
+
+@query(_cut_sql(_steps_sql(USERS_F, "average", pairs=_given(99.0)), 6, "id"))
+def agglomerative_from_pairs(spark, sf):
+    return ap.agglomerative_pairs(*user_pairs(spark, sf, 99.0), n_clusters=6, linkage="average")
+
+
+@query(_cut_sql(_steps_sql(SUPPLIERS, "average"), 5, "s_suppkey"))
 def agglomerative_suppliers(spark, sf):
     s = read(spark, sf, "supplier").select("s_suppkey", "s_acctbal", "s_nationkey")
     return cluster(s, "AgglomerativeClustering", "s_suppkey", n_clusters=5, linkage="average").labels

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.features import FeatureSpec
 from ..operators.result import LABEL, ClusterResult, labels_of
+from ..operators.wide import WideCentres, nearest
 
 REGISTRY = "model_type string, path string, created_at timestamp"
 
@@ -32,11 +33,16 @@ def save_model(result: ClusterResult, root: str) -> str:
     spec = result.spec.to_dict()
     saved = {
         "model": result.model, "params": result.params, "spec": spec,
-        "centres": result.centres, "inertia": result.inertia, "n_iter": result.n_iter,
+        "centres": result.centres, "wide": None if result.wide_centres is None else [result.wide_centres.dense, result.wide_centres.squares],
+        "inertia": result.inertia, "n_iter": result.n_iter,
     }
     spark.createDataFrame([(json.dumps(saved),)], "body string").write.text(f"{path}/spec")
     if result.spec.stages is not None:
         result.spec.stages.write().save(f"{path}/stages")
+    if result.spec.dictionary is not None:
+        result.spec.dictionary.write.parquet(f"{path}/dictionary")
+    if result.wide_centres is not None:
+        result.wide_centres.values.write.parquet(f"{path}/centres")
     if result.label_table is not None:
         result.label_table.write.parquet(f"{path}/labels")
     row = spark.createDataFrame([(result.model, path, now)], REGISTRY)
@@ -67,11 +73,16 @@ def load_model(spark: SparkSession, path: str, df: DataFrame) -> ClusterResult:
     saved = json.loads(body)
     has_stages = saved["spec"]["has_stages"]
     stages = PipelineModel.load(f"{path}/stages") if has_stages else None
-    spec = FeatureSpec.from_dict(saved["spec"], stages)
-    labels = None
-    if saved["centres"] is None:
+    dictionary = spark.read.parquet(f"{path}/dictionary") if saved["spec"]["wide"] else None
+    spec = FeatureSpec.from_dict(saved["spec"], stages, dictionary)
+    labels, centres = None, None
+    if saved["wide"] is not None:
+        centres = WideCentres(saved["wide"][0], spark.read.parquet(f"{path}/centres"), saved["wide"][1])
+        near = nearest(spec.transform(df), spec.f_cols, len(spec.sparse), centres)
+        labels = near.select(spec.id_col, F.col("_near.c").alias(LABEL))
+    elif saved["centres"] is None:
         labels = labels_of(df, spec.id_col, spark.read.parquet(f"{path}/labels"))
     return ClusterResult(
         saved["model"], saved["params"], spec, df, label_table=labels,
-        centres=saved["centres"], inertia=saved["inertia"], n_iter=saved["n_iter"],
+        centres=saved["centres"], inertia=saved["inertia"], n_iter=saved["n_iter"], wide_centres=centres,
     )

@@ -29,6 +29,7 @@ def test_small_tree(spark, linkage, metric):
 
 @pytest.mark.parametrize("linkage,metric", CASES)
 def test_many_blocks(spark, monkeypatch, linkage, metric):
+    monkeypatch.setattr(agg, "PAIR_ROWS", 0)
     monkeypatch.setattr(agg, "BLOCK_ROWS", 16)
     monkeypatch.setattr(agg, "MEMBER_ROWS", 4)
     monkeypatch.setattr(agg, "LAST_CLUSTERS", 24)
