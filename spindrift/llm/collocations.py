@@ -13,6 +13,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,11 +22,13 @@ from ..plans.cut import table
 from ..plans.skew import attach
 
 LEAST = 30           # occurrences of a candidate
+WORDS = 4            # words of a phrase at most
 SUBSUMED = 80        # per cent of a phrase's occurrences inside one longer phrase
 TOP = 2_000          # phrases of a language
 FILTER_BITS = 1 << 26  # of the filter of frequent parts: 8 MiB whatever the table
 CHUNK_BYTES = 4 << 20  # of text that are counted at once
 HELD = 1_500_000     # counters a task holds before it hands its stripes on
+MERGED = 1_000_000   # counters that are added up at once
 KNOWN = 500_000      # words a task remembers
 WORD_BITS = 21       # of a remembered word's number
 HOT = 1_000          # a prefix of more than a thousandth of all words has its stripe cut into slots
@@ -162,99 +165,149 @@ class Vocabulary:
 STRIPES = "lang string, prefix binary, slot int, words array<binary>, counts array<bigint>, rest long"
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.binary(), pa.int32(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.int64()]
-    names = [c.split()[0] for c in STRIPES.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+_NAMES = [c.split()[0] for c in STRIPES.split(", ")]
+_LOW = (1 << WORD_BITS) - 1
 
 
-def _summed(key: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct (key, word) and the sums of their ``n``."""
-    if not len(key):
-        return key, word, n
-    order = np.lexsort((word, key))
-    key, word, n = key[order], word[order], n[order]
-    first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (word[1:] != word[:-1])])
-    return key[first], word[first], np.add.reduceat(n, first)
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(np.r_[first, len(keys)])
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their ``n``."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(n[order], first)
 
 
 class Counters:
-    """The counters a task holds for one language: prefix (numbers of its words, packed), next word (0: rest), count."""
+    """The counters a task holds for one language: prefix and next word (0: rest), packed into one number, and a count.
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.parts, self.size = vocabulary, [], 0
+    A prefix of one or two words is packed word by word; one of three goes by a number of its own.
+    """
 
-    def add(self, key: np.ndarray, word: np.ndarray) -> None:
-        self.parts.append(_summed(key, word, np.ones(len(key), np.int64)))
+    def __init__(self, vocabulary: Vocabulary, words: int):
+        self.vocabulary, self.words, self.parts, self.size = vocabulary, words, [], 0
+        self.triples, self.number = [], {}
+
+    def add(self, prefix: list[np.ndarray], word: np.ndarray) -> None:
+        if self.words == 3:
+            # few are left of these
+            numbered = []
+            for t in zip(*(p.tolist() for p in prefix)):
+                if t not in self.number:
+                    self.number[t] = len(self.triples)
+                    self.triples.append(t)
+                numbered.append(self.number[t])
+            key = np.array(numbered, np.int64)
+        else:
+            key = prefix[0]
+            for p in prefix[1:]:
+                key = key << WORD_BITS | p
+        self.parts.append(_counted(key << WORD_BITS | word))
         self.size += len(self.parts[-1][0])
 
     def merge(self) -> None:
-        self.parts = [_summed(*(np.concatenate(c) for c in zip(*self.parts)))]
+        if len(self.parts) > 1:
+            self.parts = [_summed(*(np.concatenate(c) for c in zip(*self.parts)))]
         self.size = len(self.parts[0][0])
 
     def stripes(self, hot: dict[tuple[str, bytes], int]):
         """A stripe for each prefix, or for each slot of a hot one."""
-        self.merge()
-        key, word, n = self.parts[0]
-        if not len(key):
+        if not self.size:
             return
-        v, words = self.vocabulary, pa.array(self.vocabulary.words, pa.binary())
-        hashes = np.array(v.hashes, np.uint64)
-        prefixes, at = np.unique(key, return_inverse=True)
-        names = []
-        for p in prefixes.tolist():
-            parts = []
-            while p:
-                parts.append(v.words[p & (1 << WORD_BITS) - 1])
-                p >>= WORD_BITS
-            names.append(b" ".join(reversed(parts)))
-        slots = np.array([hot.get((v.lang, p), 1) for p in names], np.uint64)[at]
-        slot = np.where(word > 0, hashes[word] % slots, 0).astype(np.int32)
-        order = np.lexsort((word, slot, at))
-        at, slot, word, n = at[order], slot[order], word[order], n[order]
-        first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (slot[1:] != slot[:-1])])
+        self.merge()
+        key, n = self.parts[0]
+        key, word = key >> WORD_BITS, key & _LOW
+        v, vocabulary = self.vocabulary, pa.array(self.vocabulary.words, pa.binary())
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        prefix, at = key[first], np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(key)]))
+        if self.words == 3:
+            parts = list(np.array(self.triples, np.int64)[prefix].T)
+        else:
+            parts = [prefix >> (WORD_BITS * i) & _LOW for i in reversed(range(self.words))]
+        names = [vocabulary.take(pa.array(p)) for p in parts]
+        names = names[0] if len(names) == 1 else pc.binary_join_element_wise(*names, pa.scalar(b" ", pa.binary()))
+        slot = np.zeros(len(key), np.int64)
+        if any(lang == v.lang for lang, _ in hot):
+            slots = np.array([hot.get((v.lang, p), 1) for p in names.to_pylist()], np.uint64)[at]
+            slot = np.where(word > 0, np.array(v.hashes, np.uint64)[word] % slots, 0).astype(np.int64)
+            order = np.lexsort((word, slot, at))
+            at, slot, word, n = at[order], slot[order], word[order], n[order]
+            first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (slot[1:] != slot[:-1])])
         rest = np.where(word[first] == 0, n[first], 0)
         inside = word > 0
         ends = np.r_[0, np.cumsum(np.add.reduceat(inside.astype(np.int32), first))].astype(np.int32)
-        lists = [pa.ListArray.from_arrays(ends, c) for c in (words.take(pa.array(word[inside])), pa.array(n[inside]))]
-        names = pa.array(names, pa.binary()).take(pa.array(at[first]))
+        lists = [pa.ListArray.from_arrays(ends, c) for c in (vocabulary.take(pa.array(word[inside])), pa.array(n[inside]))]
         whole = pa.RecordBatch.from_arrays(
-            [pa.array([v.lang] * len(first), pa.string()), names, pa.array(slot[first]), *lists, pa.array(rest)],
-            names=[c.split()[0] for c in STRIPES.split(", ")],
+            [pa.array([v.lang] * len(first), pa.string()), names.take(pa.array(at[first])), pa.array(slot[first].astype(np.int32)), *lists, pa.array(rest)],
+            names=_NAMES,
         )
         for i in range(0, whole.num_rows, 20_000):
             yield whole.slice(i, 20_000)
 
 
-def stripes(texts: DataFrame, lengths: tuple[int, ...], words, pairs, hot: dict[tuple[str, bytes], int]) -> DataFrame:
-    """Merged stripes of the prefixes of ``lengths`` words, (1,) or (2, 3), that can lead to a candidate.
-
-    ``words`` and ``pairs`` (broadcast bits of the filters) tell which parts are frequent. Whatever
-    follows a prefix and can't be part of a candidate, the end of a piece included, counts as
-    ``rest``. The stripe of a prefix in ``hot`` is cut into so many slots by a hash of the following word.
+def _merged(t: pa.Table) -> pa.RecordBatch:
+    """Stripes of equal key, which are neighbours, added elementwise."""
+    t = t.combine_chunks()
+    lang, prefix, slot = (t.column(c).chunk(0) for c in _NAMES[:3])
+    new = np.zeros(len(lang), bool)
+    new[0] = True
+    for c in (lang, prefix, slot):
+        new[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+    first = np.flatnonzero(new)
+    words, counts = t.column("words").chunk(0), t.column("counts").chunk(0)
+    length = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    group = np.repeat(np.cumsum(new) - 1, length)
+    coded = words.flatten().dictionary_encode()
+    n = counts.flatten().to_numpy(zero_copy_only=False)
+    size = max(1, len(coded.dictionary))
+    if len(group):
+        key, n = _summed(group * size + coded.indices.to_numpy(zero_copy_only=False), n)
+    else:
+        key = group
+    ends = np.searchsorted(key // size, np.arange(len(first) + 1), "left").astype(np.int32)
+    at = pa.array(first)
+    out = pa.RecordBatch.from_arrays([
+        lang.take(at), prefix.take(at), slot.take(at), pa.ListArray.from_arrays(ends, coded.dictionary.take(pa.array(key % size))),
+        pa.ListArray.from_arrays(ends, pa.array(n)),
+        pa.array(np.add.reduceat(t.column("rest").chunk(0).to_numpy(zero_copy_only=False), first)),
+    ], names=_NAMES)
+    return out
+
+
+def stripes(texts: DataFrame, words: int, frequent_words, frequent, hot: dict[tuple[str, bytes], int]) -> DataFrame:
+    """Merged stripes of the prefixes of so many words that can lead to a candidate.
+
+    ``frequent_words`` and ``frequent`` (broadcast bits of filters) tell which words are frequent, and which phrases
+    of as many words as the prefix. Whatever follows a prefix and can't be part of a candidate, the end of a piece
+    included, counts as ``rest``. The stripe of a prefix in ``hot`` is cut into so many slots by a hash of the
+    following word.
     """
     def build(batches):
         held: dict[str, Counters] = {}
         for lang, found in _chunks(batches):
             if lang not in held:
-                held[lang] = Counters(Vocabulary(lang, words.value))
+                held[lang] = Counters(Vocabulary(lang, frequent_words.value), words)
             c = held[lang]
-            x = np.r_[c.vocabulary(found), 0, 0, 0]
-            a, b, here = x[:-3], x[1:-2], x[:-3] > 0
-            if lengths == (1,):
-                c.add(a[here], b[here])
-            else:
-                pair = a << WORD_BITS | b
-                both, at = np.unique(pair, return_inverse=True)
+            x = np.r_[c.vocabulary(found), np.zeros(words, np.int64)]
+            n = len(found)
+            window = [x[i:i + n] for i in range(words)]
+            ok = np.logical_and.reduce([w > 0 for w in window])
+            if words > 1:
                 hashes = np.array(c.vocabulary.hashes, np.uint64)
-                left, right = both >> WORD_BITS, both & (1 << WORD_BITS) - 1
-                ok = (left > 0) & (right > 0)
-                ok[ok] = _passes(pairs.value, [hashes[left[ok]], hashes[right[ok]]])
-                ok = np.r_[ok[at], False, False]
-                first, second, third = ok[:-2], ok[1:-1], ok[2:]
-                c.add(pair[first], np.where(second, x[2:-1], 0)[first])
-                both = first & second
-                c.add((pair << WORD_BITS | x[2:-1])[both], np.where(third, x[3:], 0)[both])
+                here = np.flatnonzero(ok)
+                ok[here] = _passes(frequent.value, [hashes[w[here]] for w in window])
+            here = np.flatnonzero(ok)
+            after = x[here + words]
+            if words > 1:
+                # the phrase that starts one word later, too, must be frequent
+                after = np.where(np.r_[ok, False][here + 1], after, 0)
+            c.add([w[here] for w in window], after)
             if c.size > HELD:
                 c.merge()
             if c.size > HELD or len(c.vocabulary.at) > KNOWN:
@@ -263,27 +316,21 @@ def stripes(texts: DataFrame, lengths: tuple[int, ...], words, pairs, hot: dict[
             yield from c.stripes(hot)
 
     def merge(batches):
-        """Adds up stripes of equal key, which come next to each other."""
-        at, total, rest, rows, size = None, {}, 0, [], 0
+        waiting, size = [], 0
         for batch in batches:
-            lang, prefix, slot, words, counts, rests = (c.to_pylist() for c in batch.columns)
-            for i in range(batch.num_rows):
-                key = (lang[i], prefix[i], slot[i])
-                if key != at:
-                    if at is not None:
-                        rows.append((*at, list(total.keys()), list(total.values()), rest))
-                        size += len(total) + 1
-                        if size > 100_000:
-                            yield _batch(rows)
-                            rows, size = [], 0
-                    at, total, rest = key, {}, 0
-                rest += rests[i]
-                for w, n in zip(words[i], counts[i]):
-                    total[w] = total.get(w, 0) + n
-        if at is not None:
-            rows.append((*at, list(total.keys()), list(total.values()), rest))
-        if rows:
-            yield _batch(rows)
+            if not batch.num_rows:
+                continue
+            waiting.append(batch)
+            size += len(batch.column(3).flatten()) + batch.num_rows
+            if size > MERGED:
+                done = _merged(pa.Table.from_batches(waiting))
+                if done.num_rows > 1:
+                    yield done.slice(0, done.num_rows - 1)
+                # the last stripe may go on
+                waiting = [done.slice(done.num_rows - 1)]
+                size = len(waiting[0].column(3).flatten())
+        if waiting:
+            yield _merged(pa.Table.from_batches(waiting))
 
     key = ["lang", "prefix", "slot"]
     return texts.mapInArrow(build, STRIPES).repartition(*key).sortWithinPartitions(*key).mapInArrow(merge, STRIPES)
@@ -328,21 +375,19 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     ones = table(words.filter(F.col("f") >= least).select("lang", F.col("word").alias("phrase"), "f"))
     all_words = words.agg(F.sum("f")).first()[0] or 0
 
-    first = context.broadcast(frequent_filter(ones))
-    singles = table(stripes(texts, (1,), first, None, _hot(ones, all_words)))
+    # phrases grow by a word in each turn; the stripes of a length are built from what was frequent in the one before
     join = F.concat(F.col("prefix"), F.encode(F.lit(" "), "UTF-8"), F.col("word"))
-    pairs = table(extensions(singles, least).withColumn("phrase", join))
-    second = context.broadcast(frequent_filter(pairs))
-    hot = _hot(pairs.withColumnRenamed("a", "f"), all_words)
-    longer = table(stripes(texts, (2, 3), first, second, hot))
-    more = table(extensions(longer, least).withColumn("phrase", join))
-
-    # every part of a candidate is a word or the prefix or extension of some stripe
-    known = table(
-        totals(singles).unionByName(pairs.select("lang", "phrase", F.col("a").alias("f")))
-        .unionByName(more.select("lang", "phrase", F.col("a").alias("f"))).filter(F.col("f") >= least)
-    )
-    candidates = table(pairs.unionByName(more).select("lang", F.decode("phrase", "UTF-8").alias("phrase"), "a"))
+    frequent_words = context.broadcast(frequent_filter(ones))
+    found, known, last = None, ones, ones
+    for size in range(1, WORDS):
+        frequent = frequent_words if size == 1 else context.broadcast(frequent_filter(last))
+        of_size = table(stripes(texts, size, frequent_words, frequent, _hot(last, all_words)))
+        last = table(extensions(of_size, least).withColumn("phrase", join).withColumnRenamed("a", "f"))
+        found = last if found is None else found.unionByName(last)
+        known = totals(of_size).filter(F.col("f") >= least) if size == 1 else known
+    # every part of a candidate is a word or an extension of some stripe
+    known = table(known.unionByName(found.select("lang", "phrase", "f")))
+    candidates = table(found.select("lang", F.decode("phrase", "UTF-8").alias("phrase"), F.col("f").alias("a")))
     known = known.select("lang", F.decode("phrase", "UTF-8").alias("part"), "f")
 
     w = F.split("phrase", " ", -1)

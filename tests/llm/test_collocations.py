@@ -60,6 +60,7 @@ def test_against_brute_force(spark):
 def test_hot_prefixes_small_memory_and_a_full_filter(spark, monkeypatch):
     monkeypatch.setattr(col, "HOT", 20)
     monkeypatch.setattr(col, "HELD", 5)
+    monkeypatch.setattr(col, "MERGED", 7)
     monkeypatch.setattr(col, "FILTER_BITS", 64)
     rows = corpus(2, 9, 40, 60)
     assert mined(spark, rows, 3, 100) == brute(rows, 3, 100)
