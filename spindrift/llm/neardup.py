@@ -27,6 +27,7 @@ BANDS, ROWS = 32, 5  # a pair at 0.8 is missed with probability (1 - 0.8^5)^32,
 AGREE = 0.66  # share of agreeing registers below which a pair isn't verified: over 4 standard deviations under 0.8
 STARS = 4  # rounds at most in which a bucket's texts are compared with one of them
 FEW = 20  # comparisons a text in a bucket from which all the rest are made at once
+TILE = 512  # texts of a bucket that are held against as many others at once
 WORDS_AT_ONCE = 200_000
 CACHED_WORDS = 300_000
 CACHED_SETS = 1_000
@@ -204,13 +205,63 @@ def _similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, f"a {kind}, b {kind}, similarity double")
 
 
+def _plausible(rest: DataFrame, sketch: DataFrame, step: float) -> DataFrame:
+    """Pairs (a, b) of different classes in ``rest(bucket, doc_id, comp, _d)`` that may be links.
+
+    Buckets are cut into tiles of neighbouring distances ``_d`` to the first centre, and tiles are held against
+    each other. A pair counts in the first bucket that it shares, if its distances differ by ``step`` at most
+    and so many registers agree that it may be similar enough; only such pairs become rows.
+    """
+    binned = rest.withColumn("_bin", F.floor(F.col("_d") / F.lit(step)))
+    sizes = binned.groupBy("bucket", "_bin").agg(F.ceil(F.count(F.lit(1)) / F.lit(TILE)).alias("_tiles"))
+    placed = binned.join(sizes, ["bucket", "_bin"]).withColumn("_tile", F.pmod(F.xxhash64("doc_id"), F.col("_tiles")))
+    member = F.struct("doc_id", "comp", "_d", "marks", "bands")
+    tiles = table(
+        placed.join(sketch, "doc_id").groupBy("bucket", "_bin", "_tile").agg(F.array_sort(F.collect_list(member)).alias("m"))
+    )
+    key = F.struct(F.col("_bin"), F.col("_tile"))
+    at = tiles.select("bucket", key.alias("ka"), F.explode(F.array(F.col("_bin"), F.col("_bin") + 1)).alias("_next"))
+    pairs = at.join(tiles.select("bucket", F.col("_bin").alias("_next"), key.alias("kb")), ["bucket", "_next"]).filter("ka <= kb").select("bucket", "ka", "kb")
+    both = pairs.join(tiles.select("bucket", key.alias("ka"), F.col("m").alias("a")), ["bucket", "ka"]).join(
+        tiles.select("bucket", key.alias("kb"), F.col("m").alias("b")), ["bucket", "kb"]
+    )
+
+    def parts(m):
+        f = {name: m.field(name) for name in ("doc_id", "comp", "_d", "marks", "bands")}
+        marks = np.frombuffer(b"".join(f["marks"].to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+        bands = f["bands"].flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
+        return f["doc_id"], np.array(f["comp"].to_pylist()), f["_d"].to_numpy(zero_copy_only=False), marks, bands
+
+    def run(batches):
+        for batch in batches:
+            for bucket, one, two in zip(batch.column("bucket").to_pylist(), batch.column("a"), batch.column("b")):
+                ids_a, comp_a, d_a, marks_a, bands_a = parts(one.values)
+                ids_b, comp_b, d_b, marks_b, bands_b = parts(two.values)
+                ok = (comp_a[:, None] != comp_b[None, :]) & (np.abs(d_a[:, None] - d_b[None, :]) <= step)
+                # pairs of the buckets before this one have been counted there
+                for j in range(int(np.flatnonzero(bands_a[0] == bucket)[0])):
+                    ok &= bands_a[:, j, None] != bands_b[None, :, j]
+                i, j = np.nonzero(ok)
+                agree = np.zeros(len(i), bool)
+                for lo in range(0, len(i), 1 << 15):
+                    cut = slice(lo, lo + (1 << 15))
+                    agree[cut] = (marks_a[i[cut]] == marks_b[j[cut]]).sum(axis=1) >= AGREE * BANDS * ROWS
+                i, j = i[agree], j[agree]
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([ids_a.take(pa.array(i)), ids_b.take(pa.array(j))], names=["x", "y"])
+
+    kind = rest.schema["doc_id"].dataType.simpleString()
+    found = both.select("bucket", "a", "b").mapInArrow(run, f"x {kind}, y {kind}")
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
     """doc_id, content_id, class_id of each different id: its class of near duplicates, named by the smallest id.
 
     ``content_id`` is the smallest id with the same shingles; such copies are never compared. The
     others meet in buckets of equal bands. There all are first compared with the one that meets
     most others, in later rounds with one drawn anew, until few comparisons between classes
-    are left. Those are then all made, but for two kinds that can't be links: the
+    are left. Those are then all made, tile against tile, but for two kinds that can't be links: the
     distance 1 - similarity obeys the triangle inequality, so texts whose distances to the first
     centre differ by more than 1 - ``least`` are apart; and so are those of which far
     too few registers agree. Texts with a probability Jaccard of ``least`` or more on shingles
@@ -231,7 +282,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     members = table(one.join(shared.select("bucket"), "bucket"))
     texts = table(rows.join(members.select("doc_id").distinct(), "doc_id", "left_semi"))
 
-    marks = table(sketch.join(texts.select("doc_id"), "doc_id", "left_semi").select("doc_id", "marks").dropDuplicates(["doc_id"]))
+    marks = table(sketch.join(texts.select("doc_id"), "doc_id", "left_semi").select("doc_id", "marks", "bands").dropDuplicates(["doc_id"]))
     links, labels, far = None, table(members.select("doc_id").distinct().withColumn("comp", F.col("doc_id"))), None
     pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
     for turn in range(STARS + 1):
@@ -248,16 +299,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         rest = classed.join(open_.select("bucket", "_all"), "bucket")
         last = turn > 0 and (turn == STARS or left["p"] <= FEW * left["m"])
         if last:
-            step = 1.0 - least + 1e-9
-            bin_ = F.floor(F.col("_d") / step)
-            one_side = rest.join(far, ["bucket", "doc_id"]).select("bucket", "comp", "doc_id", "_d", bin_.alias("_bin"))
-            other = one_side.select("bucket", F.col("_bin").alias("_at"), F.col("doc_id").alias("b"), F.col("comp").alias("_cb"), F.col("_d").alias("_db"))
-            bins = F.explode(F.array(F.col("_bin") - 1, F.col("_bin"), F.col("_bin") + 1)).alias("_at")
-            pairs = (
-                one_side.select("bucket", "comp", F.col("doc_id").alias("a"), "_d", bins).join(other, ["bucket", "_at"])
-                .filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("_cb")) & (F.abs(F.col("_d") - F.col("_db")) <= step))
-                .select("a", "b")
-            )
+            pairs = _plausible(rest.join(far, ["bucket", "doc_id"]).select("bucket", "doc_id", "comp", "_d"), marks, 1.0 - least + 1e-9)
         else:
             order = hash_order(F.col("doc_id"), turn)
             if turn == 0:
@@ -268,7 +310,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             beside = rest.join(centre, "bucket")
             pairs = beside.filter("comp <> _cc").select(*pair("doc_id", "c"))
         pairs = table(pairs.distinct())
-        found = table(_similarities(_agreeing(pairs, marks) if turn else pairs, texts))
+        found = table(_similarities(_agreeing(pairs, marks) if turn and not last else pairs, texts))
         if turn == 0:
             known = found.select("a", "b", (1 - F.col("similarity")).alias("_d"))
             far = table(
