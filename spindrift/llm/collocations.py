@@ -3,8 +3,8 @@
 Stripes (Lin and Dyer, "Data-Intensive Text Processing with MapReduce", 2010): a prefix of words keys a
 counter of the words that follow it. Tasks build stripes of the texts they read, stripes of equal
 prefix are added elementwise, and one stripe then answers three questions: how often each extension
-of the prefix occurs, how often the prefix itself does (the sum of its counters, ``rest`` included),
-and which extension subsumes it (the largest counter).
+of the prefix occurs, how often the prefix itself does (the sum of its counters, ``rest`` included, or
+its own counter in the stripe one word shorter), and which extension subsumes it (the largest counter).
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ WORDS = 4            # words of a phrase at most
 SUBSUMED = 80        # per cent of a phrase's occurrences inside one longer phrase
 TOP = 2_000          # phrases of a language
 FILTER_BITS = 1 << 26  # of the filter of frequent parts: 8 MiB whatever the table
-CHUNK_BYTES = 4 << 20  # of text that are counted at once
+CHUNK_BYTES = 2 << 20  # of text that are counted at once
 HELD = 1_500_000     # counters a task holds before it hands its stripes on
 MERGED = 1_000_000   # counters that are added up at once
 KNOWN = 500_000      # words a task remembers
@@ -284,8 +284,9 @@ def stripes(texts: DataFrame, words: int, frequent_words, frequent, hot: dict[tu
     """Merged stripes of the prefixes of so many words that can lead to a candidate.
 
     ``frequent_words`` and ``frequent`` (broadcast bits of filters) tell which words are frequent, and which phrases
-    of as many words as the prefix. Whatever follows a prefix and can't be part of a candidate, the end of a piece
-    included, counts as ``rest``. The stripe of a prefix in ``hot`` is cut into so many slots by a hash of the
+    of as many words as the prefix. Whatever follows a single word and can't be part of a candidate, the end of a piece
+    included, counts as ``rest``; the total of a longer prefix is a counter of the stripes one word shorter, so
+    there it is left out. The stripe of a prefix in ``hot`` is cut into so many slots by a hash of the
     following word.
     """
     def build(batches):
@@ -302,11 +303,11 @@ def stripes(texts: DataFrame, words: int, frequent_words, frequent, hot: dict[tu
                 hashes = np.array(c.vocabulary.hashes, np.uint64)
                 here = np.flatnonzero(ok)
                 ok[here] = _passes(frequent.value, [hashes[w[here]] for w in window])
-            here = np.flatnonzero(ok)
-            after = x[here + words]
             if words > 1:
                 # the phrase that starts one word later, too, must be frequent
-                after = np.where(np.r_[ok, False][here + 1], after, 0)
+                ok &= np.r_[ok[1:], False]
+            here = np.flatnonzero(ok)
+            after = x[here + words]
             c.add([w[here] for w in window], after)
             if c.size > HELD:
                 c.merge()
