@@ -30,12 +30,12 @@ _ATTRIBUTE = re.compile(r"([\w:-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 _NUMBER = re.compile(r"\d+")
 
 # fixed values: HTML elements by what they mean here
-RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "canvas"}
-SKIPPED = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "head"}
+RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "object", "canvas"}
+SKIPPED = {"nav", "footer", "aside", "button", "select", "dialog", "menu", "head"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 CONTAINERS = {"body", "main", "article", "section", "div", "td", "blockquote", "center"}
 BLOCKS = CONTAINERS | SKIPPED | {
-    "html", "header", "p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "pre", "table", "thead",
+    "form", "html", "header", "p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "pre", "table", "thead",
     "tbody", "tfoot", "tr", "th", "caption", "figure", "figcaption", "fieldset", "legend", "address", "details", "summary",
     "hgroup", "option",
 }
@@ -55,16 +55,66 @@ OTHER = {
     "overlay", "widget", "widgets", "pagination", "pager", "toolbar", "search", "form",
 }
 HEADERS = {"header", "masthead", "topbar"}  # no main text unless inside an article
+REMARKS = {"comment", "comments", "commentlist", "disqus", "reply", "replies", "respond"}
+# words beside which the others say nothing: no-sidebar, form-free, alert-level
+DENIED = {"no", "not", "non", "without", "with", "has", "is", "free", "level", "less"}
+LONGEST_NAME = 2  # words of a class that names what the element is; search-results-page is more than a search
+RESCUE = 0.2  # a doubtful element stays if all the rest holds less than this share of its text
 _WORDS = re.compile(r"[a-z]+")
 
 
+def named(value: str) -> set[str]:
+    """Words of the names in a class, id or role that can tell what an element is."""
+    found: set[str] = set()
+    for name in value.split():
+        words = _WORDS.findall(name)
+        if len(words) <= LONGEST_NAME and not DENIED.intersection(words):
+            found.update(words)
+    return found
+
+
 class _Page:
     """Text blocks of a page with the element that holds each."""
 
     def __init__(self, html: str):
         self.parents, self.paths, self.tags = [-1], [""], [""]
+        self.doubts = [""]  # why an element may be no main text: "" no doubt, "other" or "remark"
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters inside links
         self._read(html)
+        self._settle()
+
+    def _settle(self) -> None:
+        """Drop the blocks of doubtful elements, but for those that hold the article or nearly all the text.
+
+        An element around an article or main that is not doubtful itself is kept. If what is kept is little
+        beside the largest doubtful element, that one stays, and what is doubtful inside it is
+        looked at in turn. Remarks of readers stay only if there is nothing else.
+        """
+        n = len(self.parents)
+        if not any(self.doubts):
+            return
+        size, holds = [0] * n, [False] * n
+        for element, text, links in self.blocks:
+            size[element] += len(text) - links
+        for i in range(n - 1, 0, -1):
+            up = self.parents[i]
+            size[up] += size[i]
+            holds[up] |= holds[i] or self.tags[i] in ("article", "main") and not self.doubts[i]
+        kept = [d != "other" or h for d, h in zip(self.doubts, holds)]
+        kept = [k and d != "remark" for k, d in zip(kept, self.doubts)]
+        while True:
+            gone, outer = [False] * n, []
+            for i in range(1, n):
+                above = gone[self.parents[i]]
+                gone[i] = above or not kept[i]
+                if gone[i] and not above and size[i]:
+                    outer.append(i)
+            left = sum(len(text) - links for element, text, links in self.blocks if not gone[element])
+            best = min((e for e in outer if self.doubts[e] == "other" or not left), key=lambda e: (-size[e], e), default=None)
+            if best is None or left >= RESCUE * size[best]:
+                break
+            kept[best] = True
+        self.blocks = [b for b in self.blocks if not gone[b[0]]]
 
     def _read(self, html: str) -> None:
         # open elements: tag, element, whether its text is skipped, whether it is inside an article
@@ -129,9 +179,9 @@ class _Page:
                     if tag in BLOCKS:
                         flush()
                 continue
-            classes, skip = self._attributes(tag, m[3], stack[-1][3])
+            classes, doubt, skip = self._attributes(tag, m[3], stack[-1][3])
             if tag not in BLOCKS and not skip:
-                continue  # inline
+                continue  # inline, whatever its class
             self._imply(tag, stack, close)
             flush()
             inside = stack[-1][3] or tag in ("article", "main")
@@ -140,26 +190,35 @@ class _Page:
                 skip = False
             step = ".".join([tag, *classes])
             path = "/".join([*self.paths[stack[-1][1]].split("/")[-PATH_STEPS + 1 :], step])
-            self.parents.append(stack[-1][1]), self.paths.append(path), self.tags.append(tag)
+            self.parents.append(stack[-1][1]), self.paths.append(path), self.tags.append(tag), self.doubts.append(doubt)
             if not m[3].rstrip().endswith("/") or tag in BLOCKS:
                 stack.append((tag, len(self.tags) - 1, skip, inside))
         flush()
 
     @staticmethod
-    def _attributes(tag: str, text: str, inside: bool) -> tuple[list[str], bool]:
-        """Generalised classes, and whether the attributes tell something other than main text."""
-        classes, words, hidden = [], set(), False
+    def _attributes(tag: str, text: str, inside: bool) -> tuple[list[str], str, bool]:
+        """Generalised classes, a doubt (see ``doubts``), and whether the element is hidden."""
+        classes, words, whole, hidden = [], set(), set(), False
         if text.strip(" /"):
             for name, *values in _ATTRIBUTE.findall(text):
                 name, value = name.lower(), "".join(values).lower()
                 if name == "class":
                     classes = sorted({_NUMBER.sub("#", c) for c in value.split()})[:4]
                 if name in ("class", "id", "role"):
-                    words.update(_WORDS.findall(value))
+                    words |= named(value)
+                    whole.update(value.split())
                 hidden |= name == "hidden" or name == "style" and "display:none" in value.replace(" ", "")
-        if tag in ("html", "body", "article", "main", "h1"):
-            words &= {"comment", "comments", "related"} if tag == "article" else set()
-        return classes, hidden or bool(words & OTHER) or bool(words & HEADERS) and not inside
+        if tag == "form":
+            return classes, "other", hidden
+        if tag in ("html", "body", "main", "h1"):
+            words = set()
+        elif tag == "article":
+            words &= REMARKS | {"related"}
+        elif tag == "p":
+            words &= whole  # a paragraph must be called so outright
+        if words & REMARKS:
+            return classes, "remark", hidden
+        return classes, "other" if words & OTHER or words & HEADERS and not inside else "", hidden
 
     @staticmethod
     def _imply(tag: str, stack: list, close) -> None:
@@ -280,7 +339,8 @@ def extract_pages(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     Blocks are joined by an empty line; within one, references are decoded and white space is one space.
     Menus, headers outside articles, footers, asides, forms, adverts, notices, comments, scripts,
-    styles and hidden parts are left out. The containers around the path go with it up to
+    styles and hidden parts are left out. What only a class, id or role (or a form) tells so is kept if
+    it holds the article, or if nearly nothing else is left of the page. The containers around the path go with it up to
     the body, as far as they don't add link text. A page where that holds too little is
     extracted from its own best container and those around. Null and empty pages, and those without text, give
     ''. Pages without a host share the host ''. Repeated rows are extracted each.

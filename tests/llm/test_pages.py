@@ -81,3 +81,31 @@ def test_sections_of_an_article_stay_together():
 def test_a_path_of_a_smaller_part_does_not_replace_the_page():
     page = f"<body><div class=text><p>{'few words ' * 40}</p></div><div class=other><p>{LONG}</p></div></body>"
     assert pages._Page(page).text("body/div.text") == LONG.strip()
+
+
+@pytest.mark.parametrize("before, after", [
+    ("<div class='content no-sidebar'>", "</div>"), ("<form id=aspnetForm>", "</form>"), ("<div id=search-results-page>", "</div>"),
+    ("<div class=widget-area>", "</div>"), ("<div class=sidebar-right><div id=modal>", "</div></div>"),
+])
+def test_no_class_word_empties_a_page(before, after):
+    inner = f"<h1>Title</h1><p>{LONG}<p class='alert-level'>An alert inside<div class='form-free body'>Free of forms</div>"
+    side = "<div class=sidebar>x side</div><div class=comments><p>a remark</div>"
+    want = f"Title\n\n{LONG.strip()}\n\nAn alert inside\n\nFree of forms"
+    for body in (f"{before}{inner}{side}{after}", f"{before}<article>{inner}</article>{after}{side}"):
+        assert pages._Page(f"<body><nav>n</nav>{body}<footer>f</footer></body>").text(None) == want
+
+
+def test_inline_elements_stay():
+    source = f"<article><p>The <math><mi>Area</mi></math> is <span class=menu>here</span> and {LONG}</p></article>"
+    assert pages._Page(source).text(None) == f"The Area is here and {LONG.strip()}"
+
+
+def test_long_remarks_do_not_replace_a_short_article():
+    source = f"<body><div class=post><p>Short text of a page</div><div id=comments><p>{LONG}</div></body>"
+    assert pages._Page(source).text(None) == "Short text of a page"
+    assert pages._Page(f"<body><div id=comments><p>{LONG}</div></body>").text(None) == LONG.strip()
+
+
+def test_ties_of_containers():
+    page = "<body><div class=a><p>equal text</div><div class=b><p>equal text</div></body>"
+    assert pages._Page(page).text("body/div.b") == pages._Page(page).text("body/div.b") == "equal text"
