@@ -8,9 +8,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DIRECT_ROWS = 1_000_000
+SKETCH = 4_000  # size of an approximate sketch; its ranks are off by about 0.1 %
 ACCURACY = 50_000
 
 
+def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float], counts: dict | None = None, size: int = SKETCH) -> dict[str, list[float | None]]:
+    """Values of about the wanted ranks, null values skipped, from one scan whatever the number of columns.
+
+    Each column is a KLL sketch of bounded size that tasks build and Spark merges. Nothing is
+    interpolated, so a result is always a value of the column; None for a column of nulls.
+    """
+    if not cols:
+        return {}
+    sketches = df.agg(
+        *[F.kll_sketch_agg_double(F.col(c), F.lit(size)).alias(f"s{i}") for i, c in enumerate(cols)],
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+    )
+    values = [
+        F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", F.lit(float(p)))).alias(f"q{i}_{j}")
+        for i in range(len(cols)) for j, p in enumerate(probs)
+    ]
+    row = sketches.select(*values).first()
+    return {c: [row[f"q{i}_{j}"] for j in range(len(probs))] for i, c in enumerate(cols)}
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: list[str],

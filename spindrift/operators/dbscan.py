@@ -31,6 +31,7 @@ from .result import LABEL, NOISE, ClusterResult
 
 GRID_DIMS = 3          # columns per level of the neighbour search
 GRID_LEVELS = 3
+PIVOTS = 6             # coordinates that are distances, if there are more columns than the levels hold
 SLOT_ROWS = 10_000     # rows of one cell that may meet in one task's group
 PAIR_ROWS = 4_096      # row pairs of two cells compared directly
 FEW_LOOKS = 10_000_000  # row pairs not worth a components run to save
@@ -111,11 +112,37 @@ def dbscan(
     if spec.sparse:
         labels = _with_blocks(features, spec, float(eps), min_samples, metric)
     else:
-        labels = dbscan_labels(features, id_col, spec.f_cols, eps, min_samples, metric)
+        features, f_cols = _folded(features, spec, float(eps), metric)
+        labels = dbscan_labels(features, id_col, f_cols, eps, min_samples, metric)
     params = {"eps": eps, "min_samples": min_samples, "metric": metric}
     return ClusterResult("DBSCAN", params, spec, df, label_table=cut(labels))
 
 
+def _folded(features: DataFrame, spec: FeatureSpec, eps: float, metric: str) -> tuple[DataFrame, list[str]]:
+    """Features in which a category is one column instead of one-hot ones, where that leaves the same neighbours.
+
+    Rows of different categories differ by at least the least step of the block's columns. If
+    that is beyond ``eps``, so is the column that takes their place, and rows of one category differ by 0 in both.
+    """
+    if metric == "cosine" or spec.encoder != "ohe" or spec.stages is not None:
+        return features, spec.f_cols
+    at, folded = len(spec.numeric) + sum(spec.vectors.values()), []
+    kept = spec.f_cols[:at]
+    for c in spec.categorical:
+        cols = spec.f_cols[at:at + len(spec.categories[c])]
+        centre, width = (spec.centre[at:], spec.width[at:]) if spec.scaler != "none" else ([0.0] * len(cols), [1.0] * len(cols))
+        at += len(cols)
+        if len(cols) > 2 and min(1 / w for w in width[:len(cols)]) > eps:
+            own = " ".join(f"WHEN {f} > {num((0.5 - m) / w)} THEN {k}" for k, (f, m, w) in enumerate(zip(cols, centre, width)))
+            folded.append(F.expr(f"CASE {own} ELSE -1 END * {num(4 * eps)}"))
+        else:
+            kept += cols
+    if not folded:
+        return features, spec.f_cols
+    names = [f"g_{i}" for i in range(len(kept) + len(folded))]
+    return features.select(spec.id_col, *[x.alias(g) for x, g in zip([*map(F.col, kept), *folded], names)]), names
+
+
 def _with_blocks(features: DataFrame, spec: FeatureSpec, eps: float, min_samples: int, metric: str) -> DataFrame:
     """Labels of rows with sparse one-hot blocks.
 
@@ -242,19 +269,43 @@ def _cell(plane: _Plane, side: float):
     return F.expr("concat_ws(',', " + ", ".join(f"CAST(floor({c} / {num(side)}) AS STRING)" for c in plane.cols) + ")")
 
 
+def _pivots(cells: DataFrame, plane: _Plane) -> list[list[float]]:
+    """A few points far from each other, picked one by one among the middles of the cells."""
+    mids = cells.selectExpr(*[f"(lo_{i} + hi_{i}) / 2 AS x_{i}" for i in range(plane.dims)])
+    first = mids.agg(*[F.avg(c).alias(c) for c in plane.cols]).first()
+    chosen, start = [], [first[c] for c in plane.cols]
+    for _ in range(PIVOTS):
+        gaps = [distance(plane.cols, [num(v) for v in p], plane.metric) for p in chosen or [start]]
+        away = F.least(*gaps) if len(gaps) > 1 else gaps[0]
+        far = mids.agg(F.max(F.struct(away.alias("_d"), *plane.cols)).alias("m")).first()["m"]
+        if far is None or (chosen and far["_d"] == 0):
+            break
+        chosen.append([far[c] for c in plane.cols])
+    return chosen
+
+
 def _near_cells(cells: DataFrame, plane: _Plane, spans: list[int]) -> DataFrame:
     """Cell pairs ``a, b, b_n, whole`` with boxes at most eps apart, each way.
 
     Cells meet through a coarser grid whose squares are at least eps wide, on
-    three columns at a time: pairs of neighbouring squares are found first and
-    refined by the next columns, so no square is ever compared with all.
+    three coordinates at a time: pairs of neighbouring squares are found first and
+    refined by the next ones, so no square is ever compared with all. The coordinates are the
+    widest columns. If there are more columns than the levels hold, most of the coordinates are the boxes' least distances to
+    pivots instead: they take part of every column, and by the triangle inequality
+    those of cells with rows within eps differ by at most eps and the diameter of a cell, which is eps.
     """
-    dims = sorted(range(plane.dims), key=lambda i: -spans[i])[: GRID_DIMS * GRID_LEVELS]
+    order, pivots = sorted(range(plane.dims), key=lambda i: -spans[i]), []
+    if plane.dims > GRID_DIMS * GRID_LEVELS:
+        pivots = _pivots(cells, plane)
+    dims = order[: GRID_DIMS * GRID_LEVELS - len(pivots)] + [f"p{j}" for j in range(len(pivots))]
     levels = [dims[i:i + GRID_DIMS] for i in range(0, len(dims), GRID_DIMS)]
     near = plane.gap() <= plane.eps
 
     def square(i):
-        return F.floor(F.col(f"k_{i}") / F.lit(plane.steps)).cast("long")
+        if isinstance(i, int):
+            return F.floor(F.col(f"k_{i}") / F.lit(plane.steps)).cast("long")
+        at = [num(v) for v in pivots[int(i[1:])]]
+        return F.floor(box_gap(at, at, *plane.corners(""), plane.metric) / F.lit(2 * plane.eps * (1 + 1e-9))).cast("long")
 
     leaf = cells.select("cell", "n", *plane.box_names, *[square(i).alias(f"q_{i}") for i in dims])
     pairs = None

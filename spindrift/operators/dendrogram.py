@@ -10,6 +10,9 @@ from ..plans.numbering import number_rows
 from ..plans.skew import attach
 
 
+FRONTIER_LEVELS = 15  # levels that are looked up one by one
+
+
 def dendrogram(
     merges: DataFrame,
     truncate_mode: str | None = None,
@@ -20,7 +23,7 @@ def dendrogram(
 
     ``order`` numbers the drawn leaves from left to right. ``"lastp"`` draws
     the last p - 1 merges, ``"level"`` merges at most p steps below the root;
-    what lies below is drawn as one leaf. With ``distance_sort`` the lower
+    what lies below is drawn as one leaf, and only the drawn merges are laid out. With ``distance_sort`` the lower
     child goes left ("ascending" or True) or right ("descending").
     """
     if truncate_mode not in (None, "none", "lastp", "level"):
@@ -32,7 +35,12 @@ def dendrogram(
     merges = cut(merges)
     n = merges.count() + 1
     root = 2 * n - 2
-    placed = _placed(merges, n, root, distance_sort)
+    top = merges
+    if truncate_mode == "lastp":
+        top = cut(merges.filter(F.col("merge_id") >= n - min(p, n)))
+    elif truncate_mode == "level" and p <= FRONTIER_LEVELS:
+        top = _frontier(merges, n, p)
+    placed = _placed(top, merges, n, root, distance_sort)
     inner = F.col("node") >= n
     if truncate_mode == "lastp":
         drawn = inner & (F.col("node") >= 2 * n - min(p, n))
@@ -51,9 +59,28 @@ def dendrogram(
     return kept.drop("start").join(leaves.select("node", "order"), "node", "left")
 
 
-def _placed(merges: DataFrame, n: int, root: int, distance_sort) -> DataFrame:
-    """Every node with parent, height, size, depth and first leaf position."""
-    own = merges.select((F.col("merge_id") + n).alias("node"), F.col("distance").alias("height"), "size")
+def _frontier(merges: DataFrame, n: int, p: int) -> DataFrame:
+    """The merges at most ``p`` steps below the last one, level by level: no more than 2^(p + 1)."""
+    found = level = cut(merges.filter(F.col("merge_id") == n - 2))
+    for _ in range(p):
+        below = level.select(F.explode(F.array("left_id", "right_id")).alias("_node")).filter(F.col("_node") >= n)
+        # a level has at most twice as many nodes as the one above, whatever the table
+        level = cut(merges.join(F.broadcast(below.select((F.col("_node") - n).alias("merge_id"))), "merge_id"))
+        if level.isEmpty():
+            break
+        found = found.unionByName(level)
+    return cut(found)
+
+
+def _placed(merges: DataFrame, whole: DataFrame, n: int, root: int, distance_sort) -> DataFrame:
+    """Every node of ``merges`` and every child of theirs, with parent, height, size, depth and first leaf position.
+
+    ``merges`` are the topmost ones of ``whole``, or all.
+    """
+    own = whole.select((F.col("merge_id") + n).alias("node"), F.col("distance").alias("height"), "size")
+    if merges is not whole:
+        ids = merges.select(F.explode(F.array(F.col("merge_id") + n, "left_id", "right_id")).alias("node")).distinct()
+        own = cut(own.join(ids, "node", "left_semi"))
     child_facts = own.select("node", F.col("height").alias("h"), F.col("size").alias("s"))
 
     def side(c):

@@ -157,8 +157,25 @@ def _wanted_labels(packed: DataFrame, stats: DataFrame, dims: int, k: int) -> Da
     return found.join(caps, [LABEL, "slot"]).filter(F.col("low") * (1 - 1e-9) <= F.col("_cap")).select(LABEL, "slot", "to")
 
 
-def silhouette_score(rows: DataFrame, id_col: str, f_cols: list[str], stats=None) -> DataFrame:
-    return silhouette_samples(rows, id_col, f_cols, stats).agg(F.avg("s").alias("silhouette_score"))
+def hash_sample(rows: DataFrame, id_col: str, size: int, random_state: int = 0) -> DataFrame:
+    """The ``size`` rows whose id has the smallest md5 with the seed: tasks keep so many each, and the best of those remain."""
+    if not isinstance(size, int) or size < 2:
+        raise ValueError("sample_size must be a whole number of at least 2")
+    draw = F.md5(F.concat_ws(":", F.lit(str(random_state)), F.col(id_col).cast("string")))
+    return rows.orderBy(draw, id_col).limit(size)
+
+
+def silhouette_score(
+    rows: DataFrame, id_col: str, f_cols: list[str], stats=None, sample_size: int | None = None, random_state: int = 0
+) -> DataFrame:
+    """Mean silhouette; with ``sample_size`` that of a sample among itself, null if it holds less than two labels or no two rows of one."""
+    if sample_size is None:
+        return silhouette_samples(rows, id_col, f_cols, stats).agg(F.avg("s").alias("silhouette_score"))
+    drawn = cut(hash_sample(rows, id_col, sample_size, random_state))
+    seen = drawn.agg(F.count_distinct(LABEL).alias("k"), F.count(F.lit(1)).alias("n")).first()
+    if not 2 <= seen["k"] < seen["n"]:
+        return rows.sparkSession.range(1).select(F.lit(None).cast("double").alias("silhouette_score"))
+    return silhouette_samples(drawn, id_col, f_cols).agg(F.avg("s").alias("silhouette_score"))
 
 
 def silhouette_sq(rows: DataFrame, f_cols: list[str]) -> float:
@@ -225,12 +242,15 @@ def davies_bouldin(rows: DataFrame, f_cols: list[str], stats: DataFrame) -> Data
 SILHOUETTES = ("exact", "squared", "none")
 
 
-def evaluate(result: ClusterResult, ignore_noise: bool = True, silhouette: str = "exact") -> DataFrame:
+def evaluate(
+    result: ClusterResult, ignore_noise: bool = True, silhouette: str = "exact", sample_size: int | None = None, random_state: int = 0
+) -> DataFrame:
     """One row with counts and scores.
 
     ``silhouette="exact"`` compares every row with every row that can matter; it
     is null for features with sparse blocks. ``"none"`` leaves the score null and ``"squared"`` reports the linear-cost
-    measure in a column of its own, ``silhouette_sq``.
+    measure in a column of its own, ``silhouette_sq``. ``sample_size`` limits the exact
+    silhouette to so many rows, drawn by a hash of the id and ``random_state``.
     """
     if silhouette not in SILHOUETTES:
         raise ValueError(f"silhouette must be one of {SILHOUETTES}")
@@ -264,7 +284,7 @@ def evaluate(result: ClusterResult, ignore_noise: bool = True, silhouette: str =
         one = one.select("*", null.alias(names[0]), *[F.lit(v).cast("double").alias(c) for v, c in zip(found, names[1:])])
     elif n_scored >= 2 and k >= 2 and n_scored > k:
         if silhouette == "exact":
-            one = one.crossJoin(F.broadcast(silhouette_score(rows, id_col, f_cols, stats)))
+            one = one.crossJoin(F.broadcast(silhouette_score(rows, id_col, f_cols, stats, sample_size, random_state)))
         else:
             one = one.withColumn("silhouette_score", null)
         one = one.crossJoin(F.broadcast(calinski_harabasz(stats, len(f_cols))))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distance import num
-from ..functions.quantiles import exact_quantiles
+from ..functions.quantiles import approx_quantiles, exact_quantiles
 from ..plans.cut import cut
 from ..plans.numbering import number_rows
 from ..plans.skew import attach
@@ -312,10 +312,12 @@ def fit_features(
     cat_encoder: str = "ohe",
     extra_stages: list | None = None,
     narrow: int = NARROW,
+    approx: bool = False,
 ) -> FeatureSpec:
     """Learn how to turn ``cols`` of ``df`` into the processed matrix.
 
     A category column with more than ``narrow`` values is handled through a dictionary table.
+    With ``approx`` medians and quartiles come from sketches, in one scan each.
     """
     require_table(df)
     scaler, encoder = scaler_name(scaler), encoder_name(cat_encoder)
@@ -348,7 +350,8 @@ def fit_features(
     if at:
         row = flat.agg(*[F.expr(f"count({v}) AS {v}") for v in at]).first()
         counts = {v: row[v] for v in at}
-    medians_at = exact_quantiles(flat, at, [0.5], counts)
+    quantiles = approx_quantiles if approx else exact_quantiles
+    medians_at = quantiles(flat, at, [0.5], counts)
     medians, dropped = {}, []
     for i, c in enumerate(numeric):
         if counts[f"v{i}"]:
@@ -379,18 +382,18 @@ def fit_features(
         id_col, numeric, categorical, sizes, dropped, medians, vector_medians, modes,
         categories, encoder, scaler, out_names, n_original=len(names), wide=wide, dictionary=dictionary,
     )
-    centre, width = _scaler_values(df, base)
+    centre, width = _scaler_values(df, base, quantiles)
     spec = FeatureSpec(**{**base.__dict__, "centre": centre, "width": width})
     return _with_stages(df, spec, extra_stages) if extra_stages else spec
 
 
-def _scaler_values(df: DataFrame, spec: FeatureSpec) -> tuple[list[float], list[float]]:
+def _scaler_values(df: DataFrame, spec: FeatureSpec, quantiles=exact_quantiles) -> tuple[list[float], list[float]]:
     cols = spec.f_cols
     if spec.scaler == "none" or not cols:
         return [], []
     enc = spec.numbered(df).select(*[e.alias(c) for e, c in zip(spec.encoded(), cols)])
     if spec.scaler == "robust":
-        qs = exact_quantiles(enc, cols, [0.25, 0.5, 0.75])
+        qs = quantiles(enc, cols, [0.25, 0.5, 0.75])
         centre = [qs[c][1] for c in cols]
         width = [qs[c][2] - qs[c][0] for c in cols]
     elif spec.scaler == "standard":
@@ -428,10 +431,10 @@ def _with_stages(df: DataFrame, spec: FeatureSpec, stages: list) -> FeatureSpec:
 # Single steps, for use outside a full fit
 
 
-def impute_median(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Fill missing numbers with the exact median; all-missing columns go."""
+def impute_median(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
+    """Fill missing numbers with the exact median, or a sketch's; all-missing columns go."""
     flat = df.selectExpr(*[f"{number(c)} AS v{i}" for i, c in enumerate(cols)])
-    found = exact_quantiles(flat, [f"v{i}" for i in range(len(cols))], [0.5])
+    found = (approx_quantiles if approx else exact_quantiles)(flat, [f"v{i}" for i in range(len(cols))], [0.5])
     med = {c: found[f"v{i}"][0] for i, c in enumerate(cols)}
     return df.select(
         *[

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import random
-from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -12,13 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from ..functions.distance import distance_matrix
 from ..plans.cut import table
 from . import wide
 from .features import FeatureSpec, fit_features
 from .result import ClusterResult, nearest_centre
 
 MAX_ITER, TOL = 300, 1e-4
-PARALLEL_FITS = 4
 
 
 def _check_k(k: int) -> int:
@@ -66,14 +67,100 @@ def _fit_once(vecs: DataFrame, k: int, seed: int, mode: str):
 
 
 def best_fit(vecs: DataFrame, k: int, random_state: int, init: str, n_init):
-    """The cheapest of several seeded fits on the same cached vectors."""
+    """The cheapest of several seeded fits on the same cached vectors; several advance together, one is Spark's own."""
     mode = _mode(init)
     if random_state is None:
         random_state = random.randrange(2**31)
     seeds = [random_state + i for i in range(_starts(init, n_init))]
-    with ThreadPoolExecutor(min(PARALLEL_FITS, len(seeds))) as pool:
-        fits = list(pool.map(lambda s: _fit_once(vecs, k, s, mode), seeds))
-    return min(fits, key=lambda f: f[0])
+    if len(seeds) > 1:
+        dims = vecs.select(F.size(vector_to_array("features"))).first()[0]
+        cols = [f"f_{i}" for i in range(dims)]
+        return min(shared_fits(from_vectors(vecs, cols), cols, [k], seeds, init).values(), key=lambda f: f[0])
+    return _fit_once(vecs, k, seeds[0], mode)
+
+
+PARTIAL = "fit int, c int, n long, d2 double"
+
+
+def _sums(features: DataFrame, f_cols: list[str], fits: dict[int, np.ndarray]) -> list:
+    """``fit, c, n, d2, s_0 ...`` of the rows nearest to each centre of each fit: one scan for all fits.
+
+    A task sums up its rows itself, so what is shuffled is a few rows a task and fit.
+    """
+    dims = len(f_cols)
+    names = [c.split()[0] for c in PARTIAL.split(", ")] + [f"s_{i}" for i in range(dims)]
+
+    def run(batches):
+        totals: dict = {}
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(dims)])
+            for fit, centres in fits.items():
+                for lo in range(0, len(x), 4_096):
+                    part = x[lo:lo + 4_096]
+                    d = distance_matrix(part, centres, "squared")
+                    c = d.argmin(axis=1)
+                    held = totals.setdefault(fit, np.zeros((len(centres), dims + 2)))
+                    held[:, 0] += np.bincount(c, minlength=len(centres))
+                    held[:, 1] += np.bincount(c, d[np.arange(len(c)), c], len(centres))
+                    for i in range(dims):
+                        held[:, 2 + i] += np.bincount(c, part[:, i], len(centres))
+        rows = [(fit, c, int(v[0]), *v[1:]) for fit, held in totals.items() for c, v in enumerate(held) if v[0]]
+        if rows:
+            kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.float64()] * (dims + 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    partial = features.select(*f_cols).mapInArrow(run, ", ".join([PARTIAL, *[f"s_{i} double" for i in range(dims)]]))
+    return partial.groupBy("fit", "c").agg(*[F.sum(c).alias(c) for c in names[2:]]).collect()
+
+
+def _seeded(features: DataFrame, f_cols: list[str], most: int, seeds: list[int], spread: bool) -> dict[int, list[list[float]]]:
+    """``most`` rows to start from for each seed, drawn one after the other; the first k serve k clusters.
+
+    A row is drawn with a chance that grows with its squared distance to those before (k-means++), or evenly; one
+    scan draws the next row of every seed.
+    """
+    chosen: dict[int, list[list[float]]] = {s: [] for s in seeds}
+    for i in range(most):
+        draws = []
+        for s in seeds:
+            u = (F.shiftrightunsigned(F.xxhash64(*f_cols, F.lit(s), F.lit(i)), 11) + 0.5) / F.lit(float(1 << 53))
+            d2 = nearest_centre(f_cols, chosen[s])["d2"] if chosen[s] else F.lit(1.0)
+            # equal rows have equal draws; one that is a start already comes last
+            order = F.when(d2 > 0, -F.log(u) / (d2 if spread else F.lit(1.0))).otherwise(F.lit(float("inf")))
+            draws.append(F.min(F.struct(order.alias("_o"), *f_cols)).alias(f"r{s}"))
+        row = features.agg(*draws).first()
+        for s in seeds:
+            chosen[s].append([row[f"r{s}"][f] for f in f_cols])
+    return chosen
+
+
+def shared_fits(features: DataFrame, f_cols: list[str], ks: list[int], seeds: list[int], init: str, max_iter: int = MAX_ITER, tol: float = TOL):
+    """``(cost, centres, rounds)`` by (k, seed): all fits advance together, one scan a round until the last has settled."""
+    starts = _seeded(features, f_cols, max(ks), seeds, _mode(init) != "random")
+    row = features.agg(*[F.var_pop(f).alias(f) for f in f_cols]).first()
+    limit = tol * sum(row[f] or 0.0 for f in f_cols) / len(f_cols)
+    keys = [(k, s) for k in ks for s in seeds]
+    centres = {i: np.asarray(starts[s][:k], float) for i, (k, s) in enumerate(keys)}
+    rounds, costs, going, closing = dict.fromkeys(centres, 0), {}, dict(centres), {}
+    for turn in range(max_iter + 1):
+        found = _sums(features, f_cols, going | closing)
+        for i in going | closing:
+            costs[i] = sum(r["d2"] for r in found if r["fit"] == i)
+        if turn == max_iter:
+            break
+        moved = {i: c.copy() for i, c in going.items()}
+        for r in found:
+            if r["fit"] in moved:
+                moved[r["fit"]][r["c"]] = [r[f"s_{j}"] / r["n"] for j in range(len(f_cols))]
+        shift = {i: ((m - going[i]) ** 2).sum() for i, m in moved.items()}
+        for i in moved:
+            rounds[i] = turn + 1
+        centres.update(moved)
+        # a settled fit takes part once more if it moved at all, for the cost of where it ended
+        going, closing = {i: m for i, m in moved.items() if shift[i] > limit}, {i: m for i, m in moved.items() if 0 < shift[i] <= limit}
+        if not going and not closing:
+            break
+    return {key: (costs[i], centres[i].tolist(), rounds[i]) for i, key in enumerate(keys)}
 
 
 def inertia_of(features: DataFrame, f_cols: list[str], centres: list[list[float]]) -> float:
@@ -182,7 +269,7 @@ def elbow(
     cat_encoder: str = "ohe",
     spec: FeatureSpec | None = None,
 ) -> DataFrame:
-    """``k, inertia`` of one fit per k; features are prepared and cached once."""
+    """``k, inertia`` of the best fit per k; features are prepared and cached once, and all fits share their scans."""
     ks = list(k_range)
     if not ks:
         raise ValueError("k_range is empty")
@@ -196,21 +283,13 @@ def elbow(
             (k, wide.fit(features, id_col, spec.f_cols, len(spec.sparse), k, init, _starts(init, n_init), seed, MAX_ITER, TOL)[2]) for k in ks
         ]
         return df.sparkSession.createDataFrame(costs, "k int, inertia double")
-    vecs = vectors(spec.transform(df), spec.f_cols)
+    if random_state is None:
+        random_state = random.randrange(2**31)
+    seeds = [random_state + i for i in range(_starts(init, n_init))]
+    features = spec.transform(df).select(*spec.f_cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        with ThreadPoolExecutor(min(PARALLEL_FITS, len(ks))) as pool:
-            fits = list(pool.map(lambda k: best_fit(vecs, k, random_state, init, n_init), ks))
+        fits = shared_fits(features, spec.f_cols, sorted(set(ks)), seeds, init)
     finally:
-        vecs.unpersist()
-    # every k is scored in one pass over the features
-    scored = spec.transform(df).agg(
-        *[
-            F.sum(nearest_centre(spec.f_cols, centres)["d2"]).alias(f"k{i}")
-            for i, (_, centres, _) in enumerate(fits)
-        ]
-    )
-    return scored.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"k{i}").alias("inertia")) for i, k in enumerate(ks)])
-        ).alias("r")
-    ).select("r.k", "r.inertia")
+        features.unpersist()
+    best = {k: min(fits[k, s][0] for s in seeds) for k in ks}
+    return df.sparkSession.createDataFrame([(k, best[k]) for k in ks], "k int, inertia double")

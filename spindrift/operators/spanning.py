@@ -85,10 +85,11 @@ class SpanningTree:
         The lower half's components become single nodes for the upper half,
         named by their highest merge; after that both halves stand alone.
         """
-        wide = F.lit(2 * self.n)
         sub = F.shiftright("r", bit + 1)
         upper = F.shiftright("r", bit).bitwiseAND(F.lit(1).cast("long")) == 1
-        part = part.withColumn("ku", sub * wide + F.col("u")).withColumn("kv", sub * wide + F.col("v"))
+        # a part's nodes are told apart by its number; as one number the two could pass 64 bits
+        of_part = lambda c: F.struct(sub.alias("part"), F.col(c).alias("node"))
+        part = part.withColumn("ku", of_part("u")).withColumn("kv", of_part("v"))
         low, high = part.filter(~upper), part.filter(upper)
         comps = cut(connected_components(low.select(F.col("ku").alias("a"), F.col("kv").alias("b"))))
         ends = F.explode(

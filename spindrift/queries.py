@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,11 @@ from .operators import kmeans as km
 from .operators import pairs as ap
 from .operators import tables as tab
 from .operators.dendrogram import dendrogram
-from .operators.models import cluster
+from .operators.models import cluster, parameter_choices
 from .operators.result import LABEL, given_labels
 from .plans.cut import ensure_checkpoint_dir
 from .sources import store
+from .sources.tables import column_roles as roles_of
 from .sources.tables import load_table, select_features
 
 QUERIES, ORACLES = {}, {}
@@ -409,6 +411,20 @@ def save_and_load(spark, sf):
     return store.load_model(spark, path, fitted.source).labels
 
 
+_ROLES = [("c_custkey", "bigint", "numeric"), ("c_nationkey", "int", "numeric"), ("c_acctbal", "double", "numeric"), ("c_mktsegment", "string", "categorical")]
+
+
+@query(" UNION ALL ".join(
+    f"SELECT {i}::INTEGER AS position, '{c}' AS \"column\", '{t}' AS type, '{r}' AS role, count({c}) AS n FROM customer" for i, (c, t, r) in enumerate(_ROLES)
+))
+def column_roles(spark, sf):
+    """Position, type and role of the columns, with the number of values each holds."""
+    c = select_features(read(spark, sf, "customer"), "c_custkey", [c for c, _, _ in _ROLES[1:]])
+    c = c.select(F.col("c_custkey").cast("bigint"), F.col("c_nationkey").cast("int"), F.col("c_acctbal").cast("double"), "c_mktsegment")
+    held = c.agg(*[F.count(x).alias(x) for x in c.columns]).unpivot([], c.columns, "column", "n")
+    return roles_of(c).join(F.broadcast(held), "column").select("position", "column", "type", "role", "n")
+
+
 @query("SELECT 'KMeans' AS model_type, count(*) AS rows_labelled FROM customer")
 def list_saved_models(spark, sf):
     fitted, root = fixed_kmeans(spark, sf), scratch(spark)
@@ -443,14 +459,61 @@ def elbow(spark, sf):
     return km.elbow(c, "c_custkey")
 
 
+SEPARATED = ("SELECT c_custkey, c_nationkey % 5 * 1000 + c_acctbal / 1000 AS x, c_nationkey % 5 * c_nationkey % 5 * 700 + c_custkey % 7 AS y, "
+             "c_nationkey % 5 AS g FROM customer")
+
+
+@query(f"""WITH s AS ({SEPARATED}), f AS (SELECT g, (x - avg(x) OVER ()) / stddev_pop(x) OVER () AS a, (y - avg(y) OVER ()) / stddev_pop(y) OVER () AS b FROM s),
+w AS (SELECT sum(n * v) AS cost FROM (SELECT count(*) AS n, var_pop(a) + var_pop(b) AS v FROM f GROUP BY g))
+SELECT 1::INTEGER AS k, round(count(*) * (var_pop(a) + var_pop(b)), 4) AS inertia FROM f UNION ALL SELECT 5, round(cost, 4) FROM w""")
+def elbow_separated(spark, sf):
+    read(spark, sf, "customer").createOrReplaceTempView("customer")
+    c = spark.sql(SEPARATED).select("c_custkey", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    return km.elbow(c, "c_custkey", k_range=[1, 5], n_init=3).withColumn("inertia", F.round("inertia", 4))
+
+
+def _separated(spark, sf, **how):
+    """Clusters named by their smallest id: seeded labels have no fixed order."""
+    read(spark, sf, "customer").createOrReplaceTempView("customer")
+    c = spark.sql(SEPARATED).select("c_custkey", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    labels = cluster(c, "KMeans", "c_custkey", n_clusters=5, **how).labels
+    return labels.join(F.broadcast(labels.groupBy(LABEL).agg(F.min("c_custkey").alias("first_key"))), LABEL).select("c_custkey", "first_key")
+
+
+_SEPARATED_SQL = f"SELECT c_custkey, min(c_custkey) OVER (PARTITION BY g) AS first_key FROM ({SEPARATED})"
+
+
+@query(_SEPARATED_SQL)
+def kmeans_separated(spark, sf):
+    return _separated(spark, sf)
+
+
+@query(_SEPARATED_SQL)
+def kmeans_restarts_separated(spark, sf):
+    return _separated(spark, sf, n_init=4)
+
+
+@query("""SELECT count(*) AS n, true AS close FROM orders""")
+def approximate_median(spark, sf):
+    """The sketch's median is a value whose rank is within one per cent of the middle."""
+    o = read(spark, sf, "orders").selectExpr("o_orderkey", "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_totalprice AS DOUBLE) END AS price")
+    filled = feat.impute_median(o, ["price"], approx=True)
+    # the fill is the one value that all gaps got
+    fill = filled.filter("o_orderkey % 5 = 0").agg(F.min("price").alias("_a"), F.max("price").alias("_b"))
+    rank = o.crossJoin(F.broadcast(fill)).agg(
+        F.count(F.lit(1)).alias("n"), (F.count_if(F.col("price") <= F.col("_a")) / F.count("price")).alias("_r"), F.every(F.col("_a") == F.col("_b")).alias("_one")
+    )
+    return rank.select("n", ((F.abs(F.col("_r") - 0.5) < 0.01) & F.col("_one")).alias("close"))
+
+
 # -- DBSCAN -----------------------------------------------------------------
 
 SUPPLIERS = scaled_sql("supplier", "s_suppkey", ["s_acctbal", "s_nationkey"])
 
 
-def _dbscan_sql(base: str, eps: float, min_samples: int, metric: str) -> str:
+def _dbscan_sql(base: str, eps: float, min_samples: int, metric: str, gap: str | None = None, key: str = "s_suppkey") -> str:
     return f"""WITH RECURSIVE {base},
-e AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM f a, f b WHERE a.id = b.id OR {dist('a', 'b', 2, metric)} <= {eps}),
+e AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM f a, f b WHERE a.id = b.id OR {gap or dist('a', 'b', 2, metric)} <= {eps}),
 core AS MATERIALIZED (SELECT a AS id FROM e GROUP BY a HAVING count(*) >= {min_samples}),
 ce AS MATERIALIZED (SELECT a, b FROM e WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
 reach AS (SELECT id, id AS root FROM core UNION SELECT ce.b, reach.root FROM reach JOIN ce ON ce.a = reach.id),
@@ -458,7 +521,7 @@ comp AS (SELECT id, min(root) AS root FROM reach GROUP BY id),
 num AS (SELECT root, row_number() OVER (ORDER BY root) - 1 AS n FROM (SELECT DISTINCT root FROM comp)),
 lab AS (SELECT id, n FROM comp JOIN num USING (root)),
 border AS (SELECT e.a AS id, min(lab.n) AS n FROM e JOIN lab ON lab.id = e.b WHERE e.a NOT IN (SELECT id FROM core) GROUP BY e.a),
-final AS (SELECT f.id AS s_suppkey, coalesce(lab.n, border.n, -1)::INTEGER AS cluster_label
+final AS (SELECT f.id AS {key}, coalesce(lab.n, border.n, -1)::INTEGER AS cluster_label
 FROM f LEFT JOIN lab ON lab.id = f.id LEFT JOIN border ON border.id = f.id)"""
 
 
@@ -513,12 +576,31 @@ def dbscan_precomputed(spark, sf):
     return db.dbscan_pairs(s.select(F.col("s_suppkey").alias("id")), pairs, 0.3, 4).withColumnRenamed("id", "s_suppkey")
 
 
-@query()
+@query(f"""{_dbscan_sql(scaled_sql("customer", "c_custkey", ["c_acctbal", "c_nationkey"]), 0.08, 5, "euclidean", key="c_custkey")} SELECT * FROM final""")
 def dbscan_customers(spark, sf):
     c = read(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
     return cluster(c, "DBSCAN", "c_custkey", eps=0.08, min_samples=5).labels
 
 
+# 25 one-hot columns beside two numbers: two brands differ in two columns
+BRANDS = """t AS (SELECT avg(p_size) AS a0, stddev_pop(p_size) AS s0, avg(p_retailprice) AS a1, stddev_pop(p_retailprice) AS s1, count(*) AS n FROM part),
+w AS (SELECT p_brand, 1 / (count(*) / max(n) * (1 - count(*) / max(n))) AS v FROM part, t GROUP BY p_brand),
+f AS MATERIALIZED (SELECT p_partkey AS id, (p_size - a0) / s0 AS f_0, (p_retailprice - a1) / s1 AS f_1, p_brand, v FROM part JOIN w USING (p_brand), t)"""
+BRAND_GAP = "sqrt((a.f_0 - b.f_0)**2 + (a.f_1 - b.f_1)**2 + CASE WHEN a.p_brand = b.p_brand THEN 0 ELSE a.v + b.v END)"
+
+
+@query(f"{_dbscan_sql(BRANDS, 0.4, 4, '', BRAND_GAP, 'p_partkey')} SELECT * FROM final")
+def dbscan_many_columns(spark, sf):
+    p = read(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice", "p_brand")
+    return cluster(p, "DBSCAN", "p_partkey", eps=0.4, min_samples=4).labels
+
+
+@query(f"{_dbscan_sql('f AS MATERIALIZED (SELECT vec_id AS id, embedding::DOUBLE[] AS x FROM embeddings)', 0.66, 3, '', 'list_cosine_distance(a.x, b.x)', 'vec_id')} SELECT * FROM final")
+def dbscan_vectors(spark, sf):
+    e = read(spark, sf, "embeddings").select("vec_id", "embedding")
+    return cluster(e, "DBSCAN", "vec_id", eps=0.66, min_samples=3, metric="cosine", scaler=None).labels
+
+
 PARTS = scaled_sql("part", "p_partkey", ["p_size", "p_retailprice"])
 
 
@@ -566,6 +648,13 @@ def silhouette_samples(spark, sf):
     return rounded(ev.silhouette_samples(r.labelled_features, "vec_id", r.f_cols))
 
 
+@query(f"""WITH all_f AS (SELECT vec_id AS id, label AS c, embedding::DOUBLE[] AS x FROM embeddings),
+f AS (SELECT * FROM all_f ORDER BY md5('7:' || id) LIMIT 200), {_SIL} SELECT {R('avg(s)')} AS silhouette_score FROM sil""")
+def silhouette_sampled(spark, sf):
+    r = vectors(spark, sf)
+    return rounded(ev.silhouette_score(r.labelled_features, "vec_id", r.f_cols, sample_size=200, random_state=7))
+
+
 @query(f"""WITH {VECTORS}, {_SIL}, z AS (SELECT c, row_number() OVER (ORDER BY c) AS place FROM (SELECT DISTINCT c FROM f))
 SELECT c AS cluster_label, 10 * place + row_number() OVER (ORDER BY c, s, id) - 1 AS y, {R('s')} AS s,
 {R('avg(s) OVER ()')} AS mean_s FROM sil JOIN z USING (c)""")
@@ -718,6 +807,36 @@ def agglomerative_single(spark, sf):
     return _nation_labels(spark, sf, "single")
 
 
+def _choice_sql(k: int) -> str:
+    names = (f"e{k} AS (SELECT num, cid FROM l WHERE step = (SELECT count(*) FROM r) - {k}), "
+             f"n{k} AS (SELECT cid, row_number() OVER (ORDER BY min(num)) - 1 AS c, count(*) AS n FROM e{k} GROUP BY cid)")
+    return names
+
+
+# -- saved models without centres ---------------------------------------------
+
+
+def reloaded(spark, sf, fitted):
+    return store.load_model(spark, store.save_model(fitted, scratch(spark)), fitted.source)
+
+
+# the labelled rows of the scores are ``f``, so the plain ones get another name
+_NOISY_SUPPLIERS = (
+    EUCLIDEAN.replace("WITH RECURSIVE f AS (", "WITH RECURSIVE f00 AS (", 1).replace("FROM f a, f b", "FROM f00 a, f00 b").replace("FROM f LEFT JOIN", "FROM f00 f LEFT JOIN")
+    + ", all_rows AS (SELECT s_suppkey AS id, cluster_label AS c, [f_0, f_1] AS x FROM final JOIN f00 ON f00.id = s_suppkey), f AS (SELECT * FROM all_rows WHERE c <> -1)"
+)
+
+
+@query(f"{_scores_sql(_NOISY_SUPPLIERS, 'x[{}+1]', '', 2, 2, True)} SELECT * FROM score")
+def evaluate_loaded_dbscan(spark, sf):
+    return _score_rounds(ev.evaluate(reloaded(spark, sf, supplier_dbscan(spark, sf))))
+
+
+@query(_labels_sql(NATION_F, N_NATIONS, "ward", "euclidean", 4, "id"))
+def save_and_load_agglomerative(spark, sf):
+    return reloaded(spark, sf, cluster(nations(spark, sf), "AgglomerativeClustering", "id", n_clusters=4)).labels
+
+
 # -- more than a task's worth of clusters, and distances given as a table -----
 
 USERS = "uf AS (SELECT user_id AS id, count(*) * 1.0 AS n_events, avg(value) AS avg_value FROM events GROUP BY user_id)"
@@ -861,12 +980,11 @@ def linkage_single(spark, sf):
     return rounded(_nation_tree(spark, sf, "single"))
 
 
-def _dendrogram_sql(drawn: str) -> str:
-    n = N_NATIONS
-    return f"""{_linkage_sql(NATION_F, n, 'ward')},
+def _dendrogram_sql(drawn: str, steps: str = _linkage_sql(NATION_F, N_NATIONS, "ward"), n: int | str = N_NATIONS) -> str:
+    return f"""{steps},
 kid AS (SELECT merge_id + {n} AS parent, left_id AS node, 0 AS off FROM z
 UNION ALL SELECT merge_id + {n}, right_id, coalesce((SELECT size FROM z y WHERE y.merge_id + {n} = z.left_id), 1) FROM z),
-walk AS (SELECT {2 * n - 2} AS node, NULL::BIGINT AS parent, 0 AS depth, 0::BIGINT AS start
+walk AS (SELECT 2 * {n} - 2 AS node, NULL::BIGINT AS parent, 0 AS depth, 0::BIGINT AS start
 UNION ALL SELECT kid.node, kid.parent, walk.depth + 1, walk.start + kid.off FROM walk JOIN kid ON kid.parent = walk.node),
 info AS (SELECT walk.*, coalesce(distance, 0) AS height, coalesce(size, 1) AS size, node >= {n} AND ({drawn}) AS drawn
 FROM walk LEFT JOIN z ON z.merge_id + {n} = walk.node),
@@ -892,3 +1010,35 @@ def dendrogram_lastp(spark, sf):
 @query(_dendrogram_sql("depth <= 2"))
 def dendrogram_level(spark, sf):
     return _nation_dendrogram(spark, sf, "level", 2)
+
+
+_USER_ROWS = "(SELECT count(*) FROM r)"
+
+
+_OFFERED = parameter_choices("AgglomerativeClustering", "ward")["n_clusters"]
+
+
+@query(f"{_steps_sql(USERS_F, 'ward')}, " + ", ".join(map(_choice_sql, _OFFERED)) + " "
+       + " UNION ALL ".join(f"SELECT {k}::INTEGER AS n_clusters, c::INTEGER AS cluster_label, n AS count FROM n{k}" for k in _OFFERED))
+def offered_cuts(spark, sf):
+    """Cluster sizes for every number of clusters that is offered, all from one tree."""
+    u = users(spark, sf)
+    tree = cluster(u, "AgglomerativeClustering", "id", n_clusters=2).tree
+    found = [
+        tree.cut_at(k).groupBy(LABEL).agg(F.count(F.lit(1)).alias("count")).select(F.lit(k).alias("n_clusters"), LABEL, "count") for k in _OFFERED
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _user_dendrogram(spark, sf, *args):
+    return rounded(dendrogram(_user_tree(spark, sf, "ward"), *args))
+
+
+@query(_dendrogram_sql(f"node >= 2 * {_USER_ROWS} - 12", _steps_sql(USERS_F, "ward"), _USER_ROWS))
+def dendrogram_users_lastp(spark, sf):
+    return _user_dendrogram(spark, sf, "lastp", 12)
+
+
+@query(_dendrogram_sql("depth <= 3", _steps_sql(USERS_F, "ward"), _USER_ROWS))
+def dendrogram_users_level(spark, sf):
+    return _user_dendrogram(spark, sf, "level", 3)
