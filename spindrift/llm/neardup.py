@@ -28,6 +28,7 @@ AGREE = 0.66  # share of agreeing registers below which a pair isn't verified: o
 STARS = 4  # rounds at most in which a bucket's texts are compared with one of them
 FEW = 20  # comparisons a text in a bucket from which all the rest are made at once
 TILE = 512  # texts of a bucket that are held against as many others at once
+TASK_TEXTS = 10_000  # registers and bands that a task of such comparisons reads, about 4 MB
 WORDS_AT_ONCE = 200_000
 CACHED_WORDS = 300_000
 CACHED_SETS = 1_000
@@ -220,8 +221,11 @@ def _plausible(rest: DataFrame, sketch: DataFrame, step: float) -> DataFrame:
         placed.join(sketch, "doc_id").groupBy("bucket", "_bin", "_tile").agg(F.array_sort(F.collect_list(member)).alias("m"))
     )
     key = F.struct(F.col("_bin"), F.col("_tile"))
-    at = tiles.select("bucket", key.alias("ka"), F.explode(F.array(F.col("_bin"), F.col("_bin") + 1)).alias("_next"))
-    pairs = at.join(tiles.select("bucket", F.col("_bin").alias("_next"), key.alias("kb")), ["bucket", "_next"]).filter("ka <= kb").select("bucket", "ka", "kb")
+    at = tiles.select("bucket", key.alias("ka"), F.size("m").alias("na"), F.explode(F.array(F.col("_bin"), F.col("_bin") + 1)).alias("_next"))
+    other = tiles.select("bucket", F.col("_bin").alias("_next"), key.alias("kb"), F.size("m").alias("nb"))
+    pairs = table(at.join(other, ["bucket", "_next"]).filter("ka <= kb").select("bucket", "ka", "kb", "na", "nb"))
+    size = pairs.agg(F.sum(F.col("na") + F.col("nb"))).first()[0] or 0
+    pairs = pairs.drop("na", "nb")
     both = pairs.join(tiles.select("bucket", key.alias("ka"), F.col("m").alias("a")), ["bucket", "ka"]).join(
         tiles.select("bucket", key.alias("kb"), F.col("m").alias("b")), ["bucket", "kb"]
     )
@@ -251,7 +255,9 @@ def _plausible(rest: DataFrame, sketch: DataFrame, step: float) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([ids_a.take(pa.array(i)), ids_b.take(pa.array(j))], names=["x", "y"])
 
     kind = rest.schema["doc_id"].dataType.simpleString()
-    found = both.select("bucket", "a", "b").mapInArrow(run, f"x {kind}, y {kind}")
+    # rows are large here, so tasks are given few
+    both = both.select("bucket", "a", "b").repartition(max(1, size // TASK_TEXTS))
+    found = both.mapInArrow(run, f"x {kind}, y {kind}")
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
