@@ -308,6 +308,10 @@ def _near_cells(cells: DataFrame, plane: _Plane, spans: list[int]) -> DataFrame:
         return F.floor(box_gap(at, at, *plane.corners(""), plane.metric) / F.lit(2 * plane.eps * (1 + 1e-9))).cast("long")
 
     leaf = cells.select("cell", "n", *plane.box_names, *[square(i).alias(f"q_{i}") for i in dims])
+    if pivots:
+        # as a table: the optimizer carries an expression of many columns along as a
+        # constraint, and doubles it for each of the columns that is renamed
+        leaf = table(leaf)
     pairs = None
     for at, level in enumerate(levels):
         last = at == len(levels) - 1
