@@ -1,18 +1,24 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Tokens are summed once for each cell of source, language and topic. The cell table is
-raked: its weights are scaled to each marginal in turn until all marginals fit. Documents
+raked: its weights are scaled to each marginal in turn until all marginals fit, and what a
+value can't give is asked of the others. Documents
 are then drawn with the cell's weight as probability. SQL expressions only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.cut import table
 
-SWEEPS = 8
+MOST_SWEEPS = 40
+TOLERANCE = 1e-12  # of the kept total, over all marginals
+FEW_CELLS = 100_000  # up to which a task may hold all cells of a value
+SWEEPS_AT_ONCE = 4  # of so few cells, between writes
 KEEP_SHARE = 0.5
 TEMPER = 0.7
 
@@ -50,37 +56,108 @@ def tempered_targets(cells: DataFrame, dim: str, power: float = TEMPER) -> DataF
     return sums.crossJoin(sums.agg(F.sum("_p").alias("_all"))).select(dim, (F.col("_p") / F.col("_all")).alias("share"))
 
 
+def _reachable(values: DataFrame, dim: str, keep: float) -> tuple[DataFrame, float]:
+    """``dim, _goal`` and their sum: ``keep`` shared out in proportion to ``share``, none above ``_cap``.
+
+    What a value can't hold is handed on to those with room. The driver sees two sums a round;
+    each round fills at least one more value.
+    """
+    total = values.agg(F.sum("share")).first()[0] or 0.0
+    scale = keep / total if total else 0.0
+    while True:
+        full = F.col("_cap") <= F.col("share") * scale
+        sums = values.agg(F.sum(F.when(full, F.col("_cap"))), F.sum(F.when(~full, F.col("share")))).first()
+        filled, room = sums[0] or 0.0, sums[1] or 0.0
+        if not room or (keep - filled) / room <= scale * (1 + 1e-12):
+            break
+        scale = (keep - filled) / room
+    goal = table(values.select(dim, F.least(F.col("_cap"), F.col("share") * scale).alias("_goal")))
+    return goal, goal.agg(F.sum("_goal")).first()[0] or 0.0
+
+
+def _scaled_to(state: DataFrame, dim: str, few: bool) -> DataFrame:
+    """``state`` with ``_kept`` scaled so that its sums by ``dim`` are ``_goal_<dim>``, as far as ``_cap`` allows.
+
+    Sums come by a window where the whole table is small, else by an aggregate joined to the cells.
+    """
+    full, columns = F.col("_kept") >= F.col("_cap") * (1 - 1e-12), state.columns
+    held, free = F.sum(F.when(full, F.col("_kept")).otherwise(0.0)), F.sum(F.when(full, 0.0).otherwise(F.col("_kept")))
+    if few:
+        beside = Window.partitionBy(dim)
+        state = state.select("*", held.over(beside).alias("_held"), free.over(beside).alias("_free"))
+    else:
+        state = state.join(state.groupBy(dim).agg(held.alias("_held"), free.alias("_free")), dim)
+    goal = F.col(f"_goal_{dim}")
+    hold, now = (goal >= F.col("_held")) & (F.col("_free") > 0), F.col("_held") + F.col("_free")
+    factor = F.when(hold, (goal - F.col("_held")) / F.col("_free")).when(now > 0, F.least(F.lit(1.0), goal / now)).otherwise(0.0)
+    kept = F.when(full & hold, F.col("_kept")).otherwise(F.least(F.col("_kept") * factor, F.col("_cap"))).alias("_kept")
+    return state.select(*[kept if c == "_kept" else F.col(c) for c in columns])
+
+
 def rake(
     cells: DataFrame, targets: dict[str, DataFrame], weight: str = "tokens", keep_share: float = KEEP_SHARE,
 ) -> DataFrame:
     """``cells`` with ``probability``: the raked share of each cell's weight.
 
-    ``targets[dim]`` holds ``dim, share``; ``cells[dim]`` may not be null. A sweep scales the kept
-    weights to each marginal in turn, and no cell ever keeps more than it has, so a value
-    too rare for its share keeps all. After ``SWEEPS`` sweeps the kept weights add up to
-    ``keep_share`` of all, with the target shares as far as the cells allow. Values without
-    a target get 0. Shares are taken in proportion to their sum.
+    ``targets[dim]`` holds ``dim, share``, taken in proportion to their sum; ``cells[dim]`` may not be null.
+    First each marginal's goals are made reachable: a value too rare for its share keeps all
+    it has, and its missing weight is shared out among the others in proportion. Values without
+    a target get 0, and targets of values without cells are handed on too. If a marginal can't reach
+    ``keep_share`` in this way, the smallest sum that one reaches is kept instead.
+
+    A sweep then scales the kept weights to each marginal in turn. Cells that keep all they have are
+    held while the value's other cells can make up the goal. It ends when the kept weights
+    differ from all goals by no more than ``TOLERANCE`` of the total, or after ``MOST_SWEEPS``
+    where caps and marginals contradict each other; ``reached`` tells what came of it.
     """
-    goal = {}
-    for dim, t in targets.items():
-        all_shares = t.agg(F.sum("share").alias("_s"))
-        goal[dim] = table(t.crossJoin(all_shares).select(dim, (F.col("share") / F.col("_s") * keep_share).alias("_goal")))
     total = cells.agg(F.sum(weight).cast("double").alias("_total"))
     part = F.coalesce(F.col(weight) / F.when(F.col("_total") > 0, F.col("_total")), F.lit(0.0))
-    state = cells.crossJoin(total).withColumn("_cap", part).withColumn("_kept", part * keep_share).drop("_total")
+    state = table(cells.crossJoin(total).withColumn("_cap", part).withColumn("_kept", part * keep_share).drop("_total"))
+    values = {
+        dim: table(state.groupBy(dim).agg(F.sum("_cap").alias("_cap")).join(t, dim, "left").select(dim, "_cap", F.coalesce("share", F.lit(0.0)).alias("share")))
+        for dim, t in targets.items()
+    }
+    found = {dim: _reachable(v, dim, keep_share) for dim, v in values.items()}
+    keep = min((reach for _, reach in found.values()), default=keep_share)
+    if any(reach - keep > TOLERANCE for _, reach in found.values()):
+        found = {dim: _reachable(v, dim, keep) for dim, v in values.items()}
+    for dim, (goal, _) in found.items():
+        state = state.join(goal.withColumnRenamed("_goal", f"_goal_{dim}"), dim)
     state = table(state)
-    columns = state.columns
-    for _ in range(SWEEPS):
-        for dim in targets:
-            now = state.groupBy(dim).agg(F.sum("_kept").alias("_now"))
-            factor = now.join(goal[dim], dim, "left").select(
-                dim, F.when(F.col("_now") > 0, F.coalesce("_goal", F.lit(0.0)) / F.col("_now")).otherwise(0.0).alias("_f")
-            )
-            kept = F.least(F.col("_kept") * F.col("_f"), F.col("_cap")).alias("_kept")
-            # a step reads the state twice, so it is written each time
-            state = table(state.join(factor, dim).select(*[kept if c == "_kept" else F.col(c) for c in columns]))
+    few = state.count() <= FEW_CELLS
+    sweeps = 0
+    while found and sweeps < MOST_SWEEPS:
+        for _ in range(SWEEPS_AT_ONCE if few else 1):
+            for dim in found:
+                state = _scaled_to(state, dim, few)
+                if not few:
+                    # here a step reads the state twice
+                    state = table(state)
+            sweeps += 1
+        if few:
+            state = table(state)
+        off = [state.groupBy(dim).agg(F.abs(F.sum("_kept") - F.first(f"_goal_{dim}")).alias("_off")).select("_off") for dim in found]
+        if (reduce(DataFrame.unionByName, off).agg(F.sum("_off")).first()[0] or 0.0) <= TOLERANCE * keep:
+            break
     probability = F.when(F.col("_cap") > 0, F.col("_kept") / F.col("_cap")).otherwise(0.0)
-    return state.withColumn("probability", probability).drop("_cap", "_kept")
+    return state.select(*cells.columns, probability.alias("probability"))
+
+
+def reached(raked: DataFrame, targets: dict[str, DataFrame], weight: str = "tokens") -> DataFrame:
+    """dim, value, target, share: the share asked for and that of the expected kept weight, for each value of each marginal.
+
+    ``raked`` is what ``rake`` returns. Values without a target have 0 there; targets without cells a share of 0.
+    """
+    out = []
+    for dim, t in targets.items():
+        have = raked.groupBy(dim).agg(F.sum(F.col(weight) * F.col("probability")).alias("_kept"))
+        asked = t.crossJoin(t.agg(F.sum("share").alias("_all"))).select(dim, (F.col("share") / F.col("_all")).alias("target"))
+        whole = raked.agg(F.sum(F.col(weight) * F.col("probability")).alias("_whole"))
+        share = F.coalesce(F.col("_kept") / F.when(F.col("_whole") > 0, F.col("_whole")), F.lit(0.0))
+        out.append(have.join(asked, dim, "full").crossJoin(whole).select(
+            F.lit(dim).alias("dim"), F.col(dim).cast("string").alias("value"), F.coalesce("target", F.lit(0.0)).alias("target"), share.alias("share")
+        ))
+    return reduce(DataFrame.unionByName, out)
 
 
 def mix(

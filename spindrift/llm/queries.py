@@ -39,9 +39,10 @@ def op8_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raking_sql() -> str:
-    """The raking unrolled: a query for each step of each sweep."""
+    """Goals by one sorted pass a marginal, then the sweeps as a recursive query."""
     cues = " ".join(f"WHEN regexp_matches(t, '{cue.replace(chr(39), chr(39) * 2)}') THEN '{name}'" for name, cue in mixing.TOPIC_CUES)
-    steps = [f"""
+    dims, keep = ("source", "lang", "topic"), mixing.KEEP_SHARE
+    parts = [f"""
         docs AS MATERIALIZED (
             SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
                 CASE {cues} WHEN length(t) < 200 THEN 'note'
@@ -49,29 +50,38 @@ def raking_sql() -> str:
                      ELSE 'prose' END AS topic,
                 len(regexp_extract_all(t, '\\S+'))::BIGINT AS tokens
             FROM (SELECT *, coalesce(text, '') AS t FROM documents)),
-        cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens FROM docs GROUP BY ALL)"""]
-    for dim in ("source", "lang", "topic"):
-        steps.append(f"""
+        cells AS MATERIALIZED (
+            SELECT *, coalesce(tokens / nullif(sum(tokens) OVER (), 0), 0) AS cap
+            FROM (SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens FROM docs GROUP BY ALL))"""]
+    for dim in dims:
+        # in order of cap / share, a value is full if what the fuller ones leave would give it more than it has
+        parts.append(f"""
+        share_{dim} AS (SELECT {dim}, sum(cap) AS cap, pow(sum(tokens), {mixing.TEMPER}) AS p FROM cells GROUP BY {dim} HAVING sum(tokens) > 0),
+        level_{dim} AS (
+            SELECT *, ({keep} - coalesce(sum(cap) OVER (ORDER BY cap / p, {dim} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / sum(p) OVER (ORDER BY cap / p, {dim} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM share_{dim}),
         goal_{dim} AS MATERIALIZED (
-            SELECT {dim}, p / sum(p) OVER () * {mixing.KEEP_SHARE} AS goal
-            FROM (SELECT {dim}, pow(sum(tokens), {mixing.TEMPER}) AS p FROM cells GROUP BY {dim} HAVING sum(tokens) > 0))""")
-    steps.append(f"""
-        s0 AS MATERIALIZED (
-            SELECT *, tokens / sum(tokens) OVER () AS cap, tokens / sum(tokens) OVER () * {mixing.KEEP_SHARE} AS kept FROM cells)""")
-    n = 0
-    for _ in range(mixing.SWEEPS):
-        for dim in ("source", "lang", "topic"):
-            steps.append(f"""
-        s{n + 1} AS MATERIALIZED (
-            SELECT source, lang, topic, cap, least(kept * CASE WHEN now > 0 THEN coalesce(goal, 0) / now ELSE 0 END, cap) AS kept
-            FROM (SELECT source, lang, topic, cap, kept, sum(kept) OVER (PARTITION BY {dim}) AS now FROM s{n})
-            LEFT JOIN goal_{dim} USING ({dim}))""")
-            n += 1
-    return "WITH " + ",".join(steps) + f"""
+            SELECT {dim}, least(cap, p * (SELECT min_by(level, cap / p) FROM level_{dim} WHERE cap > level * p)) AS goal_{dim} FROM level_{dim})""")
+    step = f"SELECT i, source, lang, topic, cap, x, goal_source, goal_lang, goal_topic FROM sweep WHERE i < {mixing.MOST_SWEEPS}"
+    for dim in dims:
+        step = f"""
+            SELECT * REPLACE (CASE WHEN filled AND hold THEN x WHEN hold THEN least(cap, x * (goal_{dim} - held) / free)
+                    WHEN held + free > 0 THEN least(cap, x * least(1, goal_{dim} / (held + free))) ELSE 0 END AS x)
+            FROM (SELECT *, goal_{dim} >= held AND free > 0 AS hold
+                  FROM (SELECT *, sum(CASE WHEN filled THEN x ELSE 0 END) OVER (PARTITION BY {dim}) AS held,
+                               sum(CASE WHEN filled THEN 0 ELSE x END) OVER (PARTITION BY {dim}) AS free
+                        FROM (SELECT i, source, lang, topic, cap, x, goal_source, goal_lang, goal_topic, x >= cap * (1 - 1e-12) AS filled FROM ({step}))))"""
+    return "WITH RECURSIVE" + ",".join(parts) + f""",
+        sweep AS (
+            SELECT 0 AS i, source, lang, topic, cap, cap * {keep} AS x, coalesce(goal_source, 0) AS goal_source,
+                coalesce(goal_lang, 0) AS goal_lang, coalesce(goal_topic, 0) AS goal_topic
+            FROM cells LEFT JOIN goal_source USING (source) LEFT JOIN goal_lang USING (lang) LEFT JOIN goal_topic USING (topic)
+            UNION ALL
+            SELECT i + 1, source, lang, topic, cap, x, goal_source, goal_lang, goal_topic FROM ({step}))
         SELECT doc_id, source, lang, topic, tokens, round(p, 6) AS probability,
             ('0x' || substr(md5('mix' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / pow(2, 52) < p AS kept
-        FROM (SELECT docs.*, CASE WHEN docs.tokens = 0 THEN 1 WHEN cap > 0 THEN kept / cap ELSE 0 END AS p
-              FROM docs JOIN s{n} USING (source, lang, topic))"""
+        FROM (SELECT docs.*, CASE WHEN docs.tokens = 0 THEN 1 WHEN cap > 0 THEN x / cap ELSE 0 END AS p
+              FROM docs JOIN sweep USING (source, lang, topic) WHERE i = {mixing.MOST_SWEEPS})"""
 
 
 @query(raking_sql())

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from spindrift.llm import mixing, sharding
 
@@ -73,7 +74,39 @@ def test_a_rare_value_keeps_all_it_has(spark):
     df = spark.createDataFrame([("a", "x", "p", 10), ("b", "x", "p", 990)], "source string, lang string, topic string, tokens long")
     goal = spark.createDataFrame([("a", 0.5), ("b", 0.5)], "source string, share double")
     got = {r.source: r.probability for r in mixing.rake(df, {"source": goal}, keep_share=0.5).collect()}
-    assert got["a"] == 1.0 and 0 < got["b"] < 1
+    assert got["a"] == 1.0 and abs(got["b"] - 490 / 990) < 1e-9
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_what_a_rare_value_lacks_is_kept_of_the_others(spark, monkeypatch, few):
+    """Topic q is too rare for its share: all of it stays, and the total and the other marginals are met."""
+    monkeypatch.setattr(mixing, "FEW_CELLS", few)
+    monkeypatch.setattr(mixing, "TOLERANCE", 1e-10)
+    rng = np.random.default_rng(5)
+    cells = [(s, l, t, int(rng.integers(50, 500)) // (30 if t == "q" else 1)) for s in "abcd" for l in "xyz" for t in "pqr"]
+    df = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+    share = lambda name, d: spark.createDataFrame(list(d.items()), f"{name} string, share double")
+    goals = {"source": dict.fromkeys("abcd", 0.25), "lang": {"x": 2.0, "y": 1.0, "z": 1.0}, "topic": {"p": 0.4, "q": 0.2, "r": 0.4}}
+    targets = {k: share(k, v) for k, v in goals.items()}
+    raked = mixing.rake(df, targets, keep_share=0.4)
+    got = raked.toPandas()
+    kept = got.tokens * got.probability
+    assert abs(kept.sum() / got.tokens.sum() - 0.4) < 1e-9
+    assert (got[got.topic == "q"].probability > 1 - 1e-9).all()
+    report = {(r.dim, r.value): r for r in mixing.reached(raked, targets).collect()}
+    for (dim, value), r in report.items():
+        assert abs(r.share - kept[got[dim] == value].sum() / kept.sum()) < 1e-9
+        if dim != "topic":
+            assert abs(r.share - goals[dim][value] / sum(goals[dim].values())) < 1e-9
+    assert abs(report["topic", "p"].share - report["topic", "r"].share) < 1e-9 and report["topic", "q"].share < 0.2 == report["topic", "q"].target
+
+
+def test_targets_that_cover_too_little_lower_the_total(spark):
+    df = spark.createDataFrame([("a", "x", 10), ("b", "x", 90)], "source string, lang string, tokens long")
+    source = spark.createDataFrame([("a", 1.0), ("gone", 1.0)], "source string, share double")
+    lang = spark.createDataFrame([("x", 1.0)], "lang string, share double")
+    got = {r.source: r.probability for r in mixing.rake(df, {"source": source, "lang": lang}, keep_share=0.5).collect()}
+    assert abs(got["a"] - 1) < 1e-9 and got["b"] == 0
 
 
 def test_mix_of_odd_rows(odd_documents, no_documents):
