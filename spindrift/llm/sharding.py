@@ -19,6 +19,7 @@ DIGITS = [MULTIPLIER >> (16 * i) & 0xFFFF for i in range(4)]
 LOW32 = 0xFFFFFFFF
 MOST_JUMPS = 200  # a key jumps about ln(shards) times; 2^31 shards need some 22
 CHUNK_ROWS = 4_000
+COPIES = 10_000  # of a row that are written from one array
 
 
 def _next(hi: Column, lo: Column) -> tuple[Column, Column]:
@@ -71,35 +72,40 @@ def shard_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
 
     The id and the number of shards decide the shard; ``grown_shard`` is the one with
     ``shards`` + 1. ``size`` is the number of UTF-8 bytes plus 1. ``slot`` numbers the rows of
-    a shard from 0 without gaps: each shard is cut into chunks by a hash of the id, rows are
-    numbered inside a chunk, and the chunk counts give the offsets, so no task holds a shard.
+    a shard from 0 without gaps: rows alike in all that is returned are counted first, each shard is cut
+    into chunks by a hash of id, checksum and size, copies are numbered inside a chunk, and the chunk
+    counts give the offsets, so no task holds a shard or the rows of an id.
 
     A null text counts as empty, a null id as key 0. Repeated rows get slots of their own
     (which of them gets which is open). An empty table gives no rows. Other columns are ignored.
     """
     chunks = max(1, math.ceil(df.count() / (shards * CHUNK_ROWS)))
     key = stable_key(df, id_col)
-    rows = df.select(
+    alike = df.select(
         F.col(id_col).alias("doc_id"),
         (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("size"),
         F.coalesce(F.crc32(text_col), F.lit(0)).cast("long").alias("text_crc32"),
         jump_bucket(key, shards).alias("shard"),
         jump_bucket(key, shards + 1).alias("grown_shard"),
-        F.pmod(F.xxhash64(key), F.lit(chunks)).alias("_chunk"),
-    )
+    ).groupBy("doc_id", "size", "text_crc32", "shard", "grown_shard").agg(F.count(F.lit(1)).alias("_n"))
+    alike = alike.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(chunks)))
     before = Window.partitionBy("shard").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy("shard", "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+        alike.groupBy("shard", "_chunk").agg(F.sum("_n").alias("_n"))
         # a row for each chunk of a few thousand rows
         .select("shard", "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
-    place = F.row_number().over(Window.partitionBy("shard", "_chunk").orderBy("doc_id", "text_crc32", "size"))
+    earlier = Window.partitionBy("shard", "_chunk").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    copies = F.sequence(F.col("_part") * COPIES, F.least(F.col("_n"), (F.col("_part") + 1) * COPIES) - 1)
     return (
-        rows.withColumn("_place", place)
+        alike.withColumn("_place", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .join(offsets, ["shard", "_chunk"])
+        # in two steps, so that no array grows with the number of copies by more than a fraction
+        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / COPIES))))
+        .withColumn("_copy", F.explode(copies))
         .select(
             "doc_id", "size", "text_crc32", "shard",
-            (F.col("_before") + F.col("_place") - 1).cast("long").alias("slot"), "grown_shard",
+            (F.col("_before") + F.col("_place") + F.col("_copy")).cast("long").alias("slot"), "grown_shard",
         )
     )
 

@@ -45,6 +45,18 @@ def test_slots_have_no_gaps_over_many_chunks(spark, monkeypatch):
         assert sorted(g.slot) == list(range(len(g)))
 
 
+def test_rows_of_one_id_are_spread_over_chunks(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CHUNK_ROWS", 10)
+    monkeypatch.setattr(sharding, "COPIES", 7)
+    df = spark.range(900).select(
+        F.when(F.col("id") >= 300, F.col("id")).alias("doc_id"), F.when(F.col("id") < 500, F.concat(F.lit("x"), F.col("id") % 50)).alias("text")
+    )
+    got = sharding.shard_rows(df.unionByName(df), shards=4).toPandas()
+    assert len(got) == 1_800
+    for _, g in got.groupby("shard"):
+        assert sorted(g.slot) == list(range(len(g)))
+
+
 def test_strings_as_keys(spark):
     df = spark.createDataFrame([("a", "x"), ("b", "y"), (None, "z")], "doc_id string, text string")
     assert {r.shard for r in sharding.shard_rows(df, shards=2).collect()} <= {0, 1}
