@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from .common import hash_order, ids_and_texts
 
 DICTIONARY_BYTES = 131_072
-SAMPLE_ROWS = 400  # labelled rows a language, about; the bound of the fit
-SAMPLE_CHARS = 2_000  # of each of those
+SAMPLE_ROWS = 400  # different labelled texts a language, about; the bound of the fit
+SAMPLE_CHARS = 2_000  # of a passage from each of those
 PIECE_BYTES = 4_096
 SHORT_BYTES = 200  # a piece below this is compressed behind a passage of the dictionary
 FILLER_BYTES = 512
@@ -38,29 +38,34 @@ def _plain(text: str) -> str:
 
 def fit_dictionaries(
     df: DataFrame, where: Column | None = None, text_col: str = "text", lang_col: str = "lang",
-    id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> dict[str, bytes]:
     """Dictionary bytes by language, the language with most rows first.
 
     Reads ``text_col`` and ``lang_col`` of the rows that ``where`` admits. About ``sample_rows``
-    rows of each language are taken, by the smallest hashes of the id (a language with fewer
-    rows gives all), and at most ``SAMPLE_CHARS`` characters of each; counts cover all rows.
+    different texts of each language are taken, by the smallest hashes of the text (a language with
+    fewer gives all), and of each a passage of at most ``SAMPLE_CHARS`` characters from anywhere in it; copies
+    count once, whatever their ids. Counts cover all rows.
     """
     rows = df if where is None else df.filter(where)
-    rows = rows.select(
-        F.col(lang_col).alias("lang"), hash_order(F.col(id_col), 8).alias("_at"),
-        F.substring(text_col, 1, SAMPLE_CHARS).alias("text"),
-    ).filter("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
+    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("_whole")).filter("lang IS NOT NULL AND _whole <> ''")
+    at = rows.select("lang", hash_order(F.col("_whole"), 8).alias("_at"), "_whole")
     counts = sorted(
-        ((r["n"], r["lang"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()),
-        key=lambda r: (-r[0], r[1]),
+        ((r["n"], r["texts"], r["lang"]) for r in at.groupBy("lang", "_at").agg(F.count(F.lit(1)).alias("_n"))
+         .groupBy("lang").agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("texts")).collect()),
+        key=lambda r: (-r[0], r[2]),
     )
     if not counts:
         return {}
-    shares = F.create_map(*[F.lit(x) for n, lang in counts for x in (lang, min(1.0, sample_rows / n))])
-    found = rows.filter(F.col("_at") < shares[F.col("lang")]).collect()
+    shares = F.create_map(*[F.lit(x) for _, texts, lang in counts for x in (lang, min(1.0, sample_rows / texts))])
+    start = F.floor(hash_order(F.col("_whole"), 9) * (F.greatest(F.length("_whole") - SAMPLE_CHARS, F.lit(0)) + 1)).cast("int") + 1
+    found = (
+        at.filter(F.col("_at") < shares[F.col("lang")])
+        .select("lang", "_at", F.col("_whole").substr(start, F.lit(SAMPLE_CHARS)).alias("text"))
+        .groupBy("lang", "_at").agg(F.min("text").alias("text")).collect()
+    )
     out = {}
-    for _, lang in counts:
+    for _, _, lang in counts:
         texts = [_plain(r["text"]) for r in sorted((r for r in found if r["lang"] == lang), key=lambda r: (r["_at"], r["text"]))]
         # copies teach nothing new
         joined = " ".join(dict.fromkeys(t for t in texts if t)).encode("utf-8", "replace")
@@ -141,7 +146,7 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected of each row; learned from rows that are not held out."""
     learn = F.col(id_col).isNotNull() & ~held_out(id_col)
-    found = fit_dictionaries(df, learn, text_col, lang_col, id_col)
+    found = fit_dictionaries(df, learn, text_col, lang_col)
     keep = [F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out")]
     return predict_language(df, found, text_col, keep)
 
@@ -151,7 +156,7 @@ def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Learned from all labelled rows. An empty table stays empty.
     """
-    found = fit_dictionaries(df, None, text_col, lang_col, id_col)
+    found = fit_dictionaries(df, None, text_col, lang_col)
     judged = predict_language(
         df.select(F.struct(*[df[c] for c in df.columns]).alias("_row"), df[text_col].alias("_t")), found, "_t", [F.col("_row")]
     )

@@ -36,3 +36,19 @@ def test_whole_texts_are_read(spark):
     df = spark.createDataFrame([(1, en * 40 + de * 4000)], "doc_id long, text string")
     words = {"en": (en * 60).encode(), "de": (de * 60).encode()}
     assert language.predict_language(df, words, "text", [F.col("doc_id")]).first().lang_pred == "de"
+
+
+def test_a_hot_text_counts_once_and_the_sample_is_bounded(spark):
+    hot = spark.range(3_000).select(F.lit("immer derselbe satz von vorn").alias("text"), F.lit("de").alias("lang"))
+    many = spark.range(4_000).select(F.concat(F.lit("text number "), F.sha2(F.col("id").cast("string"), 256)).alias("text"), F.lit("en").alias("lang"))
+    found = language.fit_dictionaries(hot.unionByName(many), sample_rows=50)
+    assert list(found) == ["en", "de"]
+    assert found["de"] == b"immer derselbe satz von vorn"
+    assert 20 < found["en"].count(b"text number") < 100
+
+
+def test_passages_come_from_anywhere_in_a_text(spark):
+    """Beginnings that are all alike don't fill the dictionary."""
+    df = spark.range(60).select(F.concat(F.repeat(F.lit("kopf "), 1_000), F.repeat(F.lit("rumpf "), 20_000), F.col("id").cast("string")).alias("text"), F.lit("de").alias("lang"))
+    found = language.fit_dictionaries(df)["de"]
+    assert found.count(b"rumpf") > found.count(b"kopf")
