@@ -15,11 +15,12 @@ from ..functions.distance import distance, distance_matrix, plus
 from ..plans.blocks import block_rows, join_blocks, matrix, pack
 from ..plans.cut import cut
 from ..plans.skew import attach
-from . import wide
+from . import farfield, wide
 from .result import LABEL, NOISE, ClusterResult
 
 CENTRE_VALUES = 1_000_000  # numbers in one chunk of the centre table
 CHUNK_SALTS = 64
+DIRECT_ROWS = 20_000  # rows up to which every pair is measured, whatever the columns
 
 
 def noise_summary(labels: DataFrame) -> DataFrame:
@@ -63,11 +64,16 @@ def silhouette_samples(
     skipped for a whole block when no row of it can have it as second-nearest:
     by convexity the mean distance to a cluster lies between the distance to
     its centre and the root of that squared plus the cluster's spread.
+
+    Many rows of one or two columns and few labels don't need all pairs: the sums over
+    rows that lie far away follow from their places (``farfield``).
     """
     stats = cut(cluster_stats(rows, f_cols)) if stats is None else stats
     sizes = stats.select(LABEL, "n")
     totals = sizes.agg(F.sum("n"), F.count(F.lit(1))).first()
     n, k = totals[0] or 0, totals[1]
+    if n > DIRECT_ROWS and len(f_cols) <= farfield.MOST_COLUMNS and 2 <= k <= farfield.MOST_LABELS:
+        return _by_sums(rows, id_col, f_cols, {r[LABEL]: r["n"] for r in sizes.collect()})
     per = block_rows(n)
     slots = sizes.withColumn("slots", F.ceil(F.col("n") / F.lit(per)).cast("long"))
     placed = attach(rows.select(id_col, LABEL, *f_cols), slots, [LABEL], "n", small_rows=k).withColumn(
@@ -111,6 +117,29 @@ def silhouette_samples(
     return per_row.select(F.col("id").alias(id_col), LABEL, "a", "b", s.alias("s"))
 
 
+def _by_sums(rows: DataFrame, id_col: str, f_cols: list[str], sizes: dict[int, int]) -> DataFrame:
+    """``silhouette_samples`` from the sums of distances to all rows of each label; ``sizes`` has few labels."""
+    labels = sorted(sizes)
+    n, k = np.array([sizes[c] for c in labels], float), len(labels)
+
+    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for ids, own, parts in zip(frame["ids"], frame[LABEL], frame["sums"]):
+                total = sum(matrix(p, k) for p in parts)
+                at, every = np.searchsorted(labels, own), np.arange(len(ids))
+                a = total[every, at] / np.maximum(n[at] - 1, 1)
+                mean = total / n
+                mean[every, at] = np.inf
+                b = mean.min(axis=1)
+                wider = np.maximum(a, b)
+                s = np.where((n[at] == 1) | (wider == 0), 0.0, (b - a) / np.where(wider == 0, 1.0, wider))
+                yield pd.DataFrame({id_col: ids, LABEL: own, "a": a, "b": b, "s": s})
+
+    kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in (id_col, LABEL)]
+    found = farfield.label_sums(rows, id_col, f_cols, labels)
+    return found.mapInPandas(score, ", ".join([*kinds, "a double", "b double", "s double"]))
+
+
 def _wanted_labels(packed: DataFrame, stats: DataFrame, dims: int, k: int) -> DataFrame:
     """For each block the labels that can matter to at least one of its rows.
 
