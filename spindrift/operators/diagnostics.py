@@ -93,13 +93,17 @@ def k_distance(
     k: int = 5,
     ignore_zero_distance: bool = True,
     metric: str = "euclidean",
+    allow_empty: bool = False,
 ) -> DataFrame:
-    """Sorted distances to the k-th nearest other row: ``sample_rank, k_distance``."""
+    """Sorted distances to the k-th nearest other row: ``sample_rank, k_distance``.
+
+    If every row has k copies, no distance above zero is left: ``ValueError``, or no rows with ``allow_empty``.
+    """
     near = kth_neighbour(df, id_col, f_cols, k, metric)
     if ignore_zero_distance:
         near = near.filter(F.col("k_distance") > 0)
     near = cut(near)
-    if near.isEmpty():
+    if not allow_empty and near.isEmpty():
         raise ValueError("no k-distance above zero remains")
     ranked = number_rows(near, [F.col("k_distance"), F.col(id_col)], "sample_rank", start=1)
     return ranked.select("sample_rank", "k_distance")
@@ -118,7 +122,8 @@ def kth_neighbour(df: DataFrame, id_col: str, f_cols: list[str], k: int, metric:
     """``id, k_distance``, exact.
 
     The k best rows of its own block give every row an upper bound. Blocks
-    whose boxes lie beyond the bound of a whole block are never joined.
+    whose boxes lie beyond the bound of a whole block are never joined, and of joined
+    blocks only rows within a row's bound of the other box are compared.
     """
     check_metric(metric)
     if k < 1:
@@ -149,11 +154,13 @@ def kth_neighbour(df: DataFrame, id_col: str, f_cols: list[str], k: int, metric:
     reach = F.sqrt(reach * 2.0) if metric == "cosine" else reach
     bounds = blocks.boxes.join(first.select("block", (reach * (1 + 1e-9)).alias("bound")), "block")
     box_metric = "manhattan" if metric == "manhattan" else "euclidean"
-    pairs = near_pairs(bounds, blocks.n_blocks, dims, "bound", box_metric).filter("a <> b")
+    # nothing is nearer than a copy
+    bounds = bounds.filter("bound > 0")
+    pairs = near_pairs(bounds, blocks.n_blocks, dims, "bound", box_metric, others=blocks.boxes).filter("a <> b")
 
     def closer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # lists of one row never share a neighbour: each pair of blocks is met once
-        block, ids, best, cap = None, None, None, None
+        block, ids, x, best, cap = None, None, None, None, None
 
         def flush():
             closer_than = best[:, 0] < cap
@@ -165,11 +172,16 @@ def kth_neighbour(df: DataFrame, id_col: str, f_cols: list[str], k: int, metric:
                 if a != block:
                     if block is not None:
                         yield flush()
-                    block, ids = a, ids_a
+                    block, ids, x = a, ids_a, matrix(x_a, dims)
                     cap = matrix(near_a, k)[:, -1]
                     best = np.full((len(ids), k), np.inf)
-                d = distance_matrix(matrix(x_a, dims), matrix(x_b, dims), metric)
-                best = _smallest(np.hstack([best, d]), k)
+                y, limit = matrix(x_b, dims), np.minimum(cap, best[:, -1])
+                some = _from_box(x, y, metric) < limit
+                if not some.any():
+                    continue
+                y = y[_from_box(y, x[some], metric) < limit[some].max()]
+                d = distance_matrix(x[some], y, metric)
+                best[some] = _smallest(np.hstack([best[some], d]), k)
         if block is not None:
             yield flush()
 
@@ -186,6 +198,15 @@ def kth_neighbour(df: DataFrame, id_col: str, f_cols: list[str], k: int, metric:
     return merged.select(F.col("id").alias(id_col), F.get("near", F.lit(k - 1)).alias("k_distance"))
 
 
+def _from_box(x: np.ndarray, y: np.ndarray, metric: str) -> np.ndarray:
+    """No more than the distance of each row of ``x`` from any row of ``y``, by the box of ``y``."""
+    gap = np.maximum(np.maximum(y.min(axis=0) - x, x - y.max(axis=0)), 0.0)
+    if metric == "manhattan":
+        return gap.sum(axis=1) * (1 - 1e-9)
+    square = (gap * gap).sum(axis=1)
+    return (square / 2 if metric == "cosine" else np.sqrt(square)) * (1 - 1e-9)
+
+
 def _smallest(d: np.ndarray, k: int) -> np.ndarray:
     """The k smallest of every row, ascending; padded with infinity."""
     if d.shape[1] < k:

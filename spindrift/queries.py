@@ -614,7 +614,7 @@ SELECT row_number() OVER (ORDER BY d, id) AS sample_rank, {R('d')} AS k_distance
 def k_distance(spark, sf):
     p = read(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
     spec = feat.fit_features(p, "p_partkey")
-    return rounded(diag.k_distance(spec.transform(p), "p_partkey", spec.f_cols, 5))
+    return rounded(diag.k_distance(spec.transform(p), "p_partkey", spec.f_cols, 5, allow_empty=True))
 
 
 @query(_kdist_sql(PARTS, 1, True))
