@@ -26,6 +26,7 @@ from ..plans.components import connected_components
 from ..plans.cut import cut, table
 from ..plans.numbering import number_rows
 from ..plans.skew import attach
+from .dense import block_components
 from .features import FeatureSpec, fit_features
 from .result import LABEL, NOISE, ClusterResult
 
@@ -35,6 +36,8 @@ PIVOTS = 6             # coordinates that are distances, if there are more colum
 SLOT_ROWS = 10_000     # rows of one cell that may meet in one task's group
 PAIR_ROWS = 4_096      # row pairs of two cells compared directly
 FEW_LOOKS = 10_000_000  # row pairs not worth a components run to save
+CROWD = 2              # rows of a cell, in the mean, below which cells of more columns than the levels hold are of no use
+BOX_COLUMNS = 24       # columns beyond which boxes decide nothing, and plans over their corners outgrow the driver
 SPLIT = 4              # a cell is cut into this many parts per column
 
 
@@ -214,6 +217,13 @@ def dbscan_labels(
 
 
 def _labels(rows: DataFrame, plane: _Plane, min_samples: int) -> DataFrame:
+    if plane.dims > BOX_COLUMNS:
+        return _numbered(block_components(rows, plane.cols, plane.eps, plane.metric, min_samples))
+    if plane.dims > GRID_DIMS * GRID_LEVELS:
+        shared = rows.select(_cell(plane, plane.side).alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+        seen = shared.agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("n")).first()
+        if seen["cells"] and seen["n"] < CROWD * seen["cells"]:
+            return _numbered(block_components(rows, plane.cols, plane.eps, plane.metric, min_samples))
     placed = rows.select("id", *plane.cols, _cell(plane, plane.side).alias("cell"))
     grid = [F.floor(F.min(c) / plane.side).cast("long").alias(f"k_{i}") for i, c in enumerate(plane.cols)]
     cells = cut(placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *plane.box(), *grid))
