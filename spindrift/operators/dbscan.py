@@ -496,9 +496,10 @@ def dbscan_pairs(ids: DataFrame, pairs: DataFrame, eps: float, min_samples: int)
     A pair may be given one way or both ways; every id is its own neighbour.
     """
     _check(eps, min_samples)
-    near = pairs.filter((F.col("distance") <= eps) & (F.col("a") != F.col("b"))).select("a", "b")
-    near = cut(near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    degree = near.groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    near = pairs.filter((F.col("distance") <= eps) & (F.col("a") != F.col("b")))
+    # each pair one way; the other way only where it is asked for
+    near = cut(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    degree = near.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     nodes = cut(
         ids.select("id").join(degree, "id", "left")
         .select("id", F.coalesce("n", F.lit(0)).alias("n"))
@@ -507,11 +508,13 @@ def dbscan_pairs(ids: DataFrame, pairs: DataFrame, eps: float, min_samples: int)
     a_side = nodes.select(F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("core").alias("a_core"))
     b_side = nodes.select(F.col("id").alias("b"), F.col("n").alias("b_n"), F.col("core").alias("b_core"))
     flagged = cut(attach(attach(near, a_side, ["a"], "a_n"), b_side, ["b"], "b_n"))
-    linked = flagged.filter("a_core AND b_core AND a < b").select("a", "b")
+    linked = flagged.filter("a_core AND b_core").select("a", "b")
     comps = connected_components(linked)
     core = nodes.filter("core").join(comps.withColumnRenamed("node", "id"), "id", "left")
     core = cut(core.select("id", "n", F.coalesce("comp", "id").alias("comp")))
-    reached = flagged.filter("NOT a_core AND b_core").select(F.col("a").alias("id"), F.col("b"))
+    reached = flagged.filter("a_core <> b_core").select(
+        F.expr("if(a_core, b, a)").alias("id"), F.expr("if(a_core, a, b)").alias("b")
+    )
     heads = core.select(F.col("id").alias("b"), "comp", "n")
     border = attach(reached, heads, ["b"], "n").groupBy("id").agg(F.min("comp").alias("comp"))
     rest = nodes.filter(~F.col("core")).select("id").join(border, "id", "left")

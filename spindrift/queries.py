@@ -506,6 +506,24 @@ def approximate_median(spark, sf):
     return rank.select("n", ((F.abs(F.col("_r") - 0.5) < 0.01) & F.col("_one")).alias("close"))
 
 
+PAIR_SLOTS = 32
+PAIR_TASKS = 96  # given, since few rows in make very many pairs out and would be left to one task
+
+
+def near_pairs(f, most):
+    """``a, b, distance`` of rows ``id, f_0, f_1`` in neighbouring squares of side ``most``, a < b; one side of a square is dealt over slots."""
+    squares = [F.floor(F.col(c) / most) for c in ("f_0", "f_1")]
+    moves = F.array(*[F.struct((squares[0] + i).alias("x"), (squares[1] + j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    a = f.select(F.col("id").alias("a"), F.col("f_0").alias("a0"), F.col("f_1").alias("a1"),
+                 F.pmod(F.xxhash64("id"), F.lit(PAIR_SLOTS)).alias("slot"), F.explode(moves).alias("at"))
+    b = f.select(F.col("id").alias("b"), F.col("f_0").alias("b0"), F.col("f_1").alias("b1"),
+                 F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PAIR_SLOTS - 1).cast("long"))).alias("slot"),
+                 F.struct(squares[0].alias("x"), squares[1].alias("y")).alias("at"))
+    gap = F.sqrt((F.col("a0") - F.col("b0")) ** 2 + (F.col("a1") - F.col("b1")) ** 2)
+    a, b = (side.repartition(PAIR_TASKS, "at", "slot") for side in (a, b))
+    return a.join(b, ["at", "slot"]).filter(F.col("a") < F.col("b")).select("a", "b", gap.alias("distance"))
+
+
 # -- DBSCAN -----------------------------------------------------------------
 
 SUPPLIERS = scaled_sql("supplier", "s_suppkey", ["s_acctbal", "s_nationkey"])
@@ -566,13 +584,7 @@ def dbscan_profile(spark, sf):
 def dbscan_precomputed(spark, sf):
     s = read(spark, sf, "supplier").select("s_suppkey", "s_acctbal", "s_nationkey")
     f = feat.fit_features(s, "s_suppkey").transform(s)
-    # near pairs through strips of the first feature
-    strip = F.floor(F.col("f_0") / 0.3)
-    a = f.select(F.col("s_suppkey").alias("a"), F.col("f_0").alias("a0"), F.col("f_1").alias("a1"),
-                 F.explode(F.array(strip - 1, strip, strip + 1)).alias("strip"))
-    b = f.select(F.col("s_suppkey").alias("b"), F.col("f_0").alias("b0"), F.col("f_1").alias("b1"), strip.alias("strip"))
-    gap = F.sqrt((F.col("a0") - F.col("b0")) ** 2 + (F.col("a1") - F.col("b1")) ** 2)
-    pairs = a.join(b, "strip").filter(F.col("a") < F.col("b")).select("a", "b", gap.alias("distance")).filter("distance <= 0.3")
+    pairs = near_pairs(f.withColumnRenamed("s_suppkey", "id"), 0.3).filter("distance <= 0.3")
     return db.dbscan_pairs(s.select(F.col("s_suppkey").alias("id")), pairs, 0.3, 4).withColumnRenamed("id", "s_suppkey")
 
 
@@ -920,11 +932,7 @@ def user_pairs(spark, sf, most):
     """Users, and the pairs of them up to a distance, each once."""
     u = users(spark, sf)
     f = feat.fit_features(u, "id").transform(u)
-    step = F.floor(F.col("f_0") / most)
-    a = f.select(F.col("id").alias("a"), F.col("f_0").alias("a0"), F.col("f_1").alias("a1"), F.explode(F.array(step - 1, step, step + 1)).alias("strip"))
-    b = f.select(F.col("id").alias("b"), F.col("f_0").alias("b0"), F.col("f_1").alias("b1"), step.alias("strip"))
-    gap = F.sqrt((F.col("a0") - F.col("b0")) ** 2 + (F.col("a1") - F.col("b1")) ** 2)
-    pairs = a.join(b, "strip").filter(F.col("a") < F.col("b")).select("a", "b", gap.alias("distance")).filter(F.col("distance") <= most)
+    pairs = near_pairs(f, most).filter(F.col("distance") <= most)
     return u.select("id"), pairs
 
 
