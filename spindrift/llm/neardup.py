@@ -13,6 +13,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,9 @@ AGREE = 0.66  # share of agreeing registers below which a pair isn't verified: o
 STARS = 4  # rounds at most in which a bucket's texts are compared with one of them
 FEW = 20  # comparisons a text in a bucket from which all the rest are made at once
 TILE = 512  # texts of a bucket that are held against as many others at once
+TILE_CHARS = 4_000_000  # of them, unless one text alone is longer
 TASK_TEXTS = 10_000  # registers and bands that a task of such comparisons reads, about 4 MB
+TASK_CHARS = 16_000_000  # of texts that a task of exact comparisons reads
 WORDS_AT_ONCE = 200_000
 CACHED_WORDS = 300_000
 CACHED_SETS = 1_000
@@ -115,7 +118,7 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 
 
 def _sketch(df: DataFrame) -> DataFrame:
-    """doc_id, content (digest of the shingles and counts), bands, marks (a byte of each register) of each row of (doc_id, text)."""
+    """doc_id, content (digest of the shingles and counts), bands, marks (a byte of each register), size of each row of (doc_id, text)."""
     registers = BANDS * ROWS
 
     def bands_of(found):
@@ -129,7 +132,7 @@ def _sketch(df: DataFrame) -> DataFrame:
         shingle = Shingler()
         for batch in batches:
             texts, n = batch.column(1), batch.num_rows
-            content, bands, marks, waiting, size = [None] * n, [None] * n, [None] * n, [], 0
+            content, bands, marks, chars, waiting, size = [None] * n, [None] * n, [None] * n, [0] * n, [], 0
 
             def flush(waiting):
                 if waiting:
@@ -142,6 +145,7 @@ def _sketch(df: DataFrame) -> DataFrame:
                 s = shingle(text)
                 data = s[0].tobytes() + s[1].tobytes() if len(s[0]) else b"text" + text.encode("utf-8", "replace")
                 content[i] = hashlib.blake2b(data, digest_size=16).digest()
+                chars[i] = len(text)
                 if len(s[0]):
                     waiting.append((i, s))
                     size += len(s[0])
@@ -150,12 +154,12 @@ def _sketch(df: DataFrame) -> DataFrame:
                         waiting, size = [], 0
             flush(waiting)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(content, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
-                names=["doc_id", "content", "bands", "marks"],
+                [batch.column(0), pa.array(content, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary()), pa.array(chars, pa.int64())],
+                names=["doc_id", "content", "bands", "marks", "size"],
             )
 
     kind = df.schema["doc_id"].dataType.simpleString()
-    return df.mapInArrow(run, f"doc_id {kind}, content binary, bands array<bigint>, marks binary")
+    return df.mapInArrow(run, f"doc_id {kind}, content binary, bands array<bigint>, marks binary, size bigint")
 
 
 def _agreeing(pairs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -206,20 +210,48 @@ def _similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, f"a {kind}, b {kind}, similarity double")
 
 
-def _plausible(rest: DataFrame, sketch: DataFrame, step: float) -> DataFrame:
-    """Pairs (a, b) of different classes in ``rest(bucket, doc_id, comp, _d)`` that may be links.
+def _agree(bucket: int, a: tuple, b: tuple, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places i, j of the pairs in ``ok`` that may be similar enough, and how many registers agree.
+
+    ``a`` and ``b`` are marks and bands. A pair counts in the first bucket that it shares.
+    """
+    (marks_a, bands_a), (marks_b, bands_b) = a, b
+    for j in range(int(np.flatnonzero((bands_a == bucket).any(axis=0))[0])):
+        ok &= bands_a[:, j, None] != bands_b[None, :, j]
+    i, j = np.nonzero(ok)
+    agree = np.zeros(len(i), np.int64)
+    for lo in range(0, len(i), 1 << 15):
+        cut = slice(lo, lo + (1 << 15))
+        agree[cut] = (marks_a[i[cut]] == marks_b[j[cut]]).sum(axis=1)
+    enough = agree >= AGREE * BANDS * ROWS
+    return i[enough], j[enough], agree[enough]
+
+
+def _sketches(marks: pa.Array, bands: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return (
+        np.frombuffer(b"".join(marks.to_pylist()), np.uint8).reshape(-1, BANDS * ROWS),
+        bands.flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS),
+    )
+
+
+def _links(rest: DataFrame, sketch: DataFrame, texts: DataFrame, step: float, least: float) -> DataFrame:
+    """Links (a, b) between the classes of ``rest(bucket, doc_id, comp, _d)``, enough to connect all that are linked.
 
     Buckets are cut into tiles of neighbouring distances ``_d`` to the first centre, and tiles are held against
     each other. A pair counts in the first bucket that it shares, if its distances differ by ``step`` at most
-    and so many registers agree that it may be similar enough; only such pairs become rows.
+    and so many registers agree that it may be similar enough. Such pairs never become rows: a text of one goes to the
+    task of its two tiles, once, and there pairs are verified until their classes are connected.
     """
     binned = rest.withColumn("_bin", F.floor(F.col("_d") / F.lit(step)))
-    sizes = binned.groupBy("bucket", "_bin").agg(F.ceil(F.count(F.lit(1)) / F.lit(TILE)).alias("_tiles"))
-    placed = binned.join(sizes, ["bucket", "_bin"]).withColumn("_tile", F.pmod(F.xxhash64("doc_id"), F.col("_tiles")))
-    member = F.struct("doc_id", "comp", "_d", "marks", "bands")
-    tiles = table(
-        placed.join(sketch, "doc_id").groupBy("bucket", "_bin", "_tile").agg(F.array_sort(F.collect_list(member)).alias("m"))
+    of_text = sketch.select("doc_id", "marks", "bands", "size")
+    # of an id with different texts only those that fall into the bucket
+    binned = binned.join(of_text, "doc_id").filter(F.array_contains("bands", F.col("bucket")))
+    sizes = binned.groupBy("bucket", "_bin").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(TILE)), F.ceil(F.sum("size") / F.lit(TILE_CHARS)), F.lit(1)).alias("_tiles")
     )
+    placed = binned.join(sizes, ["bucket", "_bin"]).withColumn("_tile", F.pmod(F.xxhash64("doc_id"), F.col("_tiles")))
+    member = F.struct("doc_id", "comp", "_d", "marks", "bands", "size")
+    tiles = table(placed.groupBy("bucket", "_bin", "_tile").agg(F.array_sort(F.collect_list(member)).alias("m")))
     key = F.struct(F.col("_bin"), F.col("_tile"))
     at = tiles.select("bucket", key.alias("ka"), F.size("m").alias("na"), F.explode(F.array(F.col("_bin"), F.col("_bin") + 1)).alias("_next"))
     other = tiles.select("bucket", F.col("_bin").alias("_next"), key.alias("kb"), F.size("m").alias("nb"))
@@ -231,34 +263,75 @@ def _plausible(rest: DataFrame, sketch: DataFrame, step: float) -> DataFrame:
     )
 
     def parts(m):
-        f = {name: m.field(name) for name in ("doc_id", "comp", "_d", "marks", "bands")}
-        marks = np.frombuffer(b"".join(f["marks"].to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
-        bands = f["bands"].flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
-        return f["doc_id"], np.array(f["comp"].to_pylist()), f["_d"].to_numpy(zero_copy_only=False), marks, bands
+        f = {name: m.field(name) for name in ("comp", "_d", "marks", "bands")}
+        return np.array(f["comp"].to_pylist()), f["_d"].to_numpy(zero_copy_only=False), _sketches(f["marks"], f["bands"])
 
-    def run(batches):
+    def meet(batches):
         for batch in batches:
-            for bucket, one, two in zip(batch.column("bucket").to_pylist(), batch.column("a"), batch.column("b")):
-                ids_a, comp_a, d_a, marks_a, bands_a = parts(one.values)
-                ids_b, comp_b, d_b, marks_b, bands_b = parts(two.values)
+            rows, a, b = [], [], []
+            at = (batch.column(c).to_pylist() for c in ("bucket", "ka", "kb"))
+            for row, (bucket, ka, kb, one, two) in enumerate(zip(*at, batch.column("a"), batch.column("b"))):
+                comp_a, d_a, marks_a = parts(one.values)
+                comp_b, d_b, marks_b = parts(two.values)
                 ok = (comp_a[:, None] != comp_b[None, :]) & (np.abs(d_a[:, None] - d_b[None, :]) <= step)
-                # pairs of the buckets before this one have been counted there
-                for j in range(int(np.flatnonzero(bands_a[0] == bucket)[0])):
-                    ok &= bands_a[:, j, None] != bands_b[None, :, j]
-                i, j = np.nonzero(ok)
-                agree = np.zeros(len(i), bool)
-                for lo in range(0, len(i), 1 << 15):
-                    cut = slice(lo, lo + (1 << 15))
-                    agree[cut] = (marks_a[i[cut]] == marks_b[j[cut]]).sum(axis=1) >= AGREE * BANDS * ROWS
-                i, j = i[agree], j[agree]
+                # members are in the order of their ids
+                i, j, _ = _agree(bucket, marks_a, marks_b, np.triu(ok, 1) if ka == kb else ok)
                 if len(i):
-                    yield pa.RecordBatch.from_arrays([ids_a.take(pa.array(i)), ids_b.take(pa.array(j))], names=["x", "y"])
-
-    kind = rest.schema["doc_id"].dataType.simpleString()
+                    rows.append(row)
+                    for found, k, m in ((a, i, one.values), (b, j, two.values)):
+                        found.append(m.take(pa.array(np.unique(k))).to_pylist())
+            if rows:
+                of_row = batch.select(["bucket", "ka", "kb"]).take(pa.array(rows))
+                kind = batch.schema.field("a").type
+                yield pa.RecordBatch.from_arrays([*of_row.columns, pa.array(a, kind), pa.array(b, kind)], names=["bucket", "ka", "kb", "a", "b"])
+
+    kind = {c.name: c.dataType.simpleString() for c in both.schema.fields}
     # rows are large here, so tasks are given few
-    both = both.select("bucket", "a", "b").repartition(max(1, size // TASK_TEXTS))
-    found = both.mapInArrow(run, f"x {kind}, y {kind}")
-    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    both = both.select("bucket", "ka", "kb", "a", "b").repartition(max(1, size // TASK_TEXTS))
+    met = table(both.mapInArrow(meet, ", ".join(f"{c} {kind[c]}" for c in ("bucket", "ka", "kb", "a", "b"))))
+    side = lambda s: F.transform(s, lambda m: F.struct(F.lit(s).alias("side"), *[m[c].alias(c) for c in ("doc_id", "comp", "marks", "bands", "size")]))
+    asked = table(met.select("bucket", "ka", "kb", F.inline(F.concat(side("a"), side("b")))))
+    chars = asked.agg(F.sum("size")).first()[0] or 0
+    asked_texts = texts.join(asked.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    tile_pair = ["bucket", "ka", "kb"]
+    whole = asked.drop("size").join(asked_texts, "doc_id").repartition(1 + chars // TASK_CHARS, *tile_pair)
+
+    def verify(key, rows):
+        t = rows.combine_chunks()
+        sides = [t.filter(pc.equal(t.column("side"), s)) for s in "ab"]
+        (ids_a, comp_a, texts_a), (ids_b, comp_b, texts_b) = ([t.column(c).to_pylist() for c in ("doc_id", "comp", "text")] for t in sides)
+        marks_a, marks_b = (_sketches(t.column("marks").combine_chunks(), t.column("bands").combine_chunks()) for t in sides)
+        ok = np.array(comp_a)[:, None] != np.array(comp_b)[None, :]
+        if key[1] == key[2]:
+            ok &= np.array(ids_a)[:, None] < np.array(ids_b)[None, :]
+        i, j, agree = _agree(key[0].as_py(), marks_a, marks_b, ok)
+        root = {c: c for c in {*comp_a, *comp_b}}
+
+        def find(c):
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        shingle, known_a, known_b = Shingler(), {}, {}
+
+        def of(known, texts, k):
+            if k not in known:
+                known[k] = shingle(texts[k])
+            return known[k]
+
+        a, b = [], []
+        # the likeliest first, since connected classes need no more links
+        for k in np.argsort(-agree, kind="stable"):
+            x, y = int(i[k]), int(j[k])
+            u, v = find(comp_a[x]), find(comp_b[y])
+            if u != v and probability_jaccard(of(known_a, texts_a, x), of(known_b, texts_b, y)) >= least:
+                root[u] = v
+                a.append(min(ids_a[x], ids_b[y])), b.append(max(ids_a[x], ids_b[y]))
+        kind = t.schema.field("doc_id").type
+        return pa.table({"a": pa.array(a, kind), "b": pa.array(b, kind)})
+
+    id_kind = rest.schema["doc_id"].dataType.simpleString()
+    return whole.groupBy(*tile_pair).applyInArrow(verify, f"a {id_kind}, b {id_kind}")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -288,7 +361,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     members = table(one.join(shared.select("bucket"), "bucket"))
     texts = table(rows.join(members.select("doc_id").distinct(), "doc_id", "left_semi"))
 
-    marks = table(sketch.join(texts.select("doc_id"), "doc_id", "left_semi").select("doc_id", "marks", "bands").dropDuplicates(["doc_id"]))
+    marks = table(sketch.filter("bands IS NOT NULL").join(texts.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "content"]).drop("content"))
     links, labels, far = None, table(members.select("doc_id").distinct().withColumn("comp", F.col("doc_id"))), None
     pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
     for turn in range(STARS + 1):
@@ -305,18 +378,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         rest = classed.join(open_.select("bucket", "_all"), "bucket")
         last = turn > 0 and (turn == STARS or left["p"] <= FEW * left["m"])
         if last:
-            pairs = _plausible(rest.join(far, ["bucket", "doc_id"]).select("bucket", "doc_id", "comp", "_d"), marks, 1.0 - least + 1e-9)
-        else:
-            order = hash_order(F.col("doc_id"), turn)
-            if turn == 0:
-                met = rest.groupBy("doc_id").agg(F.sum("_all").alias("_met"))
-                rest, order = rest.join(met, "doc_id"), -F.col("_met")
-            drawn = F.min(F.struct(order.alias("_at"), F.col("doc_id").alias("c"), F.col("comp").alias("_cc")))
-            centre = table(rest.groupBy("bucket").agg(drawn.alias("_c")).select("bucket", "_c.c", "_c._cc"))
-            beside = rest.join(centre, "bucket")
-            pairs = beside.filter("comp <> _cc").select(*pair("doc_id", "c"))
+            found = table(_links(rest.join(far, ["bucket", "doc_id"]).select("bucket", "doc_id", "comp", "_d"), marks, texts, 1.0 - least + 1e-9, least))
+            links = links.unionByName(found)
+            break
+        order = hash_order(F.col("doc_id"), turn)
+        if turn == 0:
+            met = rest.groupBy("doc_id").agg(F.sum("_all").alias("_met"))
+            rest, order = rest.join(met, "doc_id"), -F.col("_met")
+        drawn = F.min(F.struct(order.alias("_at"), F.col("doc_id").alias("c"), F.col("comp").alias("_cc")))
+        centre = table(rest.groupBy("bucket").agg(drawn.alias("_c")).select("bucket", "_c.c", "_c._cc"))
+        beside = rest.join(centre, "bucket")
+        pairs = beside.filter("comp <> _cc").select(*pair("doc_id", "c"))
         pairs = table(pairs.distinct())
-        found = table(_similarities(_agreeing(pairs, marks) if turn and not last else pairs, texts))
+        found = table(_similarities(_agreeing(pairs, marks) if turn else pairs, texts))
         if turn == 0:
             known = found.select("a", "b", (1 - F.col("similarity")).alias("_d"))
             far = table(
@@ -325,8 +399,6 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             )
         found = found.filter(F.col("similarity") >= least).select("a", "b")
         links = found if links is None else links.unionByName(found)
-        if last:
-            break
         # a cheap step towards classes, enough to see what need not be compared; the exact classes come at the end
         ends = found.join(labels.select(F.col("doc_id").alias("a"), F.col("comp").alias("la")), "a").join(
             labels.select(F.col("doc_id").alias("b"), F.col("comp").alias("lb")), "b"

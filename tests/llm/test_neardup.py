@@ -72,6 +72,48 @@ def test_classes_equal_those_of_all_pairs(spark, monkeypatch, few):
     assert got == want
 
 
+def test_texts_that_are_only_somewhat_alike_make_no_pairs(spark, monkeypatch):
+    # copies at a similarity of about 0.76, most of them too far from each other for a link
+    n, base, texts = 100, words(300, 1), []
+    for k in range(n):
+        copy, rng = list(base), random.Random(k)
+        for at in rng.sample(range(10), 4):
+            copy[30 * at + rng.randrange(5, 25)] = f"x{k}"
+        texts.append((k, " ".join(copy)))
+    made, similarities = [], nd._similarities
+
+    def counted(pairs, *args):
+        made.append(pairs.count())
+        return similarities(pairs, *args)
+
+    monkeypatch.setattr(nd, "_similarities", counted)
+    df = spark.createDataFrame([Row(doc_id=i, text=t) for i, t in texts], "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in nd.near_duplicates(df).collect()} == classes(texts)
+    assert sum(made) < 20 * n, made
+
+
+@pytest.mark.parametrize("tile", [512, 3])
+def test_ids_with_different_texts(spark, monkeypatch, tile):
+    monkeypatch.setattr(nd, "FEW", 10**6)
+    monkeypatch.setattr(nd, "TILE", tile)
+    texts = []
+    for family in range(2):
+        base = words(200, family)
+        for k in range(9):
+            copy, rng = list(base), random.Random(10 * family + k)
+            for _ in range(3):
+                copy[rng.randrange(200)] = f"x{k}"
+            texts.append((10 * family + k, " ".join(copy)))
+    # one id has a text of each family, so its class is the smaller one of theirs
+    rows = texts + [(50, texts[0][1] + " end"), (50, texts[9][1] + " end")]
+    df = spark.createDataFrame([Row(doc_id=i, text=t) for i, t in rows], "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in nd.near_duplicates(df).collect()}
+    apart = classes(texts)
+    joined = {apart[0], apart[10]} if 10 in apart else {apart[0]}
+    assert got[50] == min(joined)
+    assert all(got[i] == (min(joined) if apart[i] in joined else apart[i]) for i, _ in texts)
+
+
 def test_given_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = {r.doc_id: r.class_id for r in nd.near_duplicates(df).collect()}
