@@ -39,6 +39,7 @@ LINKAGES = ("ward", "complete", "average", "single")
 MEMBER_ROWS = 256      # rows of one cluster in one block
 BLOCK_ROWS = 512       # clusters in one block
 LAST_CLUSTERS = 128    # so few are merged to the end by one task
+LAST_EXACT = 8         # times as many, where distances follow from the centres and none is measured on rows
 PAIR_ROWS = 3_000      # different rows up to which all distances are measured once and kept
 MERGE_ROW = (
     "winner long, loser long, left_key long, right_key long, height double, size long, round int, seq long"
@@ -309,7 +310,7 @@ class _Rounds:
 
     def run(self) -> DataFrame | None:
         done, round_no, left = None, 0, self.state.count()
-        while left > LAST_CLUSTERS:
+        while left > LAST_CLUSTERS * (LAST_EXACT if self.exact else 1):
             round_no += 1
             nearest = cut(self.nearest(left))
             merges = cut(merged_rows(mutual_pairs(nearest), self.state, round_no))
@@ -327,7 +328,7 @@ class _Rounds:
         return cut(done.withColumn("height", F.col("height") ** 2 / 2) if self.halve else done)
 
     def last_merges(self, round_no: int) -> DataFrame:
-        """All merges among the at most ``LAST_CLUSTERS`` clusters that remain.
+        """All merges among the at most ``LAST_CLUSTERS`` clusters that remain (``LAST_EXACT`` times as many by centres).
 
         Their distances are one small matrix, measured on the rows by Spark
         where the centres do not give them. One task then merges to the end,

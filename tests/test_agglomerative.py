@@ -98,3 +98,19 @@ def test_bad_parameters(spark):
     zero = frame(spark, np.array([[0.0, 0.0], [1.0, 2.0]]))
     with pytest.raises(ValueError):
         agg.merge_tree(zero, "id", ["f_0", "f_1"], "average", "cosine")
+
+
+@pytest.mark.parametrize("linkage,metric", [("ward", "euclidean"), ("average", "cosine")])
+def test_late_rounds_by_centres_are_one_task(spark, monkeypatch, linkage, metric):
+    monkeypatch.setattr(agg, "PAIR_ROWS", 0)
+    x = np.random.default_rng(3).normal(0, 1, (300, 2)).round(6)
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, f_0 double, f_1 double")
+    rounds, absorb = [], agg._Rounds.absorb
+    monkeypatch.setattr(agg._Rounds, "absorb", lambda self, merges, left: (rounds.append(left), absorb(self, merges, left)))
+    got = agg.linkage_table(df, "id", ["f_0", "f_1"], linkage, metric).toPandas().sort_values("merge_id")
+    assert not rounds
+    monkeypatch.setattr(agg, "LAST_EXACT", 1)
+    want = agg.linkage_table(df, "id", ["f_0", "f_1"], linkage, metric).toPandas().sort_values("merge_id")
+    assert rounds
+    assert np.allclose(got["distance"], want["distance"], atol=1e-9)
+    assert got[["left_id", "right_id", "size"]].values.tolist() == want[["left_id", "right_id", "size"]].values.tolist()
