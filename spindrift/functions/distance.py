@@ -7,6 +7,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 METRICS = ("euclidean", "manhattan", "cosine")
+FEW_COLUMNS = 4  # up to which differences cost no more than a matrix product
+STRIP = 128
+NEAR_SHARE = 1e-6  # of the squared lengths; beyond, a matrix product keeps nine digits of a distance
 
 
 def check_metric(metric: str) -> str:
@@ -100,3 +103,39 @@ def distance_matrix(x: np.ndarray, y: np.ndarray, metric: str, blocks: int = 0)
         out[~x.any(axis=1), :] = 1.0
         out[:, ~y.any(axis=1)] = 1.0
     return out
+
+
+def distance_sums(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the Euclidean distances of each row of ``x`` to all of ``y``, and the other way round.
+
+    Distances of many columns come from a matrix product, in strips that stay in a processor's cache. It blurs pairs that
+    lie near each other for their length; those are measured by their differences, as ``distance_matrix`` does, so that
+    equal rows are exactly 0 apart.
+    """
+    if x.shape[1] <= FEW_COLUMNS:
+        d = distance_matrix(x, y, "euclidean")
+        return d.sum(axis=1), d.sum(axis=0)
+    centre = x.mean(axis=0)
+    a, b = x - centre, y - centre
+    aa, bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    least = NEAR_SHARE * (aa.max() + bb.max())
+    a = np.column_stack([-2.0 * a, aa, np.ones(len(a))])
+    b = np.column_stack([b, np.ones(len(b)), bb]).T
+    to_x, to_y = np.empty(len(x)), np.zeros(len(y))
+    strip = np.empty((STRIP, len(y)))
+    for lo in range(0, len(x), STRIP):
+        part = x[lo : lo + STRIP]
+        d = np.matmul(a[lo : lo + STRIP], b, out=strip[: len(part)])
+        # so written that NaN and infinite values are among the near ones
+        if not d.min() >= least:
+            near = np.flatnonzero(~(d >= least))
+            if len(near) > d.size / 32:
+                d = distance_matrix(part, y, "squared")
+            else:
+                i, j = np.divmod(near, len(y))
+                gap = part[i] - y[j]
+                d.ravel()[near] = (gap * gap).sum(axis=1)
+        np.sqrt(d, out=d)
+        to_x[lo : lo + STRIP] = d.sum(axis=1)
+        to_y += d.sum(axis=0)
+    return to_x, to_y

@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.distance import distance, distance_matrix, plus
+from ..functions.distance import distance, distance_matrix, distance_sums, plus
 from ..plans.blocks import block_rows, join_blocks, matrix, pack
 from ..plans.cut import cut
 from ..plans.skew import attach
@@ -20,6 +21,10 @@ from .result import LABEL, NOISE, ClusterResult
 
 CENTRE_VALUES = 1_000_000  # numbers in one chunk of the centre table
 CHUNK_SALTS = 64
+GROUP_VALUES = 4_000_000  # numbers of a group of blocks, two of which a task holds
+GROUP_ROWS, LEAST_GROUPS = 2_048, 16  # groups there are at least, up to 16 of them: one for so many rows
+MOST_TASKS = 4_096
+MANY_BLOCKS = 4_096  # beyond, blocks of under 64 rows meet pair by pair
 DIRECT_ROWS = 20_000  # rows up to which every pair is measured, whatever the columns
 
 
@@ -59,8 +64,8 @@ def silhouette_samples(
 ) -> DataFrame:
     """Exact Euclidean silhouette: ``id, cluster_label, a, b, s``.
 
-    Rows are packed by label into blocks of bounded size and Spark joins block
-    to block; one partial sum per row and label leaves the kernel. A label is
+    Rows are packed by label into blocks of bounded size, which meet group
+    by group; one partial sum per row and label leaves the kernel. A label is
     skipped for a whole block when no row of it can have it as second-nearest:
     by convexity the mean distance to a cluster lies between the distance to
     its centre and the root of that squared plus the cluster's spread.
@@ -81,26 +86,14 @@ def silhouette_samples(
     )
     packed = cut(pack(placed, [LABEL, "slot"], id_col, f_cols))
     dims = len(f_cols)
-    data = packed.select(F.struct(LABEL, "slot").alias("block"), "ids", "x")
     wanted = _wanted_labels(packed, stats, dims, k)
-    targets = slots.select(F.col(LABEL).alias("to"), "slots")
-    wanted = wanted.join(F.broadcast(targets) if k <= 50_000 else targets, "to")
-    pairs = wanted.select(
-        F.struct(LABEL, "slot").alias("a"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("_to"),
-        "to",
-    ).select("a", F.struct(F.col("to").alias(LABEL), F.col("_to").alias("slot")).alias("b"))
-
+    n_blocks = slots.agg(F.sum("slots")).first()[0] or 0
     id_type = rows.schema[id_col].dataType.simpleString()
-
-    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for b, ids_a, x_a, x_b in zip(frame["b"], frame["ids_a"], frame["x_a"], frame["x_b"]):
-                d = distance_matrix(matrix(x_a, dims), matrix(x_b, dims), "euclidean")
-                yield pd.DataFrame({"id": ids_a, "to": b[LABEL], "d": d.sum(axis=1)})
-
-    joined = join_blocks(pairs, data, data.drop("ids")).select("b", "ids_a", "x_a", "x_b")
-    parts = joined.mapInPandas(sums, f"id {id_type}, to int, d double")
+    if n_blocks <= MANY_BLOCKS or n_blocks * 64 <= n:
+        groups = max(min(LEAST_GROUPS, -(-n // GROUP_ROWS)), -(-n * dims // GROUP_VALUES), 1)
+        parts = _sums_by_groups(packed, wanted, dims, groups, id_type)
+    else:
+        parts = _sums_by_blocks(packed, wanted, slots, k, dims, id_type)
     per_label = parts.groupBy("id", "to").agg(F.sum("d").alias("d"))
     own = rows.select(F.col(id_col).alias("id"), LABEL)
     means = per_label.join(own, "id")
@@ -117,6 +110,82 @@ def silhouette_samples(
     return per_row.select(F.col("id").alias(id_col), LABEL, "a", "b", s.alias("s"))
 
 
+def _sums_by_groups(packed: DataFrame, wanted: DataFrame, dims: int, groups: int, id_type: str) -> DataFrame:
+    """``id, to, d``: the sum of each row's distances to the rows of each wanted label.
+
+    Blocks are dealt over groups and each two groups meet in a task, so a row travels once a group and not once a
+    pair of blocks. A pair of blocks is measured once for both its sides; a block's sums of a label leave as one array.
+    """
+    asked = wanted.groupBy(LABEL, "slot").agg(F.collect_set("to").alias("want"))
+    group = F.pmod(F.xxhash64(LABEL, "slot"), F.lit(groups))
+    blocks = packed.drop("ids").join(asked, [LABEL, "slot"]).withColumn("_g", group)
+    every = F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))
+    dealt = blocks.withColumn("_h", F.explode(every)).select(
+        F.least("_g", "_h").alias("ga"), F.greatest("_g", "_h").alias("gb"), "_g", LABEL, "slot", "x", "want"
+    )
+
+    def meet(key, table):
+        t = table.combine_chunks()
+        group, label, slot, want = (t.column(c).to_pylist() for c in ("_g", LABEL, "slot", "want"))
+        x = [matrix(row.values.to_numpy(zero_copy_only=False), dims) for row in t.column("x")]
+        ga, gb = (k.as_py() for k in key)
+        want, one, two = [set(w) for w in want], {}, {}
+        for i, g in enumerate(group):
+            for side, of in ((ga, one), (gb, two)):
+                if g == side:
+                    of.setdefault(label[i], []).append(i)
+        met = {(i, j) for c in one for i in one[c] for to in want[i] & two.keys() for j in two[to]}
+        met |= {(i, j) for c in two for j in two[c] for to in want[j] & one.keys() for i in one[to]}
+        if ga == gb:
+            met = {(min(p), max(p)) for p in met}
+        sums = {}
+        for i, j in sorted(met):
+            of_i, of_j = distance_sums(x[i], x[j])
+            if label[j] in want[i]:
+                sums[i, label[j]] = sums.get((i, label[j]), 0.0) + of_i
+            if i != j and label[i] in want[j]:
+                sums[j, label[i]] = sums.get((j, label[i]), 0.0) + of_j
+        return pa.table({
+            LABEL: pa.array([label[i] for i, _ in sums], pa.int32()), "slot": pa.array([slot[i] for i, _ in sums], pa.int64()),
+            "to": pa.array([to for _, to in sums], pa.int32()), "d": pa.array(list(sums.values()), pa.list_(pa.float64())),
+        })
+
+    tasks = min(groups * (groups + 1) // 2, MOST_TASKS)
+    met = dealt.repartition(tasks, "ga", "gb").groupBy("ga", "gb").applyInArrow(
+        meet, f"{LABEL} int, slot long, to int, d array<double>"
+    )
+    summed = met.groupBy(LABEL, "slot", "to").agg(F.collect_list("d").alias("d"))
+    with_ids = summed.join(packed.select(LABEL, "slot", "ids"), [LABEL, "slot"]).select("to", "ids", "d")
+
+    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for to, ids, d in zip(frame["to"], frame["ids"], frame["d"]):
+                yield pd.DataFrame({"id": ids, "to": to, "d": np.sum(np.stack(d), axis=0)})
+
+    return with_ids.mapInPandas(add, f"id {id_type}, to int, d double")
+
+
+def _sums_by_blocks(packed: DataFrame, wanted: DataFrame, slots: DataFrame, k: int, dims: int, id_type: str) -> DataFrame:
+    """As ``_sums_by_groups``, in parts, for very many labels of few rows: only blocks that are wanted travel."""
+    data = packed.select(F.struct(LABEL, "slot").alias("block"), "ids", "x")
+    targets = slots.select(F.col(LABEL).alias("to"), "slots")
+    wanted = wanted.join(F.broadcast(targets) if k <= 50_000 else targets, "to")
+    pairs = wanted.select(
+        F.struct(LABEL, "slot").alias("a"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("_to"),
+        "to",
+    ).select("a", F.struct(F.col("to").alias(LABEL), F.col("_to").alias("slot")).alias("b"))
+
+    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for b, ids_a, x_a, x_b in zip(frame["b"], frame["ids_a"], frame["x_a"], frame["x_b"]):
+                d = distance_matrix(matrix(x_a, dims), matrix(x_b, dims), "euclidean")
+                yield pd.DataFrame({"id": ids_a, "to": b[LABEL], "d": d.sum(axis=1)})
+
+    joined = join_blocks(pairs, data, data.drop("ids")).select("b", "ids_a", "x_a", "x_b")
+    return joined.mapInPandas(sums, f"id {id_type}, to int, d double")
+
+
 def _by_sums(rows: DataFrame, id_col: str, f_cols: list[str], sizes: dict[int, int]) -> DataFrame:
     """``silhouette_samples`` from the sums of distances to all rows of each label; ``sizes`` has few labels."""
     labels = sorted(sizes)
