@@ -23,11 +23,12 @@ from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distance import all_zero, check_metric, distance, distance_matrix, unit_length
-from ..plans.blocks import join_blocks, matrix, near_pairs, pack, spatial_blocks
+from ..plans.blocks import join_blocks, matrix, near_pairs, pack, spatial_blocks, spread
 from ..plans.components import connected_components
 from ..plans.cut import cut, table
 from ..plans.numbering import number_rows
@@ -38,8 +39,10 @@ from .result import LABEL, ClusterResult
 LINKAGES = ("ward", "complete", "average", "single")
 MEMBER_ROWS = 256      # rows of one cluster in one block
 BLOCK_ROWS = 512       # clusters in one block
-LAST_CLUSTERS = 128    # so few are merged to the end by one task
-LAST_EXACT = 8         # times as many, where distances follow from the centres and none is measured on rows
+LAST_CLUSTERS = 128    # times LAST_EXACT, so few are merged to the end by one task
+LAST_EXACT = 8
+LAST_ROWS = 4_096      # rows of a group, of which there are up to 16 at least, where those clusters' rows meet
+LAST_VALUES = 4_000_000  # numbers of a group at most
 PAIR_ROWS = 3_000      # different rows up to which all distances are measured once and kept
 MERGE_ROW = (
     "winner long, loser long, left_key long, right_key long, height double, size long, round int, seq long"
@@ -222,7 +225,11 @@ def tie_break(a, b):
 
 
 def _tie_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    lo, hi = np.minimum.outer(a, b), np.maximum.outer(a, b)
+    return tie_number(np.minimum.outer(a, b), np.maximum.outer(a, b))
+
+
+def tie_number(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """``tie_break`` of arrays."""
     return (lo * 48271 + hi * 69621) % 2147483647
 
 
@@ -310,7 +317,7 @@ class _Rounds:
 
     def run(self) -> DataFrame | None:
         done, round_no, left = None, 0, self.state.count()
-        while left > LAST_CLUSTERS * (LAST_EXACT if self.exact else 1):
+        while left > LAST_CLUSTERS * LAST_EXACT:
             round_no += 1
             nearest = cut(self.nearest(left))
             merges = cut(merged_rows(mutual_pairs(nearest), self.state, round_no))
@@ -328,22 +335,18 @@ class _Rounds:
         return cut(done.withColumn("height", F.col("height") ** 2 / 2) if self.halve else done)
 
     def last_merges(self, round_no: int) -> DataFrame:
-        """All merges among the at most ``LAST_CLUSTERS`` clusters that remain (``LAST_EXACT`` times as many by centres).
+        """All merges among the at most ``LAST_CLUSTERS * LAST_EXACT`` clusters that remain.
 
         Their distances are one small matrix, measured on the rows by Spark
         where the centres do not give them. One task then merges to the end,
         which saves a round of Spark jobs for nearly every single merge.
         """
         dims, linkage, exact = len(self.x), self.linkage, self.exact
-        bounds = self.bounds()
+        average, bounds = linkage == "average", self.bounds()
         state = self.state.withColumn("key", F.coalesce("key", F.lit(-1))).withColumn("block", F.lit(0))
         packed = pack(state, "block", "cid", self.x, ["n", "r", "h", "key"])
         if not exact:
-            loose = self.state.filter("r > 0").select("cid")
-            every = self.state.select(F.col("cid").alias("b"))
-            asked = loose.select(F.col("cid").alias("a")).join(F.broadcast(every), F.col("a") != F.col("b"))
-            found = self.measured(asked.withColumn("d", F.lit(0.0)).withColumn("known", F.lit(False))).filter("a < b")
-            pairs = found.groupBy(F.lit(0).alias("block")).agg(F.collect_list(F.struct("a", "b", "d")).alias("p"))
+            pairs = self.between_all().groupBy(F.lit(0).alias("block")).agg(F.collect_list(F.struct("a", "b", "d")).alias("p"))
             packed = packed.join(
                 pairs.select("block", *[F.col(f"p.{c}").alias(f"p_{c}") for c in "abd"]), "block", "left"
             )
@@ -351,16 +354,65 @@ class _Rounds:
         def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for f in frames:
                 for row in f.itertuples(index=False):
-                    ids, x = np.asarray(row.ids), matrix(row.x, dims)
-                    d, _ = bounds(x, np.asarray(row.n, float), row.r, x, np.asarray(row.n, float), row.r)
+                    ids, x, n = np.asarray(row.ids), matrix(row.x, dims), np.asarray(row.n, float)
+                    d, _ = bounds(x, n, row.r, x, n, row.r)
                     if not exact and row.p_a is not None:
-                        at = {c: i for i, c in enumerate(ids)}
-                        i, j = [at[c] for c in row.p_a], [at[c] for c in row.p_b]
-                        d[i, j] = d[j, i] = row.p_d
-                    yield _merge_matrix(ids, d, np.asarray(row.n, float), row.h, row.key, linkage, round_no)
+                        # blocks hold their rows in the order of the ids
+                        i, j = np.searchsorted(ids, row.p_a), np.searchsorted(ids, row.p_b)
+                        d[i, j] = d[j, i] = row.p_d / (n[i] * n[j]) if average else row.p_d
+                    yield _merge_matrix(ids, d, n, row.h, row.key, linkage, round_no)
 
         return cut(packed.mapInPandas(finish, MERGE_ROW))
 
+    def between_all(self) -> DataFrame:
+        """``a, b, d`` of all pairs of clusters a < b: the sum of the weighted distances of their rows, for complete linkage the largest.
+
+        Rows are dealt in the order of their clusters over groups, and each two groups meet in a task.
+        """
+        dims, plane, complete = len(self.x), self.plane, self.linkage == "complete"
+        rows = cut(number_rows(self.members, [F.col("cid"), F.col("num")], "_at"))
+        n = rows.count()
+        groups = max(min(16, -(-n // LAST_ROWS)), -(-n * dims // LAST_VALUES), 1)
+        every = F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))
+        of_group = F.floor(F.col("_at") * groups / F.lit(n)).cast("long")
+        dealt = rows.withColumn("_g", of_group).withColumn("_h", F.explode(every)).select(
+            F.least("_g", "_h").alias("ga"), F.greatest("_g", "_h").alias("gb"), "_g", "cid", "w", *self.x
+        )
+
+        def strips(cid):
+            """Pieces of at most ``BLOCK_ROWS`` rows: where they begin and end, their clusters' first rows, and the places of those clusters."""
+            names, of_row = np.unique(cid, return_inverse=True)
+            out = []
+            for lo in range(0, len(cid), BLOCK_ROWS):
+                part = of_row[lo : lo + BLOCK_ROWS]
+                out.append((slice(lo, lo + len(part)), np.flatnonzero(np.diff(part, prepend=-1)), slice(part[0], part[-1] + 1)))
+            return names, out
+
+        def meet(key, table):
+            t = table.sort_by("cid")
+            group, cid, w = (t.column(c).to_numpy() for c in ("_g", "cid", "w"))
+            x = np.column_stack([t.column(c).to_numpy() for c in self_x])
+            ga, gb = (k.as_py() for k in key)
+            a, b = group == ga, group == gb
+            (names_a, strips_a), (names_b, strips_b) = strips(cid[a]), strips(cid[b])
+            x_a, x_b, w_a, w_b = x[a], x[b], w[a].astype(float), w[b].astype(float)
+            d = np.zeros((len(names_a), len(names_b)))
+            join = np.maximum if complete else np.add
+            for rows_a, first_a, at_a in strips_a:
+                for rows_b, first_b, at_b in strips_b:
+                    gaps = distance_matrix(x_a[rows_a], x_b[rows_b], plane)
+                    if not complete:
+                        gaps *= w_a[rows_a, None] * w_b[None, rows_b]
+                    part = join.reduceat(join.reduceat(gaps, first_a, axis=0), first_b, axis=1)
+                    d[at_a, at_b] = join(d[at_a, at_b], part)
+            i, j = np.nonzero(names_a[:, None] < names_b[None, :])
+            return pa.table({"a": names_a[i], "b": names_b[j], "d": d[i, j]})
+
+        self_x = self.x
+        tasks = min(groups * (groups + 1) // 2, 4_096)
+        met = dealt.repartition(tasks, "ga", "gb").groupBy("ga", "gb").applyInArrow(meet, "a long, b long, d double")
+        return met.groupBy("a", "b").agg((F.max("d") if complete else F.sum("d")).alias("d"))
+
     # -- nearest partner ---------------------------------------------------
 
     def nearest(self, left: int) -> DataFrame:
@@ -457,7 +509,7 @@ class _Rounds:
             first = cut(first)
             reach = blocks.boxes.join(first.select("block", F.col("reach").alias("bound")), "block")
             pairs = near_pairs(reach, blocks.n_blocks, dims, "bound", self.plane)
-            both = join_blocks(pairs, first.drop("reach"), first.drop("cap", "reach"))
+            both = spread(join_blocks(pairs, first.drop("reach"), first.drop("cap", "reach")), blocks.n_blocks)
         found = both.mapInPandas(pick, "a long, b long, d double, high double, known boolean")
         if exact or one_block:
             return found.select("a", "b", "d", "known")

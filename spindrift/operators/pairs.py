@@ -129,16 +129,16 @@ class PairRounds:
         one = F.lit(0).alias("one")
         state = self.state.groupBy(one).agg(F.array_sort(F.collect_list(F.struct("cid", "n", "h", F.coalesce("key", F.lit(-1)).alias("key")))).alias("c"))
         edges = self.edges.groupBy(one).agg(F.collect_list(F.struct("a", "b", self.height().alias("d"))).alias("p"))
+        edges = edges.select("one", *[F.col(f"p.{c}").alias(f"p_{c}") for c in "abd"])
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for f in frames:
                 for row in f.itertuples(index=False):
                     ids = np.array([c["cid"] for c in row.c])
-                    at = {c: i for i, c in enumerate(ids)}
                     d = np.full((len(ids), len(ids)), np.inf)
-                    for p in row.p if row.p is not None else []:
-                        i, j = at[p["a"]], at[p["b"]]
-                        d[i, j] = d[j, i] = p["d"]
+                    if row.p_a is not None:
+                        i, j = np.searchsorted(ids, row.p_a), np.searchsorted(ids, row.p_b)
+                        d[i, j] = d[j, i] = row.p_d
                     yield tree._merge_matrix(
                         ids, d, np.array([c["n"] for c in row.c], float), [c["h"] for c in row.c], [c["key"] for c in row.c], linkage, round_no
                     )

@@ -181,3 +181,8 @@ def join_blocks(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFram
         )
 
     return pairs.join(side(right, "b"), "b").join(side(left, "a"), "a")
+
+
+def spread(both: DataFrame, n_blocks: int) -> DataFrame:
+    """Joined blocks over many tasks: they are few bytes and much work, so that by size they would be left to one."""
+    return both.repartition(max(min(n_blocks, 96), n_blocks // 16))
