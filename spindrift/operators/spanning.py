@@ -10,15 +10,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distance import distance_matrix
-from ..plans.blocks import join_blocks, matrix, near_pairs, pack, place_rows
+from ..plans.blocks import join_blocks, matrix, near_pairs, pack, place_rows, spread
 from ..plans.components import connected_components
 from ..plans.cut import cut, table
 from ..plans.numbering import number_rows
 from ..plans.skew import attach
-from .agglomerative import _tie_matrix
+from .agglomerative import tie_number
 
 # edges of one part of the tree that are put in order inside one group
-PART_BITS = 8
+PART_BITS = 14
+FEW_EDGES = 1 << 14  # whose components one task finds
 EDGE = "d double, t long, lo long, hi long"
 
 
@@ -62,6 +63,8 @@ class SpanningTree:
 
             def find(x):
                 while x in top:
+                    if top[x] in top:
+                        top[x] = top[top[x]]
                     x = top[x]
                 return x
 
@@ -91,7 +94,7 @@ class SpanningTree:
         of_part = lambda c: F.struct(sub.alias("part"), F.col(c).alias("node"))
         part = part.withColumn("ku", of_part("u")).withColumn("kv", of_part("v"))
         low, high = part.filter(~upper), part.filter(upper)
-        comps = cut(connected_components(low.select(F.col("ku").alias("a"), F.col("kv").alias("b"))))
+        comps = cut(connected_components(low.select(F.col("ku").alias("a"), F.col("kv").alias("b")), FEW_EDGES))
         ends = F.explode(
             F.array(
                 F.struct(F.col("ku").alias("node"), F.col("w_u").alias("w"), "r"),
@@ -142,7 +145,7 @@ def _edges(points: DataFrame, x_cols: list[str], metric: str) -> DataFrame:
             raise RuntimeError("no edge leaves any component")
         left -= found
         if left > 1:
-            linked = connected_components(best.select(F.col("comp").alias("a"), F.col("to").alias("b")))
+            linked = connected_components(best.select(F.col("comp").alias("a"), F.col("to").alias("b")), FEW_EDGES)
             sizes = placed.groupBy("comp").agg(F.count(F.lit(1)).alias("_n"))
             moved = linked.select(F.col("node").alias("comp"), F.col("comp").alias("new")).join(sizes, "comp")
             placed = table(attach(placed, moved, ["comp"], "_n").drop("comp", "_n").withColumnRenamed("new", "comp"))
@@ -161,17 +164,15 @@ def _lowest_edges(packed: DataFrame, boxes: DataFrame, n_blocks: int, dims: int,
                 if not other.any():
                     continue
                 d = np.where(other, distance_matrix(matrix(row.x_a, dims), matrix(row.x_b, dims), metric), np.inf)
-                ties = np.where(d == d.min(axis=1)[:, None], _tie_matrix(a, b), np.iinfo("int64").max)
-                at, i = ties.argmin(axis=1), np.arange(len(a))
-                out = pd.DataFrame(
-                    {"comp": ca, "to": cb[at], "d": d[i, at], "t": ties[i, at],
-                     "lo": np.minimum(a, b[at]), "hi": np.maximum(a, b[at])}
-                )
-                out = out[np.isfinite(out["d"])].sort_values(["d", "t", "lo", "hi"])
-                yield out.drop_duplicates("comp")
+                least = d.min(axis=1)
+                # ties are broken among the lowest alone, which are few
+                i, at = np.nonzero(d == np.where(np.isfinite(least), least, -1.0)[:, None])
+                lo, hi = np.minimum(a[i], b[at]), np.maximum(a[i], b[at])
+                out = pd.DataFrame({"comp": ca[i], "to": cb[at], "d": least[i], "t": tie_number(lo, hi), "lo": lo, "hi": hi})
+                yield out.sort_values(["d", "t", "lo", "hi"]).drop_duplicates("comp")
 
     def run(pairs):
-        return join_blocks(pairs, packed, packed).mapInPandas(lowest, f"comp long, to long, {EDGE}")
+        return spread(join_blocks(pairs, packed, packed), n_blocks).mapInPandas(lowest, f"comp long, to long, {EDGE}")
 
     def best(found):
         return found.groupBy("comp").agg(F.min(F.struct("d", "t", "lo", "hi", "to")).alias("m")).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,9 +10,11 @@ from .cut import cut, table
 from .skew import BROADCAST_ROWS, attach
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, at_once: int = 0) -> DataFrame:
     """``node, comp`` for every node of ``edges(a, b)``; comp is the smallest node.
 
+    Up to ``at_once`` different edges are joined by one task.
+
     Alternates large-star and small-star steps (Kiveris et al., 2014): each
     links the neighbours of a node to the smallest of them, so paths shrink
     quickly and the edge list never grows. It ends when every edge points from
@@ -22,6 +25,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
+    if at_once and e.count() <= at_once:
+        return _joined(e)
     n, settled = _state(e)
     rounds = 0
     while not settled:
@@ -34,6 +39,32 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return leaves.unionByName(roots)
 
 
+def _joined(e: DataFrame) -> DataFrame:
+    """Components of few edges, by one task."""
+
+    def join(table):
+        # structs come as dictionaries
+        u, v = ([tuple(x.values()) if isinstance(x, dict) else x for x in table.column(c).to_pylist()] for c in "uv")
+        root = {x: x for x in (*u, *v)}
+
+        def find(x):
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for x, y in zip(u, v):
+            x, y = find(x), find(y)
+            root[max(x, y)] = min(x, y)
+        kind = table.schema.field("u").type
+        fields = [kind.field(i).name for i in range(kind.num_fields)]
+        kind = pa.struct([(f, kind.field(f).type) for f in fields]) if fields else kind  # all may be null, as the schema says
+        name = lambda x: dict(zip(fields, x)) if isinstance(x, tuple) else x
+        return pa.table({"node": pa.array([name(x) for x in root], kind), "comp": pa.array([name(find(x)) for x in root], kind)})
+
+    kind = e.schema["u"].dataType.simpleString()
+    return e.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(join, f"node {kind}, comp {kind}")
+
+
 def _round(e: DataFrame, bound: int) -> DataFrame:
     """One large-star and one small-star step; ``bound`` limits the node count."""
     both = _pairs(e, ("u", "v"), ("v", "u"))
