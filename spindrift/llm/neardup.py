@@ -32,6 +32,7 @@ TILE = 512  # texts of a bucket that are held against as many others at once
 TILE_CHARS = 4_000_000  # of them, unless one text alone is longer
 TASK_TEXTS = 10_000  # registers and bands that a task of such comparisons reads, about 4 MB
 TASK_CHARS = 16_000_000  # of texts that a task of exact comparisons reads
+LINKS_AT_ONCE = 100_000  # between texts, up to which one task joins the classes
 WORDS_AT_ONCE = 200_000
 CACHED_WORDS = 300_000
 CACHED_SETS = 1_000
@@ -412,7 +413,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     of_content = contents.withColumn("comp", F.col("content_id"))
     if links is not None:
-        comp = connected_components(links)
+        comp = connected_components(links, LINKS_AT_ONCE)
         of_content = contents.join(comp, F.col("content_id") == F.col("node"), "left").select("content", "content_id", "comp")
     return (
         sketch.select("doc_id", "content").join(of_content, "content")
