@@ -61,13 +61,14 @@ def pair_table(clusters: DataFrame, x_cols: list[str], metric: str, n: int, bloc
 class PairRounds:
     """Merges of ``state(cid, n, key, h)`` over ``edges(a, b, d)``, a < b, each pair once (up to ``PACKED`` clusters more often, too: the least counts)."""
 
-    def __init__(self, state: DataFrame, edges: DataFrame, linkage: str):
-        self.linkage = linkage
-        self.state = table(state.select("cid", "n", "key", "h", F.lit(0.0).alias("v")))
+    def __init__(self, state: DataFrame, edges: DataFrame, linkage: str, round_no: int = 0, given: bool = True):
+        """After ``round_no`` rounds; if not ``given``, ``state`` has a variance ``v`` and ``edges`` are (a, b, s), what an edge keeps."""
+        self.linkage, self.round_no, self.given = linkage, round_no, given
+        self.state = table(state.select("cid", "n", "key", "h", (F.lit(0.0) if given else F.col("v")).alias("v")))
         self.left = self.state.count()
         self.edges = edges
         if self.left > PACKED:
-            self.edges = table(self.sized(edges.select("a", "b", self.squared(F.col("d")).alias("s"))))
+            self.edges = table(self.sized(edges.select("a", "b", (self.squared(F.col("d")) if given else F.col("s")).alias("s"))))
 
     def squared(self, d):
         """What an edge of distance ``d`` keeps."""
@@ -87,8 +88,8 @@ class PairRounds:
         return F.expr("sqrt(2D * n_a * n_b / (n_a + n_b) * greatest(s - v_a - v_b, 0D))")
 
     def run(self) -> DataFrame | None:
-        done, round_no = None, 0
-        given = self.left <= PACKED
+        done, round_no = None, self.round_no
+        given = self.given and self.left <= PACKED
         while self.left > 1:
             round_no += 1
             last = self.left <= PACKED
@@ -345,41 +346,63 @@ class PackedRounds:
         return cut(self.rows.select("a", "b", "s").repartition(1).mapInPandas(run, tree.MERGE_ROW))
 
 
-def _numbered(ids: DataFrame, pairs: DataFrame) -> tuple[DataFrame, int, DataFrame]:
-    """Rows ``num, id``, how many, and edges between their numbers; of pairs given more than once the least distance counts."""
+def _rows(ids: DataFrame) -> tuple[DataFrame, int]:
+    """Rows ``num, id``, and how many."""
     rows = cut(number_rows(ids.select("id"), [F.col("id")], "num"))
-    n = rows.count()
-    few = n <= PACKED
-    known = pairs.filter("distance IS NOT NULL AND NOT isnan(distance) AND a <> b").select("a", "b", F.col("distance").cast("double").alias("d"))
+    return rows, rows.count()
+
+
+def _valid(pairs: DataFrame) -> DataFrame:
+    """``a, b, d`` of the pairs that have a distance."""
+    return pairs.filter("distance IS NOT NULL AND NOT isnan(distance) AND a <> b").select("a", "b", F.col("distance").cast("double").alias("d"))
+
+
+def _numbered(rows: DataFrame, n: int, pairs: DataFrame) -> DataFrame:
+    """Edges between the numbers of rows; of pairs given more than once the least distance counts."""
+    few, known = n <= PACKED, _valid(pairs)
     for side in "ab":
         of_side = rows.select(F.col("id").alias(side), F.col("num").alias(f"_{side}"))
         known = known.join(F.broadcast(of_side) if few else of_side, side)
     known = known.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), "d")
-    return rows, n, known if few else known.groupBy("a", "b").agg(F.min("d").alias("d"))
+    return known if few else known.groupBy("a", "b").agg(F.min("d").alias("d"))
+
 
+def pair_tree(ids: DataFrame, pairs: DataFrame, linkage: str, once: bool = False) -> tree.MergeTree:
+    """Merge tree of the rows ``ids(id)`` from ``pairs(a, b, distance)``; a forest if pairs are missing.
+
+    ``once``: no pair is given twice, nor both ways. Then pairs need not meet their copies, and a long table of them is read
+    level by level instead of being kept (``levels``). ``ValueError`` or an error of the job if one is seen to come twice.
+    """
+    from . import levels
 
-def pair_tree(ids: DataFrame, pairs: DataFrame, linkage: str) -> tree.MergeTree:
-    """Merge tree of the rows ``ids(id)`` from ``pairs(a, b, distance)``; a forest if pairs are missing."""
     if linkage not in tree.LINKAGES:
         raise ValueError(f"linkage must be one of {tree.LINKAGES}")
-    rows, n, edges = _numbered(ids, pairs)
+    rows, n = _rows(ids)
     if n < 2:
         raise ValueError("at least 2 rows are needed")
+    if once and n * (n - 1) // 2 > levels.LEVEL_EDGES and n <= levels.MOST_ROWS:
+        near = _valid(pairs).filter(F.abs("d") < float("inf"))
+        return _tree(rows, n, levels.Levels(rows, n, near, linkage).run())
+    edges = _numbered(rows, n, pairs)
     state = rows.select(F.col("num").alias("cid"), F.lit(1).cast("long").alias("n"), F.lit(None).cast("long").alias("key"), F.lit(0.0).alias("h"))
-    merges = tree._ranked(cut(PairRounds(state, edges, linkage).run()), n)
-    return tree.MergeTree(rows, n, merges, lambda: merges, "id")
+    return _tree(rows, n, PairRounds(state, edges, linkage).run())
+
+
+def _tree(rows: DataFrame, n: int, merges: DataFrame) -> tree.MergeTree:
+    ranked = tree._ranked(cut(merges), n)
+    return tree.MergeTree(rows, n, ranked, lambda: ranked, "id")
 
 
-def agglomerative_pairs(ids: DataFrame, pairs: DataFrame, n_clusters: int = 3, linkage: str = "average") -> DataFrame:
-    """``id, cluster_label`` of ``ids(id)`` from a table of distances ``(a, b, distance)``, each pair given once or both ways.
+def agglomerative_pairs(ids: DataFrame, pairs: DataFrame, n_clusters: int = 3, linkage: str = "average", once: bool = False) -> DataFrame:
+    """``id, cluster_label`` of ``ids(id)`` from a table of distances ``(a, b, distance)``, each pair given once or both ways (``once``: never twice).
 
     Clusters are numbered by their smallest id. Pairs that are missing, null or NaN are infinitely far;
     ``ValueError`` if they leave more than ``n_clusters`` clusters that nothing connects.
     """
     tree._check(linkage, "euclidean", n_clusters)
-    return pair_tree(ids, pairs, linkage).cut_at(n_clusters)
+    return pair_tree(ids, pairs, linkage, once).cut_at(n_clusters)
 
 
-def linkage_pairs(ids: DataFrame, pairs: DataFrame, method: str = "average") -> DataFrame:
-    """The merges as ``linkage_table`` gives them; fewer than n - 1 if pairs are missing."""
-    return pair_tree(ids, pairs, method).table()
+def linkage_pairs(ids: DataFrame, pairs: DataFrame, method: str = "average", once: bool = False) -> DataFrame:
+    """The merges as ``linkage_table`` gives them; fewer than n - 1 if pairs are missing. ``once``: no pair is given twice."""
+    return pair_tree(ids, pairs, method, once).table()

@@ -956,7 +956,7 @@ for _linkage in agg.LINKAGES:
 
 @query(_cut_sql(_steps_sql(USERS_F, "average", pairs=_given(99.0)), 6, "id"))
 def agglomerative_from_pairs(spark, sf):
-    return ap.agglomerative_pairs(*user_pairs(spark, sf, 99.0), n_clusters=6, linkage="average")
+    return ap.agglomerative_pairs(*user_pairs(spark, sf, 99.0), n_clusters=6, linkage="average", once=True)
 
 
 @query(_cut_sql(_steps_sql(SUPPLIERS, "average"), 5, "s_suppkey"))
