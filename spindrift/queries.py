@@ -943,7 +943,7 @@ def _given(most: float) -> str:
 def _pairs_query(linkage: str, most: float):
     def run(spark, sf):
         ids, pairs = user_pairs(spark, sf, most)
-        return rounded(ap.linkage_pairs(ids, pairs, linkage))
+        return rounded(ap.linkage_pairs(ids, pairs, linkage, once=True))
 
     run.__name__ = f"linkage_pairs_{linkage}"
     return query(f"{_steps_sql(USERS_F, linkage, pairs=_given(most))} {_MERGES}")(run)
