@@ -28,9 +28,9 @@ from .pairs import Clusters, PairRounds
 
 LEVEL_EDGES = 4_000_000  # pairs of rows the first reading is to find, about
 LEVEL_CELLS = 1_000_000  # pairs of clusters a later one is to find; each task adds up its own
-SAMPLE_PAIRS = 4_000_000  # pairs from which the reach is taken, about
+SAMPLE_PAIRS = 8_000_000  # pairs from which the reach is taken, about
 MOST_ROWS = 1_000_000    # whose numbers, and clusters, are broadcast
-TOO_MANY = 4             # times the pairs that were to be found
+TOO_MANY = 2             # times the pairs that were to be found
 FINE = 32                # steps of the reach for each doubling
 SLOW = 200               # a level ends when fewer than one of so many clusters merges in a round
 LEVEL_ROW = f"{tree.MERGE_ROW}, v double"
@@ -149,6 +149,7 @@ class Levels:
             if held:
                 at, h, key = sent.value
                 a, b, s, c = (np.concatenate(x) for x in zip(*held))
+                held.clear()
                 yield from _rows(certain(at, h, key, np.searchsorted(at.ids, a), np.searchsorted(at.ids, b), s, c, linkage, reach, round_no))
 
         return edges.select("a", "b", "s", "c").repartition(1).mapInArrow(run, LEVEL_ROW)
